@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size check that touches at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Size check that touches at most ``max_rows + 1`` rows of ``df``.  The answer is kept per
+    session and logical plan (``semanticHash``), so a dimension that many joins and queries use
+    is counted once."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",

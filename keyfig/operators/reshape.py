@@ -38,17 +38,18 @@ def pivot_metrics(df: DataFrame, group_cols: list[str], metric_col: str, value_c
     One aggregation, so one shuffle of partial aggregates on ``group_cols``.  Members missing
     from a group give NULL; members not in ``mapping`` are ignored but still make the group.
 
-    ``resolve="latest"``: the value of the newest load (``loaded_at``) of each member wins;
-    ties within a load go to the larger value.  Done with ``max(struct(ts, value))`` -- a
-    declarative aggregate with map-side combine, no sort and no window.
+    ``resolve="latest"``: the value of the newest load (``loaded_at``) of each member wins (a
+    suppressed newest value gives NULL).  ``max_by(value, ts)`` keeps a fixed-width buffer, so
+    this stays a hash aggregation with map-side combine: no sort, no window, and a hot group is
+    combined before the shuffle.  A well-formed extract has one row per cell and load (checked
+    by ``unique``); two rows of one cell in the *same* load resolve arbitrarily.
     ``resolve="max"``: the largest value across all loads.
     """
     aggs = []
     for member, name in mapping.items():
         hit = F.col(metric_col) == F.lit(member)
         if resolve == "latest" and loaded_at is not None:
-            best = F.max(F.when(hit, F.struct(F.col(loaded_at).alias("t"), F.col(value_col).alias("v"))))
-            aggs.append(best.getField("v").alias(name))
+            aggs.append(F.max_by(F.when(hit, F.col(value_col)), F.when(hit, F.col(loaded_at))).alias(name))
         elif resolve in ("latest", "max"):
             aggs.append(F.max(F.when(hit, F.col(value_col))).alias(name))
         else:
@@ -60,8 +61,9 @@ def pivot_metrics(df: DataFrame, group_cols: list[str], metric_col: str, value_c
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep, per key, the row that is greatest in ``order`` (e.g. newest ``_loaded_at``,
-    then the larger value).  ``max`` over a struct: partial aggregation, no sort, and a hot key
-    is combined map-side instead of being sorted in one task."""
+    then the larger value).  ``max`` over a struct is a (sort-based) aggregation with a partial
+    step: each map task keeps one row per key, so a hot key is combined before the shuffle
+    instead of being collected into one task, as a ``row_number`` window would."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]).alias("_row")
     out = df.groupBy(*keys).agg(F.max(packed).alias("_row"))
