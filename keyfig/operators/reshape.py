@@ -71,6 +71,17 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         *df.columns)
 
 
+def latest_value(df: DataFrame, keys: list[str], value: str, loaded_at: str) -> DataFrame:
+    """I5 for fixed-width rows: per key, the value (and any other columns) of the newest load.
+    ``max_by`` keeps a fixed-width buffer, so this is a hash aggregation with map-side combine.
+    Two rows of one key in the same load resolve arbitrarily (``unique`` reports them)."""
+    others = [c for c in df.columns if c not in keys and c not in (value, loaded_at)]
+    return (df.groupBy(*keys)
+            .agg(F.max_by(value, loaded_at).alias(value), F.max(loaded_at).alias(loaded_at),
+                 *[F.max_by(c, loaded_at).alias(c) for c in others])
+            .select(*df.columns))
+
+
 def eliminate_dimension(df: DataFrame, drop: Iterable[str], value_col: str,
                         keep: Iterable[str] | None = None, alias: str | None = None) -> DataFrame:
     """Totals over the omitted dimensions (what a source returns when a dimension is left

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keyfig.functions.columns import (parse_number, period_sub, period_year, strict_int,
                                       surrogate_key)
-from keyfig.operators.reshape import latest_by, pivot_metrics
+from keyfig.operators.reshape import latest_value, pivot_metrics
 from keyfig.plans.config import (RAW_HOUSING_NATIONAL, RAW_LOCAL_INCOME, RAW_PRICE_INDEX,
                                  RAW_PRICE_REGIONAL, RAW_UNEMPLOYMENT, PipelineConfig)
 
@@ -62,7 +62,7 @@ def src_price_regional(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def _latest(df: DataFrame, keys: list[str], cfg: PipelineConfig) -> DataFrame:
-    return latest_by(df, keys, ["_loaded_at", "value"]) if cfg.resolve == "latest" else df
+    return latest_value(df, keys, "value", "_loaded_at") if cfg.resolve == "latest" else df
 
 
 def src_unemployment(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:

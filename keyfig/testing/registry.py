@@ -103,6 +103,7 @@ from keyfig.operators import reshape as R  # noqa: E402
 from keyfig.operators import windows as W  # noqa: E402
 from keyfig.plans import core as CORE  # noqa: E402
 from keyfig.plans import marts as MARTS  # noqa: E402
+from keyfig.plans import refresh as REFRESH  # noqa: E402
 from keyfig.plans import staging as STG  # noqa: E402
 from keyfig.plans.checks import suite  # noqa: E402
 from keyfig.plans.config import (RAW_HOUSING_NATIONAL, RAW_LOCAL_INCOME, RAW_PRICE_INDEX,  # noqa: E402
@@ -806,13 +807,14 @@ def _housing_from(raw_pi: DataFrame, spark, sf_dir) -> DataFrame:
 
 @register("I2")
 def i2(spark, sf_dir):
-    """Keyed upsert of the batch after the watermark into the first-load fact."""
+    """Keyed upsert: the cells touched after the watermark, rebuilt and upserted into the
+    first-load fact."""
     base = work_path(spark, "i2")
     r = raw(spark, sf_dir, RPI)
-    t1 = first_load(r)
-    target = I.publish(_housing_from(r.where(F.col("_LOADED_AT") <= F.lit(t1)), spark, sf_dir), base)
-    batch = _housing_from(I.after_watermark(r, I.watermark(target)), spark, sf_dir)
-    return I.publish(I.upsert(I.read_current(spark, base), batch, "price_index_id"), base)
+    dim = P(spark, sf_dir).dim_municipalities
+    first = REFRESH.refresh_housing(None, r.where(F.col("_LOADED_AT") <= F.lit(first_load(r))), dim, TPCH)
+    target = I.publish(first, base)
+    return I.publish(REFRESH.refresh_housing(target, r, dim, TPCH), base)
 
 
 @register("I3")
@@ -849,29 +851,13 @@ def i5(spark, sf_dir):
 def i6(spark, sf_dir):
     """Affected-group recompute of the labour fact after a new batch; equals a full rebuild."""
     base = work_path(spark, "i6")
-    p = P(spark, sf_dir)
-    dim = p.dim_municipalities
+    dim = P(spark, sf_dir).dim_municipalities
     ru, ri = raw(spark, sf_dir, RUN), raw(spark, sf_dir, RLI)
     t1 = first_load(ru)
-    first = CORE.fct_labour_market_regional(
-        STG.src_unemployment(ru.where(F.col("_LOADED_AT") <= F.lit(t1)), TPCH),
-        STG.src_local_income(ri.where(F.col("_LOADED_AT") <= F.lit(t1)), TPCH), dim)
+    first = REFRESH.refresh_labour(None, ru.where(F.col("_LOADED_AT") <= F.lit(t1)),
+                                   ri.where(F.col("_LOADED_AT") <= F.lit(t1)), dim, TPCH)
     target = I.publish(first, base)
-    mark = I.watermark(target)
-    touched = (I.after_watermark(ru, mark).where(F.col("YDELSESTYPE") == TPCH.unemployment_type)
-               .select(F.col("OMRÅDE").alias("area"), C.strict_int("TID").alias("period_year"))
-               .unionByName(I.after_watermark(ri, mark)
-                            .where((F.col("ENHED") == TPCH.income_unit) & (F.col("INDKOMSTTYPE") == TPCH.income_type))
-                            .select(F.col("OMRÅDE").alias("area"), C.strict_int("TID").alias("period_year"))))
-    groups = I.affected_groups(touched, "area", "period_year", dim)
-    u = I.restrict_to_groups(p.src_unemployment, groups, "area_name", dim)
-    i = I.restrict_to_groups(p.src_local_income, groups, "municipality_name", dim)
-    fresh = CORE.fct_labour_market_regional(u, i, dim)
-    g = groups.select(F.col("region_name").alias("_gr"), F.col("period_year").alias("_gy"))
-    kept = I.read_current(spark, base).join(
-        g, (F.col("region_name") == F.col("_gr")) & (F.col("period_year") == F.col("_gy")), "left_anti")
-    out = I.publish(kept.unionByName(fresh), base)
-    return labour_rounded(out)
+    return labour_rounded(I.publish(REFRESH.refresh_labour(target, ru, ri, dim, TPCH), base))
 
 
 @register("T1")
