@@ -19,14 +19,16 @@ VERSION = "_version"
 # ------------------------------------------------------------------- versioned Parquet tables
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
-    from keyfig.sources.sink import path_exists
+    """Committed versions, from a directory listing (no data or footer is read, so the cost
+    does not grow with the table).  A version counts once its ``_SUCCESS`` marker exists."""
+    from keyfig.sources.sink import list_dir, path_exists
     if not path_exists(spark, base):
         return []
-    try:
-        listed = spark.read.parquet(base).select(VERSION).distinct().collect()
-    except Exception:  # noqa: BLE001 -- no table yet (path missing or empty)
-        return []
-    return sorted(int(r[0]) for r in listed)
+    out = []
+    for name in list_dir(spark, base):
+        if name.startswith(f"{VERSION}=") and path_exists(spark, f"{base}/{name}/_SUCCESS"):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:

@@ -95,41 +95,59 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("status", T.StringType())])
 
 
+def _bad(c: Check):
+    col = F.col(c.column)
+    if c.kind == "not_null":
+        bad = col.isNull()
+    elif c.kind == "accepted_values":
+        bad = ~col.isin(list(c.values))
+    elif c.kind == "between":
+        bad = F.lit(False)
+        if c.min_value is not None:
+            bad = bad | (col < F.lit(c.min_value))
+        if c.max_value is not None:
+            bad = bad | (col > F.lit(c.max_value))
+    else:
+        raise ValueError(c.kind)
+    return F.coalesce(bad, F.lit(False))
+
+
+def _model_results(model: str, df: DataFrame, cs: list[Check]) -> DataFrame:
+    """All checks of one model in one scan of it.  With a ``unique`` check the rows are grouped
+    by that column once (partial aggregation, per-key counts only are shuffled) and the row
+    checks ride along as per-group failure counts, summed in the second step."""
+    uniques = [c for c in cs if c.kind == "unique"]
+    rows = [c for c in cs if c.kind != "unique"]
+    first_unique = uniques[0] if uniques else None
+    if first_unique is not None:
+        key = F.col(first_unique.column)
+        per_key = df.groupBy(key.alias("_k")).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.count_if(_bad(c)).alias(f"r{i}") for i, c in enumerate(rows)])
+        totals = per_key.agg(F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias("u0"),
+                             *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rows))])
+    else:
+        totals = df.agg(*[F.count_if(_bad(c)).alias(f"r{i}") for i, c in enumerate(rows)])
+    named = [(first_unique, "u0")] if first_unique is not None else []
+    named += [(c, f"r{i}") for i, c in enumerate(rows)]
+    stacked = totals.select(F.explode(F.array(*[
+        F.struct(F.lit(c.kind).alias("check_name"), F.lit(model).alias("model"),
+                 F.lit(c.column).alias("column_name"),
+                 F.coalesce(F.col(alias), F.lit(0)).cast("bigint").alias("failures"))
+        for c, alias in named])).alias("r")).select("r.*")
+    for extra in uniques[1:]:
+        stacked = stacked.unionByName(unique(df, extra.column).agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit("unique").alias("check_name"), F.lit(model).alias("model"),
+            F.lit(extra.column).alias("column_name"), F.col("failures").cast("bigint")))
+    return stacked
+
+
 def run_checks(spark: SparkSession, models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Q6: evaluate many checks.  All checks of one model are folded into a single aggregation
-    (one scan of the model); ``unique`` needs a grouping of its own.  Returns one row per check."""
-    parts = []
+    """Q6: evaluate many checks, one result row (check, model, column, failures, status) each.
+    Every model is read by a single aggregation pipeline however many checks it has."""
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = models[model]
-        row_checks = [c for c in cs if c.kind != "unique"]
-        if row_checks:
-            aggs = []
-            for i, c in enumerate(row_checks):
-                col = F.col(c.column)
-                if c.kind == "not_null":
-                    bad = col.isNull()
-                elif c.kind == "accepted_values":
-                    bad = ~col.isin(list(c.values))
-                else:
-                    bad = F.lit(False)
-                    if c.min_value is not None:
-                        bad = bad | (col < F.lit(c.min_value))
-                    if c.max_value is not None:
-                        bad = bad | (col > F.lit(c.max_value))
-                aggs.append(F.count_if(F.coalesce(bad, F.lit(False))).alias(f"c{i}"))
-            counts = df.agg(*aggs)
-            for i, c in enumerate(row_checks):
-                parts.append(counts.select(F.lit(c.kind).alias("check_name"), F.lit(model).alias("model"),
-                                           F.lit(c.column).alias("column_name"),
-                                           F.col(f"c{i}").cast("bigint").alias("failures")))
-        for c in cs:
-            if c.kind == "unique":
-                parts.append(unique(df, c.column).agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit("unique").alias("check_name"), F.lit(model).alias("model"),
-                    F.lit(c.column).alias("column_name"), F.col("failures").cast("bigint")))
+    parts = [_model_results(m, models[m], cs) for m, cs in by_model.items()]
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA)
     res = reduce(DataFrame.unionByName, parts)

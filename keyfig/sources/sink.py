@@ -36,6 +36,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder on the cluster file system."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return [st.getPath().getName() for st in p.getFileSystem(jsc.hadoopConfiguration()).listStatus(p)]
+
+
 def write_table(df: DataFrame, path: str, overwrite: bool = False,
                 partition_by: list[str] | None = None) -> int:
     """Append (default; U3) or overwrite (full refresh; I4); the folder is created when
