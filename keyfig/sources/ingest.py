@@ -38,8 +38,14 @@ def ingest_all(spark: SparkSession, specs: list[SourceSpec], warehouse: str, loa
                overwrite: bool = False) -> DataFrame:
     """Land each spec into ``<warehouse>/<target>``; returns (source_id, target, status, rows,
     message) per spec.  Only counts travel to the driver."""
+    from keyfig.sources.sink import path_exists
     status = []
     for spec in specs:
+        missing = [p for p in spec.paths if not path_exists(spark, p)]
+        if missing:
+            log.warning("no landed file for %s: %s", spec.source_id, missing)
+            status.append((spec.source_id, spec.target, "failed", 0, "path not found"))
+            continue
         try:
             df = land_extract(spark, list(spec.paths), list(spec.columns), spec.source_id,
                               loaded_at, sep=spec.sep)

@@ -1,9 +1,10 @@
 """Landed extract files as a stream.
 
 Each new file is processed once (the streaming checkpoint replaces the load watermark); every
-micro-batch is merged into a versioned "latest cell" table where the newest load of a cell wins.
-Latest-wins merging is idempotent and order-insensitive, so a replayed batch (after an executor
-or driver loss between publish and checkpoint commit) converges to the same table.
+micro-batch is merged into a "latest cell" table, partitioned by period, where the newest load of
+a cell wins.  Only the periods a batch touches are rewritten.  Latest-wins merging is idempotent
+and order-insensitive, so a replayed batch (after an executor or driver loss between the write
+and the checkpoint commit) converges to the same table.
 """
 
 from __future__ import annotations
@@ -11,27 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from keyfig.operators.incremental import merge_latest, publish, read_current
-from keyfig.operators.reshape import latest_by
+from keyfig.operators.incremental import merge_latest_partitions
 
 
 def stream_latest_cells(spark: SparkSession, landing: str, schema: T.StructType, keys: list[str],
-                        order: list[str], target: str, checkpoint: str,
+                        order: list[str], target: str, checkpoint: str, partition_col: str,
                         files_per_batch: int | None = 1, fmt: str = "parquet") -> DataFrame:
     """Process every file under ``landing`` not yet seen by ``checkpoint``; returns the current
-    latest-cell table."""
+    latest-cell table, partitioned by ``partition_col`` (a batch rewrites only the partitions it
+    touches)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.load(landing)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        current = read_current(spark, target)
-        merged = merge_latest(current, latest_by(batch, keys, order), keys, order)
-        publish(merged, target)
+        merge_latest_partitions(spark, target, batch, keys, order, partition_col,
+                                staging=f"{checkpoint}/_staging/batch={batch_id}")
 
     query = (stream.writeStream.foreachBatch(merge_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return read_current(spark, target)
+    return spark.read.parquet(target)

@@ -870,7 +870,8 @@ def t1(spark, sf_dir):
     r.where(F.col("_LOADED_AT") <= F.lit(t_first)).coalesce(1).write.parquet(f"{base}/landing/load=1")
     r.where(F.col("_LOADED_AT") > F.lit(t_first)).coalesce(1).write.parquet(f"{base}/landing/load=2")
     cells = stream_latest_cells(spark, f"{base}/landing/*", r.schema, ["YDELSESTYPE", "OMRÅDE", "TID"],
-                                ["_LOADED_AT", "INDHOLD"], f"{base}/cells", f"{base}/checkpoint")
+                                ["_LOADED_AT", "INDHOLD"], f"{base}/cells", f"{base}/checkpoint",
+                                partition_col="TID")
     return STG.src_unemployment(cells, TPCH)
 
 
