@@ -44,11 +44,15 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as the next version and return it read back from storage (lineage cut)."""
+    """Write ``df`` as the next version and return it read back from storage (lineage cut).
+
+    Readers only see versions with a ``_SUCCESS`` marker, so a version folder left behind by a
+    job that died mid-write is an uncommitted attempt: the retry simply overwrites it.  (One
+    writer per table is assumed, as for any Parquet folder without a table format.)"""
     spark = df.sparkSession
     nxt = (current_version(spark, base) or 0) + 1
     path = f"{base}/{VERSION}={nxt}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -119,3 +119,16 @@ def test_change_vs_previous_respects_gaps(spark):
                                "k string, y int, v double")
     got = {r["y"]: r["change"] for r in W.change_vs_previous(df, ["k"], "y", "v").collect()}
     assert got == {2020: None, 2021: 2.0, 2023: None}
+
+
+def test_publish_retries_over_an_uncommitted_attempt(spark, tmp_path):
+    base = str(tmp_path / "t")
+    df = spark.createDataFrame([(1,)], "k int")
+    I.publish(df, base)
+    # a crashed attempt at version 2: files but no _SUCCESS marker
+    (tmp_path / "t" / "_version=2").mkdir()
+    (tmp_path / "t" / "_version=2" / "part-00000-garbage.parquet").write_bytes(b"not parquet")
+    assert I.current_version(spark, base) == 1
+    I.publish(df.withColumn("k", F.lit(2)), base)
+    assert I.current_version(spark, base) == 2
+    assert [r["k"] for r in I.read_current(spark, base).collect()] == [2]
