@@ -127,12 +127,14 @@ def merge_latest_partitions(spark: SparkSession, base: str, batch: DataFrame, ke
     two writes converges to the same table (the merge is idempotent)."""
     from keyfig.sources.sink import path_exists
     touched = batch.select(partition_col).distinct()
-    if path_exists(spark, base):
-        current = spark.read.parquet(base)
-        current = current.join(F.broadcast(touched) if _small(touched) else touched, partition_col, "left_semi")
-        merged = merge_latest(current, batch, keys, order)
-    else:
-        merged = latest_by(batch, keys, order)
+    if not path_exists(spark, base):
+        # first batch: nothing to merge with, nothing being read -- write the table directly
+        (latest_by(batch, keys, order).hint("rebalance", partition_col).write.mode("overwrite")
+         .partitionBy(partition_col).parquet(base))
+        return
+    current = spark.read.parquet(base)
+    current = current.join(F.broadcast(touched) if _small(touched) else touched, partition_col, "left_semi")
+    merged = merge_latest(current, batch, keys, order)
     # REBALANCE: AQE groups each partition's rows into few files and splits a hot partition
     merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     (spark.read.parquet(staging).hint("rebalance", partition_col).write.mode("overwrite")
