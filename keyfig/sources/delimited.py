@@ -78,22 +78,27 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = Tru
     return int(obs.get["rows"])
 
 
-def chunk_ids(df: DataFrame, column: str, chunk_size: int) -> DataFrame:
-    """S3: chunk number per row: the column's distinct values in order, ``chunk_size`` values
-    per chunk.  Distinct values are few (a dimension); ranking them runs on that small frame and
-    the result is joined back (broadcast behind a size check)."""
+def chunk_ranks(df: DataFrame, column: str, chunk_size: int) -> DataFrame:
+    """S3: the column's distinct values in order with their chunk number, ``chunk_size`` values
+    per chunk.  The values are a dimension's members (e.g. periods), so ranking them in one
+    window partition is bounded by the dimension, not by the rows."""
     values = df.select(column).distinct()
-    ranked = values.withColumn(
+    return values.withColumn(
         "_chunk", F.floor((F.row_number().over(Window.orderBy(column)) - 1) / F.lit(chunk_size)).cast("int"))
-    return join_dimension(df, ranked, column, "left").select(*df.columns, "_chunk")
+
+
+def chunk_ids(df: DataFrame, column: str, chunk_size: int, ranks: DataFrame | None = None) -> DataFrame:
+    """Chunk number per row: the ranked values joined back (broadcast behind a size check)."""
+    ranks = ranks if ranks is not None else chunk_ranks(df, column, chunk_size)
+    return join_dimension(df, ranks, column, "left").select(*df.columns, "_chunk")
 
 
 def land_chunked(df: DataFrame, path: str, column: str, chunk_size: int, sep: str = ";") -> list[str]:
-    """S3 writer: one folder per chunk (``_chunk=N``), as separate requests would deliver them."""
-    write_delimited(chunk_ids(df, column, chunk_size), path, sep=sep, partition_by=["_chunk"])
-    spark = df.sparkSession
-    chunks = [r[0] for r in spark.read.option("sep", sep).option("header", True).csv(path)
-              .select("_chunk").distinct().collect()]
+    """S3 writer: one folder per chunk (``_chunk=N``), as separate requests would deliver them.
+    The chunk list comes from the small ranked-values frame, not from re-reading the files."""
+    ranks = chunk_ranks(df, column, chunk_size).checkpoint(eager=True)
+    write_delimited(chunk_ids(df, column, chunk_size, ranks), path, sep=sep, partition_by=["_chunk"])
+    chunks = [r[0] for r in ranks.select("_chunk").distinct().collect()]
     return [f"{path}/_chunk={c}" for c in sorted(chunks)]
 
 
