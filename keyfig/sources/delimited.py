@@ -96,6 +96,8 @@ def chunk_ids(df: DataFrame, column: str, chunk_size: int, ranks: DataFrame | No
 def land_chunked(df: DataFrame, path: str, column: str, chunk_size: int, sep: str = ";") -> list[str]:
     """S3 writer: one folder per chunk (``_chunk=N``), as separate requests would deliver them.
     The chunk list comes from the small ranked-values frame, not from re-reading the files."""
+    from keyfig.session import shared_dir
+    shared_dir(df.sparkSession)   # checkpoint folder from the session (or a private one in tests)
     ranks = chunk_ranks(df, column, chunk_size).checkpoint(eager=True)
     write_delimited(chunk_ids(df, column, chunk_size, ranks), path, sep=sep, partition_by=["_chunk"])
     chunks = [r[0] for r in ranks.select("_chunk").distinct().collect()]
