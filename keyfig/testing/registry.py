@@ -29,8 +29,17 @@ def register(key: str):
     return deco
 
 
+_PIPELINES: dict[tuple, Pipeline] = {}
+
+
 def P(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline(spark, sf_dir)
+    """The pipeline's lazy DataFrame definitions over one folder of (immutable) test tables,
+    built once per session like a prepared statement.  No data is cached: every action still
+    plans and runs the whole query from the Parquet scans."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _PIPELINES:
+        _PIPELINES[key] = Pipeline(spark, sf_dir)
+    return _PIPELINES[key]
 
 
 # ---------------------------------------------------------------- composite queries
