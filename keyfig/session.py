@@ -52,18 +52,24 @@ def ensure_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for materialised tables and cut lineage.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when the session has
     none -- local tests -- a private folder is created and registered, never on a cluster.
     """
+    global _FALLBACK
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
+        path = _FALLBACK.get(spark.sparkContext.applicationId)
     if not path:
+        # only reached without a configured folder (local tests): a private one, registered
+        # with the context (core configs cannot be set on a running session)
         path = tempfile.mkdtemp(prefix="keyfig-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        _FALLBACK[spark.sparkContext.applicationId] = path
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
