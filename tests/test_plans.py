@@ -53,3 +53,33 @@ def test_filters_and_columns_pushed_to_scan(spark):
 def test_latest_resolution_is_hash_aggregate(spark, queries):
     for key in ["M1", "M3", "M9"]:
         assert "SortAggregate" not in plan_text(queries[key](spark, SF_SMALL)), key
+
+
+def test_hot_key_operators_combine_before_the_shuffle(spark):
+    """One key holding a third of the rows: the latest-load pivot, the typed latest dedupe and
+    the whole-row dedupe all aggregate partially before their exchange (map-side combine), and
+    none of them plans a window."""
+    from pyspark.sql import functions as F
+    from keyfig.operators import reshape as R
+    n = 30_000
+    df = (spark.range(n)
+          .select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+                  F.when(F.col("id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")).alias("metric"),
+                  (F.col("id") % 5).cast("double").alias("v"),
+                  F.timestamp_seconds(F.col("id") % 4).cast("timestamp_ntz").alias("ts")))
+    plans = {
+        "pivot": R.pivot_metrics(df, ["k"], "metric", "v", {"a": "m_a", "b": "m_b"}, loaded_at="ts"),
+        "latest_value": R.latest_value(df.select("k", "v", "ts"), ["k"], "v", "ts"),
+        "latest_by": R.latest_by(df, ["k"], ["ts", "v"]),
+    }
+    for name, out in plans.items():
+        txt = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in txt, name
+        assert re.search(r"(HashAggregate|SortAggregate)\(keys?=\[k#\d+\], functions=\[partial_", txt), name
+        assert out.count() == 998, name
+    hot = plans["latest_value"].where("k = 'HOT'").first()
+    assert hot["ts"] == dt_max(df.where("k = 'HOT'"))
+
+
+def dt_max(df):
+    return df.agg({"ts": "max"}).first()[0]
