@@ -95,13 +95,16 @@ def sync_columns(target: DataFrame, columns: list[str]) -> DataFrame:
     return out.select(*columns)
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str]) -> DataFrame:
+def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str],
+           check_unique: bool = True) -> DataFrame:
     """Rows of ``batch`` replace target rows with the same key; the rest are inserted.
-    The batch is checked for key uniqueness first (a duplicate key would duplicate rows)."""
+    The batch is checked for key uniqueness first (a duplicate key would duplicate rows) unless
+    the caller's batch is unique by construction (grouped on the key), which spares a pass."""
     keys = [key] if isinstance(key, str) else list(key)
-    dup = batch.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"batch has duplicate key {dup[0][:len(keys)]}")
+    if check_unique:
+        dup = batch.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"batch has duplicate key {dup[0][:len(keys)]}")
     if target is None:
         return batch
     target = sync_columns(target, batch.columns)

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from keyfig.functions.columns import strict_int
 from keyfig.operators.incremental import (after_watermark, affected_groups, restrict_to_groups,
                                           upsert, watermark)
-from keyfig.operators.joins import has_at_most
 from keyfig.plans import core, staging
 from keyfig.plans.config import PipelineConfig
 
 
 def _semi(df: DataFrame, keys: DataFrame, cond) -> DataFrame:
-    side = F.broadcast(keys) if has_at_most(keys, 1_000_000) else keys
-    return df.join(side, cond, "left_semi")
+    """Semi join with the touched keys.  Their number is only known at run time, so the choice
+    is AQE's: it broadcasts the side once its measured size is small, else keeps the shuffle."""
+    return df.join(keys, cond, "left_semi")
 
 
 def refresh_housing(target: DataFrame | None, raw_price_index: DataFrame, dim: DataFrame,
@@ -35,7 +35,8 @@ def refresh_housing(target: DataFrame | None, raw_price_index: DataFrame, dim: D
     cells = _semi(raw_price_index, touched, (F.col("OMRÅDE") == F.col("_a"))
                   & (F.col("EJENDOMSKATE") == F.col("_c")) & (F.col("TID") == F.col("_t")))
     fresh = core.fct_housing_prices(staging.src_price_index(cells, cfg), dim, cfg)
-    return upsert(target, fresh, "price_index_id")
+    # unique by construction: staging groups on the key's columns, the lookup is DISTINCT
+    return upsert(target, fresh, "price_index_id", check_unique=False)
 
 
 def refresh_labour(target: DataFrame | None, raw_unemployment: DataFrame, raw_income: DataFrame,
