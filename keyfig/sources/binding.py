@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfig.functions.columns import month_string, value_map
-from keyfig.operators.joins import join_dimension
+from keyfig.operators.joins import BROADCAST_MAX_ROWS, has_at_most, join_dimension
 from keyfig.plans.config import (RAW_HOUSING_NATIONAL, RAW_LOCAL_INCOME, RAW_PRICE_INDEX,
                                  RAW_PRICE_REGIONAL, RAW_UNEMPLOYMENT, TPCH_REGION_LOCAL_NAMES,
                                  TPCH_TOTAL)
@@ -77,24 +77,37 @@ def _geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its customer's segment and nation, money as exact decimal."""
+    """Orders with their customer's segment and nation, as (amount, orders) measures.
+
+    Two plans behind one size check of ``customer``:
+
+    * customer provably small -> broadcast it; orders stream through a map-side join, no
+      shuffle of orders at all (and no skew: a broadcast join has no partitions to skew);
+    * otherwise -> aggregate orders per (customer, priority, status, month) *before* the join.
+      A customer holding a third of all orders collapses map-side to at most priorities x
+      statuses x months rows, and the aggregate is already hash-partitioned on the customer
+      key the sort-merge join needs, so this adds no shuffle.
+    """
     o = read_table(spark, sf_dir, "orders").select(
-        "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    # orders x customer is fact x (large) dimension: left to the planner (broadcast while the
-    # customer side is small, else sort-merge with AQE splitting a hot customer's partition).
-    oc = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
-    return oc.select(
-        "o_orderpriority", "o_orderstatus", "c_mktsegment", "c_nationkey",
+        "o_custkey", "o_orderpriority", "o_orderstatus",
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
-        month_string("o_orderdate").alias("m_str"),
-    )
+        month_string("o_orderdate").alias("m_str"))
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    if has_at_most(c, BROADCAST_MAX_ROWS):
+        oc = o.withColumn("orders", F.lit(1).cast("bigint")).join(
+            F.broadcast(c), F.col("o_custkey") == F.col("c_custkey"), "inner")
+    else:
+        per_customer = o.groupBy("o_custkey", "o_orderpriority", "o_orderstatus", "m_str").agg(
+            F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
+        oc = per_customer.join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    return oc.select("o_orderpriority", "o_orderstatus", "c_mktsegment", "c_nationkey", "amount",
+                     "orders", "m_str")
 
 
 def _order_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = order_facts(spark, sf_dir).groupBy(
         "c_mktsegment", "o_orderpriority", "o_orderstatus", "m_str", "c_nationkey").agg(
-        F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
+        F.sum("amount").alias("amount"), F.sum("orders").alias("orders"))
     # the geography is joined to the aggregated cube, not to every order
     cube = join_dimension(cube, geography(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
     return cube.select(

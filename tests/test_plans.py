@@ -83,3 +83,22 @@ def test_hot_key_operators_combine_before_the_shuffle(spark):
 
 def dt_max(df):
     return df.agg({"ts": "max"}).first()[0]
+
+
+def test_large_customer_path_preaggregates_and_agrees(spark, monkeypatch):
+    """Beyond the broadcast bound the binding aggregates orders per customer before a shuffle
+    join; both plans must derive identical extracts."""
+    from keyfig.sources import binding
+
+    def build():
+        binding._MEMO.clear()
+        return sorted(map(tuple, binding.raw_unemployment(spark, SF_SMALL).collect()), key=repr)
+
+    broadcast_rows = build()
+    monkeypatch.setattr(binding, "BROADCAST_MAX_ROWS", 10)
+    facts = binding._order_facts(spark, SF_SMALL)
+    txt = facts._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[o_custkey", txt)
+    shuffled_rows = build()
+    binding._MEMO.clear()
+    assert shuffled_rows == broadcast_rows
