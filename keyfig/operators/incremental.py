@@ -135,8 +135,8 @@ def merge_latest_partitions(spark: SparkSession, base: str, batch: DataFrame, ke
         (latest_by(batch, keys, order).hint("rebalance", partition_col).write.mode("overwrite")
          .partitionBy(partition_col).parquet(base))
         return
-    current = spark.read.parquet(base)
-    current = current.join(F.broadcast(touched) if _small(touched) else touched, partition_col, "left_semi")
+    # touched partitions: few, but only known at run time -- AQE broadcasts them once measured
+    current = spark.read.parquet(base).join(touched, partition_col, "left_semi")
     merged = merge_latest(current, batch, keys, order)
     # REBALANCE: AQE groups each partition's rows into few files and splits a hot partition
     merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
@@ -144,11 +144,6 @@ def merge_latest_partitions(spark: SparkSession, base: str, batch: DataFrame, ke
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(base))
 
 
-def _small(df: DataFrame) -> bool:
-    from keyfig.operators.joins import has_at_most
-    return has_at_most(df, 100_000)
-
-
 # ------------------------------------------------------------------- I6 affected groups
 
 def affected_groups(new_rows: DataFrame, child_col: str, period_col: str, dim: DataFrame,
