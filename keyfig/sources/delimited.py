@@ -4,7 +4,7 @@ audit columns (S5) and export (S14)."""
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -53,7 +53,7 @@ def read_delimited(spark: SparkSession, paths: str | list[str], columns: list[st
 def with_audit(df: DataFrame, source_id: str, loaded_at: datetime | str | None = None,
                loaded_at_col: str = "_LOADED_AT", src_col: str = "_SRC_TABLE") -> DataFrame:
     """One load instant per table (a literal, so a recomputed plan keeps it) + source id."""
-    ts = loaded_at if loaded_at is not None else datetime.utcnow().replace(microsecond=0)
+    ts = loaded_at if loaded_at is not None else datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     return df.withColumns({loaded_at_col: F.lit(ts).cast("timestamp_ntz"),
                            src_col: F.lit(source_id)})
 

@@ -100,8 +100,6 @@ def m10(spark, sf_dir):
 # ---------------------------------------------------------------- shared helpers
 from functools import reduce  # noqa: E402
 
-from pyspark.sql import Window  # noqa: E402
-
 from keyfig.functions import columns as C  # noqa: E402
 from keyfig.operators import history as H  # noqa: E402
 from keyfig.operators import incremental as I  # noqa: E402

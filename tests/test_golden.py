@@ -1,14 +1,11 @@
 """The hand-computed mart of FIXTURES.md section 3, and its variants."""
 
-from functools import reduce
-
-import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fixtures import CFG, LOAD_2, raw_frame, raw_frames, seed_frame, unemployment_rows, price_index_rows, IDX, HOUSE
+from fixtures import CFG, HOUSE, IDX, LOAD_2, price_index_rows, raw_frame, raw_frames, seed_frame
 from keyfig.plans.pipeline import Pipeline
-from keyfig.plans import refresh, core
+from keyfig.plans import core, refresh, staging
 
 
 def mart(spark, raw=None, cfg=CFG):
@@ -74,9 +71,8 @@ def test_partial_batch_recomputes_affected_group(spark):
     assert got["Region B"]["avg_disposable_income_dkk"] == 240000
     # incremental == full rebuild
     full = core.fct_labour_market_regional(
-        __import__("keyfig.plans.staging", fromlist=["x"]).src_unemployment(
-            raw["RAW_UNEMPLOYMENT"].unionByName(batch), CFG),
-        __import__("keyfig.plans.staging", fromlist=["x"]).src_local_income(raw["RAW_LOCAL_INCOME"], CFG), dim)
+        staging.src_unemployment(raw["RAW_UNEMPLOYMENT"].unionByName(batch), CFG),
+        staging.src_local_income(raw["RAW_LOCAL_INCOME"], CFG), dim)
     assert sorted(map(tuple, new.drop("_loaded_at").collect())) == sorted(map(tuple, full.drop("_loaded_at").collect()))
 
 
