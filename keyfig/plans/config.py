@@ -36,6 +36,15 @@ RAW_HOUSING_NATIONAL = RawSpec("RAW_HOUSING_NATIONAL", ("EJENDOMSKATE", "BNØGLE
 RAW_SPECS = (RAW_PRICE_INDEX, RAW_PRICE_REGIONAL, RAW_UNEMPLOYMENT, RAW_LOCAL_INCOME,
              RAW_HOUSING_NATIONAL)
 
+# Statistics-API table id of each raw table.
+SOURCE_IDS = {
+    "RAW_PRICE_INDEX": "EJ56",
+    "RAW_PRICE_REGIONAL": "EJ131",
+    "RAW_UNEMPLOYMENT": "AUL01",
+    "RAW_LOCAL_INCOME": "INDKP101",
+    "RAW_HOUSING_NATIONAL": "LABY22",
+}
+
 # Suppression markers treated as NULL.  '..' (suppressed) and ':' (missing) are
 # the statistics API's own; '', '<NA>', 'nan' are what stringified missing values look like.
 DEFAULT_SENTINELS = ("..", ":", "", "<NA>", "nan")

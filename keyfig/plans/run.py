@@ -30,12 +30,13 @@ class PipelineRun:
 
 
 def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed: DataFrame,
-                 warehouse: str, cfg: PipelineConfig, snapshot_ts, accepted_regions: tuple[str, ...],
-                 gate: bool = True) -> PipelineRun:
+                 warehouse: str, cfg: PipelineConfig, snapshot_ts,
+                 accepted_regions: tuple[str, ...] | None = None, gate: bool = True) -> PipelineRun:
     """One run.  ``new_extracts`` are this run's landed raw loads (stamped with their load time);
     they are appended to the raw history, the facts are refreshed incrementally and published
     as new versions, marts are views over them, and the check suite gates the result."""
     wh = warehouse.rstrip("/")
+    accepted_regions = accepted_regions or tuple(cfg.region_local_names)
     landed = {}
     for spec in RAW_SPECS:
         if spec.name in new_extracts:

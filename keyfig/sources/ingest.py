@@ -28,6 +28,15 @@ class SourceSpec:
     description: str = field(default="")
 
 
+def landing_specs(landing: str, source_ids: dict[str, str] | None = None) -> list[SourceSpec]:
+    """One spec per raw table, reading every file under ``<landing>/<source id>/`` (a folder
+    may hold several chunk files of one extract, S3)."""
+    from keyfig.plans.config import RAW_SPECS, SOURCE_IDS
+    ids = source_ids or SOURCE_IDS
+    return [SourceSpec(ids[s.name], s.name, (f"{landing.rstrip('/')}/{ids[s.name]}",), s.columns)
+            for s in RAW_SPECS if s.name in ids]
+
+
 STATUS_SCHEMA = T.StructType([
     T.StructField("source_id", T.StringType()), T.StructField("target", T.StringType()),
     T.StructField("status", T.StringType()), T.StructField("rows", T.LongType()),

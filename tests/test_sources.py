@@ -53,3 +53,23 @@ def test_sink_append_and_overwrite(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
     write_table(df, path, overwrite=True)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_landing_specs_feed_the_pipeline(spark, tmp_path):
+    """Extracts landed as ';' files under <landing>/<source id>/ go through ingest into raw
+    tables that the staging models read."""
+    from fixtures import CFG, ROWS
+    from keyfig.plans.config import RAW_SPECS, SOURCE_IDS
+    from keyfig.plans.staging import src_unemployment
+    landing = tmp_path / "landing"
+    for spec in RAW_SPECS:
+        rows = ROWS[spec.name]()
+        df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in spec.columns))
+        D.write_delimited(df, str(landing / SOURCE_IDS[spec.name]))
+    specs = ING.landing_specs(str(landing))
+    assert [s.source_id for s in specs] == ["EJ56", "EJ131", "AUL01", "INDKP101", "LABY22"]
+    wh = str(tmp_path / "wh")
+    status = ING.ingest_all(spark, specs, wh, loaded_at="2024-01-01 06:00:00").collect()
+    assert all(r["status"] == "loaded" for r in status)
+    staged = src_unemployment(spark.read.parquet(f"{wh}/RAW_UNEMPLOYMENT"), CFG)
+    assert {r["area_name"]: r["gross_unemployment_count"] for r in staged.collect()}["Northby"] == 120.0
