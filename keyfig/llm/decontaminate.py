@@ -148,8 +148,8 @@ class TestItems:
         new = np.ones(len(at), bool)
         new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(at)) - 1
-        width = self.window[suffix[tail]] if len(tail) else tail
+        tail = np.append(head[1:], len(at))[:len(head)] - 1
+        width = self.window[suffix[tail]]
         by_doc = np.lexsort((item[head], at[head], doc[head]))
         head, stop, doc = head[by_doc], (at[tail] + width)[by_doc], doc[head][by_doc]
         cut = np.searchsorted(doc, np.arange(len(offsets)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keyfig.llm import decontaminate, fingerprint, langid, packing, secrets, warc
+from keyfig.llm import decontaminate, fingerprint, htmltext, langid, linededup, neardup, packing, repeats, secrets, warc
 from keyfig.llm.common import lookup, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,13 +63,92 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(asked, F.col("n_within")).alias("n_within"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates and number of linked documents, for every document."""
+    return neardup.document_classes(table(spark, sf_dir, "documents"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by differencing with the nearest URLs of its host."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the lines of runs that are at an earlier place."""
+    docs, name = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", f"{name}.n_lines", f"{name}.n_removed", "text")
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each text without byte strings of earlier documents."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_decontamination, op2_warc, op3_language_id, op4_secrets, op5_fingerprint, op10_packing)}
+    op1_decontamination, op2_warc, op3_language_id, op4_secrets, op5_fingerprint, op6_ngram_jaccard,
+    op7_html_text, op8_line_dedup, op9_repeats, op10_packing)}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 #: DuckDB SQL over the registered views, where SQL can express the whole result.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 10) AS k FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS g, k
+            FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM sized)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+grams AS (SELECT r, i, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS g
+          FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows))),
+hits AS (SELECT r, i, k, item_id FROM grams JOIN windows USING (g, k)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM hits)) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY r),
+diagonal AS (SELECT r, item_id, i, j, k, i - row_number() OVER (PARTITION BY r, item_id, i - j, k ORDER BY i) AS island
+             FROM (SELECT g.r, w.item_id, g.i, w.j, g.k FROM grams g JOIN (
+                   SELECT item_id, j, k, list_aggregate(w[j:j + k - 1], 'string_agg', ' ') AS g
+                   FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS j FROM sized)) w USING (g, k))),
+longest AS (SELECT r, max(n) AS longest_match FROM (SELECT r, count(*) + any_value(k) - 1 AS n FROM diagonal GROUP BY r, item_id, i - j, k, island) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest_match, 0) AS longest_match
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r) LEFT JOIN longest USING (r)""",
+    "op2_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS response FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response IS NOT NULL AND response IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response IS DISTINCT FROM page_id THEN response END AS refers_to
+FROM r""",
+    "op8_line_dedup": """
+WITH lines AS (SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line
+               FROM documents WHERE text IS NOT NULL),
+kept AS (SELECT doc_id, i, line, lead(line) OVER w AS l2, lead(line, 2) OVER w AS l3, lead(i) OVER w AS i2, lead(i, 2) OVER w AS i3
+         FROM lines WHERE trim(line) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, i, [i, i2, i3] AS places, line || chr(10) || l2 || chr(10) || l3 AS run FROM kept WHERE i3 IS NOT NULL
+         UNION ALL SELECT doc_id, i, [i], line FROM kept WHERE length(line) - length(replace(line, ' ', '')) + 1 >= 50),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run, len(places) ORDER BY doc_id, i) AS n FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(places) AS i FROM ranked WHERE n > 1)
+SELECT d.doc_id, coalesce(n_lines, 1) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(x.text, CASE WHEN d.text IS NULL THEN NULL ELSE '' END) AS text
+FROM documents d LEFT JOIN (
+  SELECT lines.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed, string_agg(line, chr(10) ORDER BY lines.i) FILTER (gone.i IS NULL) AS text
+  FROM lines LEFT JOIN gone ON lines.doc_id = gone.doc_id AND lines.i = gone.i GROUP BY lines.doc_id) x ON d.doc_id = x.doc_id""",
+    "op9_repeats": """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM docs),
+strings AS (SELECT r, doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM starts),
+owned AS (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM strings),
+gone AS (SELECT r, i, i + 50 AS stop FROM owned WHERE least < doc_id),
+marked AS (SELECT *, CASE WHEN i <= max(stop) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM gone),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS span FROM marked),
+spans AS (SELECT r, span, min(i) AS a, max(stop) AS b FROM numbered GROUP BY r, span),
+cut AS (SELECT r, span, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+parts AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+          FROM cut JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substring(h, 2 * last + 1) END)) AS kept_sha256
+FROM docs LEFT JOIN parts USING (r)""",
+}
