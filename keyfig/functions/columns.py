@@ -6,6 +6,7 @@ none is a Python UDF.
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 from operator import and_
 from typing import Iterable
@@ -81,20 +82,11 @@ def period_to_date(c: str | Column) -> Column:
             .when(s.rlike(r"^[0-9]{4}M(0[1-9]|1[0-2])\z"), F.make_date(year, month, F.lit(1))))
 
 
-def quarter_string(ts: str | Column) -> Column:
-    ts = _col(ts)
-    return F.concat(F.year(ts).cast("string"), F.lit("Q"), F.quarter(ts).cast("string"))
-
-
 def month_string(ts: str | Column) -> Column:
     ts = _col(ts)
     return F.concat(F.year(ts).cast("string"), F.lit("M"), F.lpad(F.month(ts).cast("string"), 2, "0"))
 
 
-def year_string(ts: str | Column) -> Column:
-    return F.year(_col(ts)).cast("string")
-
-
 # --- keys, rounding, ratios, bands, flags (F10, F13, P8-P14) -------------------------------
 
 def surrogate_key(*cols: str | Column) -> Column:
@@ -103,11 +95,34 @@ def surrogate_key(*cols: str | Column) -> Column:
     return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
 
 
+#: From here on a double has no fraction, so there is nothing to round.
+WHOLE_FROM = 2.0**52
+
+
 def round_half_up(c: str | Column, digits: int) -> Column:
-    """Round through ``decimal(28,6)`` so ties resolve identically in every engine.
-    NaN and infinities (e.g. a correlation over constant input) become NULL."""
+    """Round once, half away from zero, on the shortest decimal text of the double, so that ties
+    resolve identically in every engine and at any magnitude.  NaN and infinities (e.g. a
+    correlation over constant input) become NULL."""
+    c = _col(c).cast("double")
+    finite = ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
+    fraction = F.when(F.abs(c) < F.lit(WHOLE_FROM), c)   # 16 digits before the point at most
+    return F.when(finite, F.when(F.abs(c) >= F.lit(WHOLE_FROM), c)
+                  .otherwise(F.round(fraction.cast("decimal(38,20)"), digits).cast("double")))
+
+
+def exact_sum(c: str | Column) -> Column:
+    """Sum of doubles that does not depend on the order of the rows: added up as decimals with
+    12 places; only where a value has no fraction left are doubles added instead."""
+    c = _col(c).cast("double")
+    small = F.abs(c) < F.lit(1e15)
+    exact = F.sum(F.when(small, c).cast("decimal(38,12)")).cast("double")
+    return F.when(F.count_if(~small) > 0, F.sum(c)).otherwise(exact)
+
+
+def exact_avg(c: str | Column) -> Column:
+    """Mean of the non-NULL values: one exact sum, one division."""
     c = _col(c)
-    return F.when(F.abs(c) < F.lit(1e21), F.round(c.cast("decimal(28,6)"), digits).cast("double"))
+    return exact_sum(c) / F.when(F.count(c) > 0, F.count(c))
 
 
 def value_map(c: str | Column, mapping: dict[str, str]) -> Column:
@@ -146,6 +161,14 @@ def safe_ratio(numerator: str | Column, denominator: str | Column, scale: float
     return F.when((d > 0) & n.isNotNull(), round_half_up(n * F.lit(scale) / d, digits))
 
 
+_BYTE_ORDER_MARK = "\ufeff"
+
+
 def normalise_header(name: str) -> str:
-    """Header clean-up: strip a byte-order mark and blanks, upper-case, blanks to '_'."""
-    return name.lstrip("\ufeff").strip().upper().replace(" ", "_")
+    """The column name of a header cell: its words in upper case, joined by '_'.
+
+    Words are what white space of any kind (tabs and no-break spaces too) and byte-order marks
+    separate; runs of them count once.  The name is composed (Unicode NFC), so that an accent
+    typed as a letter and a mark is the letter with the accent."""
+    composed = unicodedata.normalize("NFC", name.replace(_BYTE_ORDER_MARK, " "))
+    return "_".join(word.upper() for word in composed.split())

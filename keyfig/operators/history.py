@@ -29,35 +29,32 @@ def snapshot(history: DataFrame | None, current: DataFrame, key: str, check_cols
     * any checked column differs (NULL-safe) -> close the open version, open a new one;
     * key gone from ``current`` -> close its open version (H2), if enabled;
     * a key that comes back later opens a fresh version.
+
+    A NULL key would match nothing and its history would break off, so it fails the job.
     """
     ts = F.lit(snapshot_ts).cast("timestamp_ntz")
     data_cols = [c for c in current.columns if c != updated_at]
-    cur = current.select(*data_cols).withColumn(updated_at, ts)
+    out_cols = [*data_cols, updated_at, *SCD_COLUMNS]
+    checked = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"snapshot row without {key}"))).otherwise(F.col(key))
+    cur = current.select(*data_cols).withColumn(key, checked.cast(current.schema[key].dataType)).withColumn(updated_at, ts)
     if history is None:
         opened = cur.withColumn("valid_from", ts).withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
-        return opened.withColumn("scd_id", _scd_id(key, "valid_from")).select(*data_cols, updated_at,
-                                                                             *SCD_COLUMNS)
-    out_cols = [*data_cols, updated_at, *SCD_COLUMNS]
+        return opened.withColumn("scd_id", _scd_id(key, "valid_from")).select(*out_cols)
     closed = history.where(F.col("valid_to").isNotNull()).select(*out_cols)
-    open_ = history.where(F.col("valid_to").isNull()).select(*out_cols)
-
-    o = open_.select(*[F.col(c).alias(f"o_{c}") for c in out_cols])
-    n = cur.select(*[F.col(c).alias(f"n_{c}") for c in [*data_cols, updated_at]])
-    j = o.join(n, F.col(f"o_{key}") == F.col(f"n_{key}"), "full_outer")
-    changed = reduce(or_, [~F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}")) for c in check_cols])
-    has_o, has_n = F.col(f"o_{key}").isNotNull(), F.col(f"n_{key}").isNotNull()
-
-    def old(valid_to):
-        return [*(F.col(f"o_{c}").alias(c) for c in [*data_cols, updated_at, "scd_id", "valid_from"]),
-                valid_to.alias("valid_to")]
-
-    new_version = [*(F.col(f"n_{c}").alias(c) for c in [*data_cols, updated_at]),
-                   F.md5(F.concat_ws("|", F.col(f"n_{key}").cast("string"), ts.cast("string"))).alias("scd_id"),
-                   ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to")]
-
-    kept = j.where(has_o & has_n & ~changed).select(*old(F.col("o_valid_to")))
-    superseded = j.where(has_o & has_n & changed).select(*old(ts))
-    gone_to = ts if invalidate_hard_deletes else F.col("o_valid_to")
-    gone = j.where(has_o & ~has_n).select(*old(gone_to))
-    opened = j.where(has_n & (~has_o | changed)).select(*new_version)
-    return closed.unionByName(kept).unionByName(superseded).unionByName(gone).unionByName(opened)
+    open_ = history.where(F.col("valid_to").isNull())
+
+    # one full outer join; each pair gives the old version (kept or closed), a new one, or both
+    o = open_.select(F.col(key).alias("_key"), F.struct(*out_cols).alias("_old"))
+    n = cur.select(F.col(key).alias("_key"), F.struct(*data_cols, updated_at).alias("_new"))
+    j = o.join(n, "_key", "full_outer")
+    old, new = F.col("_old"), F.col("_new")
+    changed = reduce(or_, [~old[c].eqNullSafe(new[c]) for c in check_cols])
+    valid_to = (F.when(new.isNull(), ts if invalidate_hard_deletes else old["valid_to"])
+                .when(changed, ts).otherwise(old["valid_to"]))
+    old_row = F.when(old.isNotNull(), F.struct(*[old[c].alias(c) for c in out_cols[:-1]], valid_to.alias("valid_to")))
+    new_row = F.when(new.isNotNull() & (old.isNull() | changed), F.struct(
+        *[new[c].alias(c) for c in [*data_cols, updated_at]],
+        F.md5(F.concat_ws("|", new[key].cast("string"), ts.cast("string"))).alias("scd_id"),
+        ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to")))
+    versions = j.select(F.explode(F.array_compact(F.array(old_row, new_row))).alias("_row")).select("_row.*")
+    return closed.unionByName(versions)

@@ -7,18 +7,19 @@ which Spark's partition discovery turns into a pruned scan.  No table format is
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfig.operators.joins import anti_join, join_dimension
-from keyfig.operators.reshape import latest_by
 
 VERSION = "_version"
 
 
 # ------------------------------------------------------------------- versioned Parquet tables
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def committed_versions(spark: SparkSession, base: str) -> list[int]:
     """Committed versions, from a directory listing (no data or footer is read, so the cost
     does not grow with the table).  A version counts once its ``_SUCCESS`` marker exists."""
     from keyfig.sources.sink import list_dir, path_exists
@@ -32,7 +33,7 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
-    v = _versions(spark, base)
+    v = committed_versions(spark, base)
     return v[-1] if v else None
 
 
@@ -52,7 +53,7 @@ def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) ->
     spark = df.sparkSession
     nxt = (current_version(spark, base) or 0) + 1
     path = f"{base}/{VERSION}={nxt}"
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -99,7 +100,8 @@ def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str],
            check_unique: bool = True) -> DataFrame:
     """Rows of ``batch`` replace target rows with the same key; the rest are inserted.
     The batch is checked for key uniqueness first (a duplicate key would duplicate rows) unless
-    the caller's batch is unique by construction (grouped on the key), which spares a pass."""
+    the caller's batch is unique by construction (grouped on the key), which spares a pass.  The
+    check, the anti join and the union each read the batch: pass one that is stored."""
     keys = [key] if isinstance(key, str) else list(key)
     if check_unique:
         dup = batch.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
@@ -112,38 +114,6 @@ def upsert(target: DataFrame | None, batch: DataFrame, key: str | list[str],
     return kept.unionByName(batch)
 
 
-def merge_latest(target: DataFrame | None, batch: DataFrame, keys: list[str],
-                 order: list[str]) -> DataFrame:
-    """Upsert where the newest row (by ``order``) wins, so replays and out-of-order batches
-    converge to the same table (used by the file stream)."""
-    both = batch if target is None else sync_columns(target, batch.columns).unionByName(batch)
-    return latest_by(both, keys, order)
-
-
-def merge_latest_partitions(spark: SparkSession, base: str, batch: DataFrame, keys: list[str],
-                            order: list[str], partition_col: str, staging: str) -> None:
-    """Latest-wins merge that rewrites only the partitions (e.g. periods) a batch touches.
-
-    The touched partitions of the table and the batch are merged into a staging folder first,
-    then copied over the table with dynamic partition overwrite -- so no job overwrites a path
-    it reads, untouched partitions are never rewritten, and a replay after a crash between the
-    two writes converges to the same table (the merge is idempotent)."""
-    from keyfig.sources.sink import path_exists
-    touched = batch.select(partition_col).distinct()
-    if not path_exists(spark, base):
-        # first batch: nothing to merge with, nothing being read -- write the table directly
-        (latest_by(batch, keys, order).hint("rebalance", partition_col).write.mode("overwrite")
-         .partitionBy(partition_col).parquet(base))
-        return
-    # touched partitions: few, but only known at run time -- AQE broadcasts them once measured
-    current = spark.read.parquet(base).join(touched, partition_col, "left_semi")
-    merged = merge_latest(current, batch, keys, order)
-    # REBALANCE: AQE groups each partition's rows into few files and splits a hot partition
-    merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    (spark.read.parquet(staging).hint("rebalance", partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(base))
-
-
 # ------------------------------------------------------------------- I6 affected groups
 
 def affected_groups(new_rows: DataFrame, child_col: str, period_col: str, dim: DataFrame,
@@ -155,12 +125,29 @@ def affected_groups(new_rows: DataFrame, child_col: str, period_col: str, dim: D
     return j.select(F.col("_parent").alias(parent), F.col(period_col).alias("period_year")).distinct()
 
 
-def restrict_to_groups(rows: DataFrame, groups: DataFrame, child_col: str, dim: DataFrame,
-                       child_key: str = "municipality_name", parent: str = "region_name") -> DataFrame:
-    """Full history of the children whose (parent, year) group is affected (semi join)."""
+def cells_of_groups(groups: DataFrame, dim: DataFrame, child_key: str = "municipality_name",
+                    parent: str = "region_name") -> DataFrame:
+    """The (child, period) cells that make up the affected groups, as (_child, _year)."""
+    g = groups.select(F.col(parent).alias("_g_parent"), F.col("period_year").alias("_year"))
     m = dim.select(F.col(child_key).alias("_child"), F.col(parent).alias("_parent"))
-    tagged = join_dimension(rows, m, F.col(child_col) == F.col("_child"), "inner")
-    g = groups.select(F.col(parent).alias("_g_parent"), F.col("period_year").alias("_g_year"))
-    hit = tagged.join(g, (F.col("_parent") == F.col("_g_parent")) & (F.col("period_year") == F.col("_g_year")),
-                      "left_semi")
-    return hit.drop("_child", "_parent")
+    return m.join(g, F.col("_parent") == F.col("_g_parent")).select("_child", "_year")
+
+
+# ------------------------------------------------------------------- ledger of applied loads
+
+def loads(raw: dict[str, DataFrame], column: str = "_LOADED_AT") -> DataFrame:
+    """The load instants of each source, as (source, loaded_at)."""
+    parts = [df.select(F.lit(name).alias("source"), F.col(column).alias("loaded_at")).distinct()
+             for name, df in raw.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def not_applied(raw: DataFrame, source: str, applied: DataFrame | None, column: str = "_LOADED_AT") -> DataFrame:
+    """Rows of the loads that the ledger does not have for this source, however late they come.
+
+    Every source has its own entries, so a load of one that arrives after a newer load of another
+    is still new.  The ledger has a row per load; AQE broadcasts it by its measured size."""
+    if applied is None:
+        return raw
+    done = applied.where(F.col("source") == F.lit(source)).select(F.col("loaded_at").alias("_done"))
+    return raw.join(done, F.col(column) == F.col("_done"), "left_anti")

@@ -7,24 +7,32 @@ after proving it has at most ``max_rows`` rows; beyond that the join is left to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Upper bound on rows for an explicit broadcast (a few MB for reference tables).
 BROADCAST_MAX_ROWS = 100_000
 
 
-_CHECKED: dict[tuple, bool] = {}
+# Bytes of a broadcast side at most (rows may be wide).
+BROADCAST_MAX_BYTES = 64 << 20
 
+_CHECKED: dict[tuple, list[tuple[DataFrame, bool]]] = {}
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size check that touches at most ``max_rows + 1`` rows of ``df``.  The answer is kept per
-    session and logical plan (``semanticHash``), so a dimension that many joins and queries use
-    is counted once."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes as text; touches at
+    most ``max_rows + 1`` rows.  The answer is kept per session for frames with the same
+    semantics, so a dimension that many joins of a query use is counted once; frames read from
+    files that were written since have another file index and are counted again."""
+    known = _CHECKED.setdefault((df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows), [])
+    for frame, answer in known:
+        if frame.sameSemantics(df):
+            return answer
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    known.append((df, n <= max_rows and size <= max_bytes))
+    return known[-1][1]
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
@@ -47,17 +55,3 @@ def semi_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
 def anti_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` without a match in ``keys``."""
     return df.join(keys, on, "left_anti")
-
-
-def full_outer_coalesced(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on equally named keys; the USING form coalesces the keys."""
-    return left.join(right, keys, "full_outer")
-
-
-def eq(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    """Conjunctive equality condition over differently named keys."""
-    cond = None
-    for lcol, rcol in pairs:
-        c = left[lcol] == right[rcol]
-        cond = c if cond is None else cond & c
-    return cond

@@ -56,18 +56,13 @@ def estimate_cells(profile: DataFrame, selected: dict[str, int] | None = None) -
                       (cells > WARN_CELLS).alias("above_warn"), (cells > MAX_CELLS).alias("above_limit"))
 
 
-def metadata_document(df: DataFrame, dims: list[str], time_col: str | None = None,
-                      members_per_row: int = 10_000) -> DataFrame:
+def metadata_document(df: DataFrame, dims: list[str], time_col: str | None = None, buckets: int = 64) -> DataFrame:
     """S15 writer side: rows of ``{id, text, time, values[].{id, text}}`` (the layout of the
-    statistics API's table metadata).  A variable's members are spread by hash over
-    ``ceil(n / members_per_row)`` rows, so no row or task holds an unbounded member list;
-    readers union the rows of a variable."""
+    statistics API's table metadata).  At every size a variable is one to ``buckets`` rows, each
+    with the members of one hash bucket, so no row or task holds all members of a large variable;
+    readers unite the rows of a variable."""
     long = stack_members(df, dims, time_col).where(F.col("member").isNotNull()).distinct()
-    sizes = long.groupBy(F.col("variable").alias("_v")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(members_per_row)).cast("int").alias("_rows"))
-    long = (long.join(F.broadcast(sizes), F.col("variable") == F.col("_v"))   # one row per variable
-            .withColumn("_bucket", F.pmod(F.hash("member"), F.greatest(F.col("_rows"), F.lit(1)))))
-    return long.groupBy("variable", "is_time", "_bucket").agg(
+    return long.groupBy("variable", "is_time", F.pmod(F.hash("member"), F.lit(buckets)).alias("_bucket")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("member").alias("id"), F.col("member").alias("text"))))
         .alias("values")).select(F.col("variable").alias("id"), F.col("variable").alias("text"),
                                  F.col("is_time").alias("time"), "values")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfig.functions.columns import null_if_sentinel
+from keyfig.functions.columns import exact_sum, null_if_sentinel
 from keyfig.plans.config import DEFAULT_SENTINELS
 
 
@@ -88,7 +88,7 @@ def eliminate_dimension(df: DataFrame, drop: Iterable[str], value_col: str,
     out of the request)."""
     drop = set(drop)
     keep = [c for c in (keep if keep is not None else df.columns) if c not in drop and c != value_col]
-    return df.groupBy(*keep).agg(F.sum(value_col).alias(alias or value_col))
+    return df.groupBy(*keep).agg(exact_sum(value_col).alias(alias or value_col))
 
 
 def unpivot_metrics(df: DataFrame, id_cols: list[str], mapping: Mapping[str, str],

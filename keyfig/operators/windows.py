@@ -7,16 +7,10 @@ window has to hold a whole entity's history in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfig.functions.columns import round_half_up
-from keyfig.operators.joins import has_at_most
-
-
-def rank_within(df: DataFrame, partition: list[str], order: Column, name: str = "rank") -> DataFrame:
-    """``rank()`` within each partition."""
-    return df.withColumn(name, F.rank().over(Window.partitionBy(*partition).orderBy(order)))
 
 
 def change_vs_previous(df: DataFrame, keys: list[str], period: str, value: str,
@@ -52,8 +46,8 @@ def keep_last_n_periods(df: DataFrame, period: str, n: int | None) -> DataFrame:
     if n is None:
         return df
     chosen = last_n_periods(df, period, n).withColumnRenamed(period, "_p")
-    side = F.broadcast(chosen) if has_at_most(chosen, max(n, 1)) else chosen
-    return df.join(side, F.col(period) == F.col("_p"), "left_semi")
+    # n rows by construction, so no size check is needed
+    return df.join(F.broadcast(chosen), F.col(period) == F.col("_p"), "left_semi")
 
 
 def first_k_members(long: DataFrame, variable: str, member: str, k: int = 5,

@@ -20,7 +20,7 @@ class RawSpec:
     value: str = "INDHOLD"
     loaded_at: str = "_LOADED_AT"
     src_table: str = "_SRC_TABLE"
-    decimal_comma: bool = False
+    decimal_comma: bool = True     # the extracts are written with decimal commas
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -28,7 +28,7 @@ class RawSpec:
 
 
 # Raw table layouts (column names as delivered by the statistics API).
-RAW_PRICE_INDEX = RawSpec("RAW_PRICE_INDEX", ("OMRÅDE", "EJENDOMSKATE", "TAL"), decimal_comma=True)
+RAW_PRICE_INDEX = RawSpec("RAW_PRICE_INDEX", ("OMRÅDE", "EJENDOMSKATE", "TAL"))
 RAW_PRICE_REGIONAL = RawSpec("RAW_PRICE_REGIONAL", ("REGION", "EJENDOMSKATE", "BNØGLE"))
 RAW_UNEMPLOYMENT = RawSpec("RAW_UNEMPLOYMENT", ("YDELSESTYPE", "OMRÅDE"))
 RAW_LOCAL_INCOME = RawSpec("RAW_LOCAL_INCOME", ("OMRÅDE", "ENHED", "INDKOMSTTYPE"))
@@ -127,7 +127,7 @@ REFERENCE = PipelineConfig(
 
 
 # Labels produced by the binding of the shared test tables (see keyfig.sources.binding):
-# regions are TPC-H regions, "municipalities" are nations, categories are market segments,
+# regions are TPC-H regions, "municipalities" are customers, categories are market segments,
 # metric members are order priorities, benefit types are order statuses.
 TPCH_REGION_LOCAL_NAMES = {
     "AFRICA": "Region Africa",

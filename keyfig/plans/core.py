@@ -9,16 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfig.functions.columns import surrogate_key, value_map
+from keyfig.functions.columns import exact_avg, exact_sum, surrogate_key, value_map
 from keyfig.operators.joins import distinct_lookup, join_dimension
 from keyfig.plans.config import PipelineConfig
 
-HOUSING_COLUMNS = ["price_index_id", "region_name_dst", "region_name", "property_category",
-                   "period_quarter", "period_year", "period_quarter_num", "price_index",
-                   "pct_change_qoq", "pct_change_yoy", "_loaded_at"]
-LABOUR_COLUMNS = ["labour_regional_id", "region_name", "period_year", "total_gross_unemployment",
-                  "avg_disposable_income_dkk", "municipality_count", "_loaded_at"]
-
 
 def dim_municipalities(seed: DataFrame, cfg: PipelineConfig, with_load_time: bool = True) -> DataFrame:
     """M6: seed rows plus the region's name in the price tables' naming (P8) and the build
@@ -64,8 +58,8 @@ def unemployment_by_region(src_unemployment: DataFrame, dim: DataFrame) -> DataF
     sum and distinct child count per (region, year)."""
     j = join_dimension(src_unemployment, _members(dim), F.col("area_name") == F.col("_m_name"), "inner")
     return j.groupBy(F.col("_m_region").alias("region_name"), "period_year").agg(
-        F.sum("gross_unemployment_count").alias("total_gross_unemployment"),
-        F.count_distinct("area_name").alias("municipality_count_unemp"),
+        exact_sum("gross_unemployment_count").alias("total_gross_unemployment"),
+        F.count_distinct("area_name").alias("unemployment_areas"),
         F.max("_loaded_at").alias("_lu"))
 
 
@@ -74,8 +68,8 @@ def income_by_region(src_local_income: DataFrame, dim: DataFrame) -> DataFrame:
     j = join_dimension(src_local_income, _members(dim), F.col("municipality_name") == F.col("_m_name"),
                        "inner")
     return j.groupBy(F.col("_m_region").alias("region_name"), "period_year").agg(
-        F.avg("avg_disposable_income_dkk").alias("avg_disposable_income_dkk"),
-        F.count_distinct("municipality_name").alias("municipality_count_income"),
+        exact_avg("avg_disposable_income_dkk").alias("avg_disposable_income_dkk"),
+        F.count_distinct("municipality_name").alias("income_areas"),
         F.max("_loaded_at").alias("_li"))
 
 
@@ -87,7 +81,7 @@ def combine_labour(u: DataFrame, i: DataFrame) -> DataFrame:
             .select(surrogate_key("region_name", "period_year").alias("labour_regional_id"),
                     "region_name", "period_year", "total_gross_unemployment",
                     "avg_disposable_income_dkk",
-                    F.coalesce("municipality_count_unemp", "municipality_count_income")
+                    F.coalesce("unemployment_areas", "income_areas")
                     .alias("municipality_count"),
                     F.greatest("_lu", "_li").alias("_loaded_at")))
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyfig.functions.columns import all_not_null, band, equals_flag, round_half_up, safe_ratio
+from keyfig.functions.columns import (all_not_null, band, equals_flag, exact_avg, exact_sum,
+                                      round_half_up, safe_ratio)
 from keyfig.plans.config import PipelineConfig
 
 AFFORDABILITY_COLUMNS = [
@@ -23,8 +24,8 @@ def annual_housing(fct_housing: DataFrame) -> DataFrame:
     """A9 quarter -> year: periods without an index value are dropped before counting."""
     return (fct_housing.where(F.col("price_index").isNotNull())
             .groupBy("region_name", "region_name_dst", "period_year")
-            .agg(round_half_up(F.avg("price_index"), 1).alias("avg_annual_price_index"),
-                 round_half_up(F.avg("pct_change_yoy"), 2).alias("avg_yoy_price_change_pct"),
+            .agg(round_half_up(exact_avg("price_index"), 1).alias("avg_annual_price_index"),
+                 round_half_up(exact_avg("pct_change_yoy"), 2).alias("avg_yoy_price_change_pct"),
                  F.count(F.lit(1)).alias("quarters_with_data")))
 
 
@@ -32,8 +33,8 @@ def annual_regional_prices(src_price_regional: DataFrame) -> DataFrame:
     """A9 month -> year with unit scaling (thousands -> millions, P13)."""
     return (src_price_regional.where(F.col("avg_price_dkk_1000").isNotNull())
             .groupBy(F.col("region_name").alias("_rp_region"), F.col("period_year").alias("_rp_year"))
-            .agg(round_half_up(F.avg("avg_price_dkk_1000") / 1000, 2).alias("avg_annual_price_mdkk"),
-                 F.sum("sales_count").alias("annual_sales_count")))
+            .agg(round_half_up(exact_avg("avg_price_dkk_1000") / 1000, 2).alias("avg_annual_price_mdkk"),
+                 exact_sum("sales_count").alias("annual_sales_count")))
 
 
 def mart_housing_affordability(fct_housing: DataFrame, fct_labour: DataFrame,
@@ -75,8 +76,8 @@ def price_trend_ranking(mart: DataFrame) -> DataFrame:
     """Per year and region the average price, ratio and area count, ranked within the year
     by price, highest first with unknown prices ahead (W1), ordered by year and rank (O1)."""
     trends = mart.groupBy("period_year", "region_name").agg(
-        round_half_up(F.avg("avg_annual_price_mdkk"), 2).alias("avg_price_mdkk"),
-        round_half_up(F.avg("price_to_income_ratio"), 2).alias("avg_price_to_income_ratio"),
+        round_half_up(exact_avg("avg_annual_price_mdkk"), 2).alias("avg_price_mdkk"),
+        round_half_up(exact_avg("price_to_income_ratio"), 2).alias("avg_price_to_income_ratio"),
         F.count_distinct("region_name_dst").alias("n_areas"))
     w = Window.partitionBy("period_year").orderBy(F.col("avg_price_mdkk").desc_nulls_first())
     return (trends.withColumn("price_rank", F.rank().over(w))

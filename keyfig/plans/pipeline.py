@@ -1,10 +1,7 @@
 """The pipeline wired together: raw extracts -> staging -> core -> marts, as one lazy plan.
 
-By default ``Pipeline`` only memoises DataFrame *definitions* (no caching of data): Catalyst
-plans every query end to end from the Parquet scans, pruning what a query does not use.  With
-``materialise=True`` every model is written once (``checkpoint`` into the cluster's checkpoint
-folder) and the next layer is built on the written data -- the "build, then test" mode used by
-the check suite, where each model feeds many checks.
+``Pipeline`` only memoises DataFrame *definitions* (no caching of data): Catalyst plans every
+query end to end from the Parquet scans, pruning what a query does not use.
 """
 
 from __future__ import annotations
@@ -22,17 +19,10 @@ from keyfig.sources import binding
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  cfg: PipelineConfig = TPCH, raw: dict[str, DataFrame] | None = None,
-                 seed: DataFrame | None = None, materialise: bool = False):
+                 seed: DataFrame | None = None):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
         self._raw = dict(raw or {})
         self._seed = seed
-        self.materialise = materialise
-        if materialise:
-            from keyfig.session import shared_dir
-            shared_dir(spark)   # make sure a checkpoint folder is registered
-
-    def _m(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.materialise else df
 
     # -- inputs ---------------------------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
@@ -49,53 +39,53 @@ class Pipeline:
     # -- staging --------------------------------------------------------------------------
     @cached_property
     def src_price_index(self) -> DataFrame:
-        return self._m(staging.src_price_index(self.raw(RAW_PRICE_INDEX.name), self.cfg))
+        return staging.src_price_index(self.raw(RAW_PRICE_INDEX.name), self.cfg)
 
     @cached_property
     def src_price_regional(self) -> DataFrame:
-        return self._m(staging.src_price_regional(self.raw(RAW_PRICE_REGIONAL.name), self.cfg))
+        return staging.src_price_regional(self.raw(RAW_PRICE_REGIONAL.name), self.cfg)
 
     @cached_property
     def src_unemployment(self) -> DataFrame:
-        return self._m(staging.src_unemployment(self.raw(RAW_UNEMPLOYMENT.name), self.cfg))
+        return staging.src_unemployment(self.raw(RAW_UNEMPLOYMENT.name), self.cfg)
 
     @cached_property
     def src_local_income(self) -> DataFrame:
-        return self._m(staging.src_local_income(self.raw(RAW_LOCAL_INCOME.name), self.cfg))
+        return staging.src_local_income(self.raw(RAW_LOCAL_INCOME.name), self.cfg)
 
     @cached_property
     def src_housing_national(self) -> DataFrame:
-        return self._m(staging.src_housing_national(self.raw(RAW_HOUSING_NATIONAL.name), self.cfg))
+        return staging.src_housing_national(self.raw(RAW_HOUSING_NATIONAL.name), self.cfg)
 
     # -- core -----------------------------------------------------------------------------
     @cached_property
     def dim_municipalities(self) -> DataFrame:
-        return self._m(core.dim_municipalities(self.seed, self.cfg))
+        return core.dim_municipalities(self.seed, self.cfg)
 
     @cached_property
     def fct_housing_prices(self) -> DataFrame:
-        return self._m(core.fct_housing_prices(self.src_price_index, self.dim_municipalities, self.cfg))
+        return core.fct_housing_prices(self.src_price_index, self.dim_municipalities, self.cfg)
 
     @cached_property
     def fct_labour_market_regional(self) -> DataFrame:
-        return self._m(core.fct_labour_market_regional(self.src_unemployment, self.src_local_income,
-                                               self.dim_municipalities))
+        return core.fct_labour_market_regional(self.src_unemployment, self.src_local_income,
+                                               self.dim_municipalities)
 
     # -- marts ----------------------------------------------------------------------------
     @cached_property
     def mart_housing_affordability(self) -> DataFrame:
-        return self._m(marts.mart_housing_affordability(self.fct_housing_prices,
+        return marts.mart_housing_affordability(self.fct_housing_prices,
                                                 self.fct_labour_market_regional,
-                                                self.src_price_regional))
+                                                self.src_price_regional)
 
     @cached_property
     def mart_labour_housing_correlation(self) -> DataFrame:
-        return self._m(marts.mart_labour_housing_correlation(self.mart_housing_affordability, self.cfg))
+        return marts.mart_labour_housing_correlation(self.mart_housing_affordability, self.cfg)
 
     @cached_property
     def price_trend_ranking(self) -> DataFrame:
-        return self._m(marts.price_trend_ranking(self.mart_housing_affordability))
+        return marts.price_trend_ranking(self.mart_housing_affordability)
 
     @cached_property
     def unemployment_price_correlation(self) -> DataFrame:
-        return self._m(marts.unemployment_price_correlation(self.mart_labour_housing_correlation))
+        return marts.unemployment_price_correlation(self.mart_labour_housing_correlation)

@@ -1,19 +1,26 @@
 """The daily pipeline in explicit order (what the original's orchestrator ran as two processes):
-land new extracts -> dimension -> incremental facts -> marts -> checks (gate) -> dimension
-history.  Timing is left to whoever submits the job."""
+land new extracts -> staging checks -> dimension -> incremental facts -> marts -> history.
+
+Each layer is checked *before* it replaces its published version: a failed check stops the run
+with the previous facts, dimension and history still current.  Timing is left to whoever submits
+the job."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keyfig.operators import history, incremental, quality
+from keyfig.operators import history, incremental, partitions, quality
+from keyfig.operators.joins import anti_join
 from keyfig.plans import core, marts, refresh, staging
 from keyfig.plans.checks import suite
 from keyfig.plans.config import (RAW_HOUSING_NATIONAL, RAW_LOCAL_INCOME, RAW_PRICE_INDEX,
-                                 RAW_PRICE_REGIONAL, RAW_SPECS, RAW_UNEMPLOYMENT, PipelineConfig)
+                                 RAW_PRICE_REGIONAL, RAW_SPECS, RAW_UNEMPLOYMENT, PipelineConfig, RawSpec)
+from keyfig.session import work_path
 from keyfig.sources.sink import path_exists, write_table
 
 
@@ -29,56 +36,114 @@ class PipelineRun:
     municipality_history: DataFrame
 
 
+def raw_schema(spec: RawSpec) -> T.StructType:
+    return T.StructType([*(T.StructField(c, T.StringType()) for c in spec.columns),
+                         T.StructField(spec.loaded_at, T.TimestampNTZType()),
+                         T.StructField(spec.src_table, T.StringType())])
+
+
+def read_raw(spark: SparkSession, warehouse: str, spec: RawSpec) -> DataFrame:
+    """The raw history of a source, partitioned by period; empty if it never was landed.  The
+    schema is given, so periods stay the text they were delivered as."""
+    path = f"{warehouse}/raw/{spec.name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], raw_schema(spec))
+    return spark.read.schema(raw_schema(spec)).parquet(path)
+
+
+def unmatched_names(staged: dict[str, tuple[DataFrame, str]], dim: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """J7 as a result row per model: names that no member, region or total of the dimension has.
+    They fall out of the inner join, so they are told here (status ``warn``)."""
+    known = reduce(DataFrame.unionByName, [
+        dim.select(F.col("municipality_name").alias("_name")), dim.select(F.col("region_name").alias("_name")),
+        dim.sparkSession.createDataFrame([(cfg.total_area,)], "_name string")]).distinct()
+    parts = []
+    for model, (df, column) in staged.items():
+        lost = anti_join(df.select(F.col(column).alias("_name")).distinct(), known, "_name")
+        parts.append(lost.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit("unmatched_names").alias("check_name"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+            "failures", F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed: DataFrame,
                  warehouse: str, cfg: PipelineConfig, snapshot_ts,
                  accepted_regions: tuple[str, ...] | None = None, gate: bool = True) -> PipelineRun:
     """One run.  ``new_extracts`` are this run's landed raw loads (stamped with their load time);
-    they are appended to the raw history, the facts are refreshed incrementally and published
-    as new versions, marts are views over them, and the check suite gates the result."""
+    a source that failed to land is simply not among them.  They are appended to the raw
+    history, which is partitioned by period.  A ledger of applied loads per source tells what
+    the facts do not contain yet -- this run's loads, late ones, and those of a run that failed
+    its checks -- and only the fact partitions that these touch are rewritten."""
     wh = warehouse.rstrip("/")
     accepted_regions = accepted_regions or tuple(cfg.region_local_names)
+    checks = suite(cfg, accepted_regions)
+    results: list[DataFrame] = []
+
+    def passed(models: dict[str, DataFrame]) -> None:
+        """Checks a layer; its results are stored once, the gate reads them."""
+        found = quality.run_checks(spark, models, [c for c in checks if c.model in models])
+        results.append(incremental.publish(found, work_path(spark, "checks")))
+        if gate:
+            quality.gate(results[-1])
+
     landed = {}
     for spec in RAW_SPECS:
         if spec.name in new_extracts:
-            landed[spec.name] = write_table(new_extracts[spec.name], f"{wh}/raw/{spec.name}")
-    raw = {s.name: spark.read.parquet(f"{wh}/raw/{s.name}") for s in RAW_SPECS
-           if path_exists(spark, f"{wh}/raw/{s.name}")}
+            landed[spec.name] = write_table(new_extracts[spec.name], f"{wh}/raw/{spec.name}", partition_by=[spec.period])
+    raw = {s.name: read_raw(spark, wh, s) for s in RAW_SPECS}
 
-    dim = incremental.publish(core.dim_municipalities(seed, cfg), f"{wh}/dim_municipalities")
+    staged = {"src_price_index": staging.src_price_index(raw[RAW_PRICE_INDEX.name], cfg),
+              "src_price_regional": staging.src_price_regional(raw[RAW_PRICE_REGIONAL.name], cfg),
+              "src_unemployment": staging.src_unemployment(raw[RAW_UNEMPLOYMENT.name], cfg),
+              "src_local_income": staging.src_local_income(raw[RAW_LOCAL_INCOME.name], cfg),
+              "src_housing_national": staging.src_housing_national(raw[RAW_HOUSING_NATIONAL.name], cfg)}
+    passed({"seed": seed, **staged})
+
+    dim_new = incremental.publish(core.dim_municipalities(seed, cfg), work_path(spark, "dim"))
+    passed({"dim_municipalities": dim_new})
+    dim = incremental.publish(dim_new, f"{wh}/dim_municipalities")
+    results.append(unmatched_names({"src_unemployment": (staged["src_unemployment"], "area_name"),
+                                    "src_local_income": (staged["src_local_income"], "municipality_name")}, dim, cfg))
 
+    # facts: the change of each is stored, checked and only then replaces its partitions
+    ledger = incremental.read_current(spark, f"{wh}/applied_loads")
+    fresh = {name: incremental.not_applied(raw[name], name, ledger)
+             for name in (RAW_PRICE_INDEX.name, RAW_UNEMPLOYMENT.name, RAW_LOCAL_INCOME.name)}
     hp_base, lab_base = f"{wh}/fct_housing_prices", f"{wh}/fct_labour_market_regional"
-    hp = incremental.publish(
-        refresh.refresh_housing(incremental.read_current(spark, hp_base), raw[RAW_PRICE_INDEX.name], dim, cfg),
-        hp_base)
-    lab = incremental.publish(
-        refresh.refresh_labour(incremental.read_current(spark, lab_base), raw[RAW_UNEMPLOYMENT.name],
-                               raw[RAW_LOCAL_INCOME.name], dim, cfg),
-        lab_base)
-
-    src_pr = staging.src_price_regional(raw[RAW_PRICE_REGIONAL.name], cfg)
-    mart = marts.mart_housing_affordability(hp, lab, src_pr)
-    corr = marts.mart_labour_housing_correlation(mart, cfg)
+    hp_schema = core.fct_housing_prices(staged["src_price_index"], dim, cfg).schema
+    lab_schema = core.fct_labour_market_regional(staged["src_unemployment"], staged["src_local_income"], dim).schema
 
-    models = {"seed": seed, "src_price_index": staging.src_price_index(raw[RAW_PRICE_INDEX.name], cfg),
-              "src_price_regional": src_pr,
-              "src_unemployment": staging.src_unemployment(raw[RAW_UNEMPLOYMENT.name], cfg),
-              "src_local_income": staging.src_local_income(raw[RAW_LOCAL_INCOME.name], cfg),
-              "dim_municipalities": dim, "fct_housing_prices": hp, "fct_labour_market_regional": lab,
-              "mart_housing_affordability": mart, "mart_labour_housing_correlation": corr}
-    if RAW_HOUSING_NATIONAL.name in raw:
-        models["src_housing_national"] = staging.src_housing_national(raw[RAW_HOUSING_NATIONAL.name], cfg)
-    checks = [c for c in suite(cfg, accepted_regions) if c.model in models]
-    results = quality.run_checks(spark, models, checks)
-    if gate:
-        quality.gate(results)
+    def current(base: str, schema: T.StructType) -> DataFrame | None:
+        return partitions.read(spark, base, schema, refresh.PARTITION) if incremental.committed_versions(spark, base) else None
+
+    changes = {
+        hp_base: refresh.refresh_housing(current(hp_base, hp_schema), raw[RAW_PRICE_INDEX.name],
+                                         fresh[RAW_PRICE_INDEX.name], dim, cfg),
+        lab_base: refresh.refresh_labour(current(lab_base, lab_schema), raw[RAW_UNEMPLOYMENT.name], raw[RAW_LOCAL_INCOME.name],
+                                         fresh[RAW_UNEMPLOYMENT.name], fresh[RAW_LOCAL_INCOME.name], dim, cfg)}
+    stored = {base: incremental.publish(c.rows, work_path(spark, "change")) for base, c in changes.items()}
+    passed({"fct_housing_prices": stored[hp_base], "fct_labour_market_regional": stored[lab_base]})
+    for base, change in changes.items():
+        if change.years:
+            partitions.replace(stored[base], base, refresh.PARTITION, change.years)
+    incremental.publish(incremental.loads(raw), f"{wh}/applied_loads")
+    hp = partitions.read(spark, hp_base, hp_schema, refresh.PARTITION)
+    lab = partitions.read(spark, lab_base, lab_schema, refresh.PARTITION)
+
+    # marts are views over the published facts
+    mart = marts.mart_housing_affordability(hp, lab, staged["src_price_regional"])
+    corr = marts.mart_labour_housing_correlation(mart, cfg)
+    passed({"mart_housing_affordability": mart, "mart_labour_housing_correlation": corr})
+    mart.createOrReplaceTempView("mart_housing_affordability")
+    corr.createOrReplaceTempView("mart_labour_housing_correlation")
 
     hist_base = f"{wh}/scd_municipalities"
-    current = dim.select("municipality_code", "municipality_name", "region_code", "region_name")
+    members = dim.select("municipality_code", "municipality_name", "region_code", "region_name")
     hist = incremental.publish(
-        history.snapshot(incremental.read_current(spark, hist_base), current, "municipality_code",
+        history.snapshot(incremental.read_current(spark, hist_base), members, "municipality_code",
                          ["municipality_name", "region_code", "region_name"], snapshot_ts),
         hist_base)
-    return PipelineRun(landed, dim, hp, lab, mart, corr, results, hist)
+    return PipelineRun(landed, dim, hp, lab, mart, corr, reduce(DataFrame.unionByName, results), hist)
 
 
 def full_rebuild(raw: dict[str, DataFrame], seed: DataFrame, cfg: PipelineConfig) -> DataFrame:

@@ -15,26 +15,29 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "keyfig") -> SparkSession:
-    """Create (or reuse) a session with the library's settings.
+    """The running session as it is, or a new one with the library's settings.
 
-    Used by tests, ``bench.py`` and the command line; on a cluster the session normally
-    comes from ``spark-submit`` and only :func:`ensure_settings` is applied to it.
+    A session that already exists (``spark-submit``, notebook) keeps every setting it has, its
+    number of shuffle partitions included; only what it leaves unset gets a default.
     """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return ensure_settings(running)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("KEYFIG_DRIVER_MEMORY", "8g"))
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
+               .config("spark.driver.memory", os.environ.get("KEYFIG_DRIVER_MEMORY", "8g")))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -58,20 +61,22 @@ _FALLBACK: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for materialised tables and cut lineage.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when the session has
-    none -- local tests -- a private folder is created and registered, never on a cluster.
+    Read from ``spark.checkpoint.dir`` or, where that is unset, from the folder registered with
+    ``setCheckpointDir``.  A private folder is made only in local mode, where driver and
+    executors are one process; elsewhere a missing folder is an error, because each executor
+    would write to its own disk.
     """
-    global _FALLBACK
+    context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = _FALLBACK.get(spark.sparkContext.applicationId)
+        path = context.getCheckpointDir() or _FALLBACK.get(context.applicationId)
     if not path:
-        # only reached without a configured folder (local tests): a private one, registered
-        # with the context (core configs cannot be set on a running session)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="keyfig-ckpt-")
-        _FALLBACK[spark.sparkContext.applicationId] = path
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        _FALLBACK[context.applicationId] = path
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return path.rstrip("/")
 
 

@@ -5,15 +5,18 @@ the value as *text*, with suppression markers, appended load after load.  This m
 such extracts from ``orders x customer x nation x region`` so every query's work grows with the
 test tables:
 
-* regions are TPC-H regions, "municipalities" are nations, categories are market segments,
-  metric members are order priorities, benefit types are order statuses;
+* regions are TPC-H regions, "municipalities" are customers (so the member-level extracts, the
+  dimension and all that is built on them grow with the tables), the price index's provinces are
+  nations, categories are market segments, metric members are order priorities, benefit types
+  are order statuses;
 * every cell value is an exact decimal aggregate of ``o_totalprice`` (or an order count)
   written as text; some cells carry a suppression marker instead;
 * two loads are appended: a partial extract (orders before ``CUTOFF``) and a full one.
 
-All extracts are re-aggregations of one pre-aggregated order cube (see :func:`order_cube`); both
-loads come out of one aggregation (conditional sums, then ``inline``) and the three geographic
-levels out of one ``groupingSets``.
+The price extracts are re-aggregations of one pre-aggregated order cube (:func:`order_cube`), the
+member-level ones of a cube per customer and year (:func:`member_cube`); both loads come out of
+one aggregation (conditional sums, then ``inline``) and the geographic levels out of one
+``groupingSets``.
 """
 
 from __future__ import annotations
@@ -92,7 +95,7 @@ def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "o_orderpriority", "o_orderstatus",
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
         month_string("o_orderdate").alias("m_str"))
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     if has_at_most(c, BROADCAST_MAX_ROWS):
         oc = o.withColumn("orders", F.lit(1).cast("bigint")).join(
             F.broadcast(c), F.col("o_custkey") == F.col("c_custkey"), "inner")
@@ -100,10 +103,25 @@ def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_customer = o.groupBy("o_custkey", "o_orderpriority", "o_orderstatus", "m_str").agg(
             F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
         oc = per_customer.join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
-    return oc.select("o_orderpriority", "o_orderstatus", "c_mktsegment", "c_nationkey", "amount",
+    return oc.select("o_orderpriority", "o_orderstatus", "c_name", "c_mktsegment", "c_nationkey", "amount",
                      "orders", "m_str")
 
 
+def member_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per (customer, priority, status, year, load): grows with customers; combined
+    map-side, so a customer with a third of all orders is a few rows per task."""
+    return _memo(spark, sf_dir, "member_cube", lambda: _member_cube(spark, sf_dir))
+
+
+def _member_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cube = order_facts(spark, sf_dir).groupBy(
+        "c_name", "c_nationkey", "o_orderpriority", "o_orderstatus", F.left("m_str", F.lit(4)).alias("y_str"),
+        (F.col("m_str") < F.lit(CUTOFF_MONTH)).alias("early")).agg(
+        F.sum("amount").alias("amount"), F.sum("orders").alias("orders"))
+    return join_dimension(cube, geography(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "inner").select(
+        "c_name", "r_name", "o_orderpriority", "o_orderstatus", "y_str", "early", "amount", "orders")
+
+
 def _order_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = order_facts(spark, sf_dir).groupBy(
         "c_mktsegment", "o_orderpriority", "o_orderstatus", "m_str", "c_nationkey").agg(
@@ -200,12 +218,12 @@ def raw_price_regional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_unemployment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = order_cube(spark, sf_dir)
+    f = member_cube(spark, sf_dir)
     keys = ["o_orderstatus", "y_str"]
-    g = f.groupingSets([[*keys, "r_name", "n_name"], [*keys, "r_name"], keys],
-                       *keys, "r_name", "n_name").agg(
-        *_load_aggs(), F.grouping("r_name").alias("gr"), F.grouping("n_name").alias("gn"))
-    area = (F.when(F.col("gn") == 0, F.col("n_name"))
+    g = f.groupingSets([[*keys, "r_name", "c_name"], [*keys, "r_name"], keys],
+                       *keys, "r_name", "c_name").agg(
+        *_load_aggs(), F.grouping("r_name").alias("gr"), F.grouping("c_name").alias("gm"))
+    area = (F.when(F.col("gm") == 0, F.col("c_name"))
             .when(F.col("gr") == 0, F.col("r_name"))
             .otherwise(F.lit(TPCH_TOTAL)))
     rows = _explode_loads(g, [area.alias("OMRÅDE"), *keys])
@@ -219,12 +237,12 @@ def raw_unemployment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_local_income(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = order_cube(spark, sf_dir)
+    f = member_cube(spark, sf_dir)
     keys = ["o_orderpriority", "y_str"]
-    g = f.groupingSets([[*keys, "r_name", "n_name"], [*keys, "r_name"]],
-                       *keys, "r_name", "n_name").agg(
-        *_load_aggs(), F.grouping("n_name").alias("gn"))
-    area = F.when(F.col("gn") == 0, F.col("n_name")).otherwise(F.col("r_name"))
+    g = f.groupingSets([[*keys, "r_name", "c_name"], [*keys, "r_name"]],
+                       *keys, "r_name", "c_name").agg(
+        *_load_aggs(), F.grouping("c_name").alias("gm"))
+    area = F.when(F.col("gm") == 0, F.col("c_name")).otherwise(F.col("r_name"))
     rows = _explode_loads(g, [area.alias("OMRÅDE"), *keys])
     avg_value = (F.when(_suppressed(F.col("s")), F.lit(SUPPRESSED))
                  .otherwise(_money(F.col("s"), "0.01")))
@@ -267,13 +285,15 @@ RAW_BUILDERS = {
 
 
 def municipality_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The municipality -> region reference table, in the seed's layout."""
-    return _memo(spark, sf_dir, "seed", lambda: geography(spark, sf_dir).select(
-        F.col("n_nationkey").cast("int").alias("municipality_code"),
-        F.col("n_name").alias("municipality_name"),
-        F.col("r_regionkey").cast("int").alias("region_code"),
-        F.col("r_name").alias("region_name"),
-    ))
+    """The municipality -> region reference table, in the seed's layout (a row per customer)."""
+    def build() -> DataFrame:
+        c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+        j = join_dimension(c, geography(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+        return j.select(F.col("c_custkey").cast("int").alias("municipality_code"),
+                        F.col("c_name").alias("municipality_name"),
+                        F.col("r_regionkey").cast("int").alias("region_code"),
+                        F.col("r_name").alias("region_name"))
+    return _memo(spark, sf_dir, "seed", build)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -4,21 +4,17 @@ audit columns (S5) and export (S14)."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from datetime import datetime, timezone
-from typing import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keyfig.functions.columns import normalise_header
 from keyfig.operators.joins import join_dimension
 from keyfig.operators.reshape import clean_sentinels
 from keyfig.plans.config import DEFAULT_SENTINELS
-
-
-def all_string_schema(columns: Iterable[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+from keyfig.sources.sink import data_files, first_line
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -35,19 +31,39 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 def read_delimited(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None,
                    sep: str = ";", header: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """``sep``-separated text with a header row, every column read as text (no inference
-    pass over the data, no type drift between loads).  Headers are normalised (S2); with
-    ``columns`` the expected columns are then picked *by name*, so a file whose columns come in
-    another order still lines up, and a missing column is an error."""
-    df = (spark.read.option("sep", sep).option("header", header).option("encoding", encoding)
-          .option("mode", "FAILFAST").option("inferSchema", False).csv(paths))
-    df = normalise_headers(df)
+    pass over the data, no type drift between loads).  Headers are normalised (S2).  Columns are
+    matched *by name*: each file's own first line says what its columns are (files of one header
+    are one scan, the scans are united by name), so files whose columns come in another order
+    line up.  With ``columns`` these are returned and a file that lacks one is an error; without,
+    all files must have the same names."""
+    def scan(files: str | list[str]) -> DataFrame:
+        df = (spark.read.option("sep", sep).option("header", header).option("encoding", encoding)
+              .option("mode", "FAILFAST").option("inferSchema", False).csv(files))
+        return normalise_headers(df)
+
+    frames = [scan(files) for files in _files_by_header(spark, paths, encoding)] if header else []
+    frames = frames or [scan(paths)]
     if columns is None:
-        return df
-    wanted = [normalise_header(c) for c in columns]
-    missing = [c for c in wanted if c not in df.columns]
-    if missing:
-        raise ValueError(f"extract lacks columns {missing}; has {df.columns}")
-    return df.select(*[F.col(c).cast("string") for c in wanted])
+        if any(set(f.columns) != set(frames[0].columns) for f in frames):
+            raise ValueError(f"files with different columns: {[f.columns for f in frames]}")
+        wanted = frames[0].columns
+    else:
+        wanted = [normalise_header(c) for c in columns]
+        for df in frames:
+            missing = [c for c in wanted if c not in df.columns]
+            if missing:
+                raise ValueError(f"extract lacks columns {missing}; has {df.columns}")
+    return reduce(DataFrame.unionByName, [df.select(*[F.col(c).cast("string") for c in wanted]) for df in frames])
+
+
+def _files_by_header(spark: SparkSession, paths: str | list[str], encoding: str) -> list[list[str]]:
+    """Data files grouped by their first line, which is read through the cluster file system
+    (a few bytes a file; no data row is touched)."""
+    groups: dict[str, list[str]] = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        for file in data_files(spark, path):
+            groups.setdefault(first_line(spark, file, encoding), []).append(file)
+    return list(groups.values())
 
 
 def with_audit(df: DataFrame, source_id: str, loaded_at: datetime | str | None = None,

@@ -43,13 +43,55 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in p.getFileSystem(jsc.hadoopConfiguration()).listStatus(p)]
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files that a scan of ``path`` (file, folder or glob) reads, in order."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(jsc.hadoopConfiguration())
+    out, todo = [], list(fs.globStatus(p) or [])
+    while todo:
+        st = todo.pop()
+        name = st.getPath().getName()
+        if st.isDirectory():
+            todo += [x for x in fs.listStatus(st.getPath())
+                     if not (x.getPath().getName().startswith(("_", ".")) and "=" not in x.getPath().getName())]
+        elif not name.startswith(("_", ".")) and st.getLen() > 0:
+            out.append(st.getPath().toString())
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, file: str, encoding: str = "UTF-8") -> str:
+    """The first line of a text file (compressed ones too) on the cluster file system."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(file)
+    stream = p.getFileSystem(jsc.hadoopConfiguration()).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(jsc.hadoopConfiguration()).getCodec(p)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        codec.createInputStream(stream) if codec is not None else stream, encoding))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def write_table(df: DataFrame, path: str, overwrite: bool = False,
                 partition_by: list[str] | None = None) -> int:
     """Append (default; U3) or overwrite (full refresh; I4); the folder is created when
     absent.  Returns rows written, observed during the write."""
     obs = Observation(f"sink_{uuid.uuid4().hex}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode("overwrite" if overwrite else "append")
+    # a refresh replaces the whole table, whatever the session says about partitions
+    writer = out.write.mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

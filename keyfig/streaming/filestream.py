@@ -2,7 +2,7 @@
 
 Each new file is processed once (the streaming checkpoint replaces the load watermark); every
 micro-batch is merged into a "latest cell" table, partitioned by period, where the newest load of
-a cell wins.  Only the periods a batch touches are rewritten.  Latest-wins merging is idempotent
+a cell wins.  Only the periods a batch touches are written, once, as a new version of them.  Latest-wins merging is idempotent
 and order-insensitive, so a replayed batch (after an executor or driver loss between the write
 and the checkpoint commit) converges to the same table.
 """
@@ -12,26 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from keyfig.operators.incremental import merge_latest_partitions
+from keyfig.operators import partitions
 
 
 def stream_latest_cells(spark: SparkSession, landing: str, schema: T.StructType, keys: list[str],
                         order: list[str], target: str, checkpoint: str, partition_col: str,
-                        files_per_batch: int | None = 1, fmt: str = "parquet") -> DataFrame:
+                        files_per_batch: int | None = None, fmt: str = "parquet") -> DataFrame:
     """Process every file under ``landing`` not yet seen by ``checkpoint``; returns the current
     latest-cell table, partitioned by ``partition_col`` (a batch rewrites only the partitions it
-    touches)."""
+    touches).  All waiting files are one batch unless ``files_per_batch`` says otherwise."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.load(landing)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_latest_partitions(spark, target, batch, keys, order, partition_col,
-                                staging=f"{checkpoint}/_staging/batch={batch_id}")
+        partitions.merge_latest(spark, target, batch, keys, order, partition_col)
 
     query = (stream.writeStream.foreachBatch(merge_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.parquet(target)
+    return partitions.read(spark, target, schema, partition_col)

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window as W_
 from pyspark.sql import functions as F
 
 from keyfig.functions.columns import round_half_up
@@ -104,6 +104,7 @@ from keyfig.functions import columns as C  # noqa: E402
 from keyfig.operators import history as H  # noqa: E402
 from keyfig.operators import incremental as I  # noqa: E402
 from keyfig.operators import joins as J  # noqa: E402
+from keyfig.operators import partitions as PART  # noqa: E402
 from keyfig.operators import profile as PR  # noqa: E402
 from keyfig.operators import quality as Q  # noqa: E402
 from keyfig.operators import reshape as R  # noqa: E402
@@ -113,6 +114,7 @@ from keyfig.plans import marts as MARTS  # noqa: E402
 from keyfig.plans import refresh as REFRESH  # noqa: E402
 from keyfig.plans import staging as STG  # noqa: E402
 from keyfig.plans.checks import suite  # noqa: E402
+from keyfig.plans.run import raw_schema  # noqa: E402
 from keyfig.plans.config import (RAW_HOUSING_NATIONAL, RAW_LOCAL_INCOME, RAW_PRICE_INDEX,  # noqa: E402
                                  RAW_PRICE_REGIONAL, RAW_SPECS, RAW_UNEMPLOYMENT, TPCH,
                                  TPCH_REGION_LOCAL_NAMES, PipelineConfig)
@@ -132,9 +134,9 @@ def raw(spark, sf_dir, name):
     return P(spark, sf_dir).raw(name)
 
 
-def first_load(df: DataFrame, col: str = "_LOADED_AT"):
-    """The first load instant of a raw table (one scalar to the driver)."""
-    return df.agg(F.min(col)).first()[0]
+def first_load():
+    """The first load instant of the binding's raw tables (known, so no pass over them)."""
+    return F.lit(binding.LOAD_1).cast("timestamp_ntz")
 
 
 def labour_rounded(df: DataFrame) -> DataFrame:
@@ -207,10 +209,13 @@ def h2(spark, sf_dir):
 # ---------------------------------------------------------------- sources and sinks
 @register("S1")
 def s1(spark, sf_dir):
-    """Land an extract as ';'-separated text with decimal commas, scan it back, parse numbers."""
+    """Land an extract as ';'-separated text with decimal commas, one load with its columns in
+    another order, scan both folders back in one read, parse numbers."""
     path = work_path(spark, "s1")
-    D.write_delimited(raw(spark, sf_dir, RPI).select(*TEXT_COLS[RPI]), path)
-    df = D.read_delimited(spark, path, TEXT_COLS[RPI])
+    r = raw(spark, sf_dir, RPI)
+    D.write_delimited(r.where(F.col("_LOADED_AT") <= first_load()).select(*TEXT_COLS[RPI]), f"{path}/a")
+    D.write_delimited(r.where(F.col("_LOADED_AT") > first_load()).select(*reversed(TEXT_COLS[RPI])), f"{path}/b")
+    df = D.read_delimited(spark, [f"{path}/a", f"{path}/b"], TEXT_COLS[RPI])
     return df.withColumn("value", C.parse_number("INDHOLD", decimal_comma=True))
 
 
@@ -432,8 +437,11 @@ def p14(spark, sf_dir):
 
 @register("P15")
 def p15(spark, sf_dir):
-    return P(spark, sf_dir).dim_municipalities.select(
-        "municipality_code", F.col("_loaded_at").isNotNull().alias("has_load_time"))
+    dim = P(spark, sf_dir).dim_municipalities
+    # the build instant: one for all rows, and within the hour before now
+    one = dim.agg(F.count_distinct("_loaded_at").alias("instants"))
+    recent = F.col("_loaded_at").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
+    return dim.crossJoin(F.broadcast(one)).select("municipality_code", (recent & (F.col("instants") == 1)).alias("has_load_time"))
 
 
 # ---------------------------------------------------------------- joins
@@ -485,7 +493,7 @@ def j5(spark, sf_dir):
 
 def _staged_first_load_unemployment(spark, sf_dir):
     r = raw(spark, sf_dir, RUN)
-    return STG.src_unemployment(r.where(F.col("_LOADED_AT") <= F.lit(first_load(r))), TPCH)
+    return STG.src_unemployment(r.where(F.col("_LOADED_AT") <= first_load()), TPCH)
 
 
 @register("J6")
@@ -553,7 +561,8 @@ def a5(spark, sf_dir):
 def a6(spark, sf_dir):
     u, i = _labour_parts(spark, sf_dir)
     return u.join(i, ["region_name", "period_year"], "full_outer").select(
-        "region_name", "period_year", "municipality_count_unemp", "municipality_count_income")
+        "region_name", "period_year", F.col("unemployment_areas").alias("municipality_count_unemp"),
+        F.col("income_areas").alias("municipality_count_income"))
 
 
 @register("A7")
@@ -638,14 +647,30 @@ def w3(spark, sf_dir):
         "price_index_id", "region_name_dst", "period_quarter", "price_index", "qoq_recomputed")
 
 
+def with_place(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` sorted, each row with its place in the sorted result.  The sort is Spark's range
+    sort over all partitions; the place follows from the partition's number, the rows before it
+    (a count per partition) and the row's number within it."""
+    spark = df.sparkSession
+    df.orderBy(*order).write.parquet(path := work_path(spark, "sorted"))
+    rows = spark.read.schema(df.schema).parquet(path)
+    rows = rows.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-([0-9]+)", 1).cast("int").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))      # a row per file
+    before = W_.orderBy("_file").rowsBetween(W_.unboundedPreceding, -1)
+    sizes = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(sizes), "_file").withColumn("place", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
+
+
 @register("O1")
 def o1(spark, sf_dir):
-    return P(spark, sf_dir).price_trend_ranking.orderBy("period_year", "price_rank", "region_name")
+    """Sorted; the place that each row has in the sorted result is part of it."""
+    return with_place(P(spark, sf_dir).price_trend_ranking, ["period_year", "price_rank", "region_name"])
 
 
 @register("O2")
 def o2(spark, sf_dir):
-    return raw(spark, sf_dir, RUN).orderBy("TID")
+    return with_place(raw(spark, sf_dir, RUN), ["TID", "_LOADED_AT", "YDELSESTYPE", "OMRÅDE"])
 
 
 @register("O3")
@@ -663,8 +688,7 @@ def o4(spark, sf_dir):
 def u1(spark, sf_dir):
     """Bag union of the per-load slices of an extract."""
     r = raw(spark, sf_dir, RLI).select(*TEXT_COLS[RLI], "_LOADED_AT")
-    t1 = first_load(r)
-    parts = [r.where(F.col("_LOADED_AT") <= F.lit(t1)), r.where(F.col("_LOADED_AT") > F.lit(t1))]
+    parts = [r.where(F.col("_LOADED_AT") <= first_load()), r.where(F.col("_LOADED_AT") > first_load())]
     return reduce(DataFrame.unionByName, parts).select(*TEXT_COLS[RLI])
 
 
@@ -679,9 +703,8 @@ def u3(spark, sf_dir):
     """Append of each new load to the raw history."""
     path = work_path(spark, "u3")
     r = raw(spark, sf_dir, RUN)
-    t1 = first_load(r)
-    SINK.write_table(r.where(F.col("_LOADED_AT") <= F.lit(t1)), path)
-    SINK.write_table(r.where(F.col("_LOADED_AT") > F.lit(t1)), path)
+    SINK.write_table(r.where(F.col("_LOADED_AT") <= first_load()), path)
+    SINK.write_table(r.where(F.col("_LOADED_AT") > first_load()), path)
     return spark.read.parquet(path)
 
 
@@ -801,6 +824,20 @@ def f16(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- incremental and streaming
+def landed_raw(spark, sf_dir, spec) -> DataFrame:
+    """A raw history as the daily run keeps it: stored, partitioned by period, periods as text."""
+    path = work_path(spark, "raw", spec.name)
+    SINK.write_table(raw(spark, sf_dir, spec.name), path, partition_by=[spec.period])
+    return spark.read.schema(raw_schema(spec)).parquet(path)
+
+
+def apply_change(change, base: str) -> DataFrame:
+    """A refresh's change stored as new versions of its partitions; the whole table read back."""
+    spark = change.rows.sparkSession
+    PART.replace(change.rows, base, REFRESH.PARTITION, change.years)
+    return PART.read(spark, base, change.rows.schema, REFRESH.PARTITION)
+
+
 @register("I1")
 def i1(spark, sf_dir):
     """Watermark filter: rows newer than the published target's high-water mark."""
@@ -817,11 +854,11 @@ def i2(spark, sf_dir):
     """Keyed upsert: the cells touched after the watermark, rebuilt and upserted into the
     first-load fact."""
     base = work_path(spark, "i2")
-    r = raw(spark, sf_dir, RPI)
+    r = landed_raw(spark, sf_dir, RAW_PRICE_INDEX)
     dim = P(spark, sf_dir).dim_municipalities
-    first = REFRESH.refresh_housing(None, r.where(F.col("_LOADED_AT") <= F.lit(first_load(r))), dim, TPCH)
-    target = I.publish(first, base)
-    return I.publish(REFRESH.refresh_housing(target, r, dim, TPCH), base)
+    before, new = r.where(F.col("_LOADED_AT") <= first_load()), r.where(F.col("_LOADED_AT") > first_load())
+    target = apply_change(REFRESH.refresh_housing(None, before, before, dim, TPCH), base)
+    return apply_change(REFRESH.refresh_housing(target, r, new, dim, TPCH), base)
 
 
 @register("I3")
@@ -829,12 +866,13 @@ def i3(spark, sf_dir):
     """Upsert into a target of an older schema (one column missing, one obsolete)."""
     base = work_path(spark, "i3")
     r = raw(spark, sf_dir, RPI)
-    t1 = first_load(r)
-    old = (_housing_from(r.where(F.col("_LOADED_AT") <= F.lit(t1)), spark, sf_dir)
+    old = (_housing_from(r.where(F.col("_LOADED_AT") <= first_load()), spark, sf_dir)
            .drop("pct_change_qoq").withColumn("legacy_flag", F.lit(True)))
-    target = I.publish(old, base)
-    batch = _housing_from(I.after_watermark(r, I.watermark(target)), spark, sf_dir).where(
-        F.col("period_year") >= 2000)
+    # cells of an area that the second load does not have: they stay, in the new schema
+    gone = old.where(F.col("region_name_dst") == TPCH.price_index_areas[1]).withColumns({
+        "price_index_id": F.concat(F.lit("closed-"), "price_index_id"), "region_name_dst": F.lit("Region Closed")})
+    target = I.publish(old.unionByName(gone), base)
+    batch = I.publish(_housing_from(I.after_watermark(r, I.watermark(target)), spark, sf_dir), work_path(spark, "i3_batch"))
     return I.publish(I.upsert(I.read_current(spark, base), batch, "price_index_id"), base)
 
 
@@ -859,12 +897,15 @@ def i6(spark, sf_dir):
     """Affected-group recompute of the labour fact after a new batch; equals a full rebuild."""
     base = work_path(spark, "i6")
     dim = P(spark, sf_dir).dim_municipalities
-    ru, ri = raw(spark, sf_dir, RUN), raw(spark, sf_dir, RLI)
-    t1 = first_load(ru)
-    first = REFRESH.refresh_labour(None, ru.where(F.col("_LOADED_AT") <= F.lit(t1)),
-                                   ri.where(F.col("_LOADED_AT") <= F.lit(t1)), dim, TPCH)
-    target = I.publish(first, base)
-    return labour_rounded(I.publish(REFRESH.refresh_labour(target, ru, ri, dim, TPCH), base))
+    ru, ri = landed_raw(spark, sf_dir, RAW_UNEMPLOYMENT), landed_raw(spark, sf_dir, RAW_LOCAL_INCOME)
+    early = [r.where(F.col("_LOADED_AT") <= first_load()) for r in (ru, ri)]
+    late = [r.where(F.col("_LOADED_AT") > first_load()) for r in (ru, ri)]
+    # three loads: the first without one year of income, the late income load, the second load
+    lost = F.col("TID") == "1997"
+    target = apply_change(REFRESH.refresh_labour(None, early[0], early[1].where(~lost), early[0], early[1].where(~lost), dim, TPCH), base)
+    nothing = early[0].limit(0)
+    target = apply_change(REFRESH.refresh_labour(target, *early, nothing, early[1].where(lost), dim, TPCH), base)
+    return labour_rounded(apply_change(REFRESH.refresh_labour(target, ru, ri, *late, dim, TPCH), base))
 
 
 @register("T1")
@@ -872,14 +913,15 @@ def t1(spark, sf_dir):
     """Landed load files as a stream: newest cell wins, then staged as usual."""
     base = work_path(spark, "t1")
     r = raw(spark, sf_dir, RUN)
-    t_first = first_load(r)
-    # two landed files, one per load, in load order
-    r.where(F.col("_LOADED_AT") <= F.lit(t_first)).coalesce(1).write.parquet(f"{base}/landing/load=1")
-    r.where(F.col("_LOADED_AT") > F.lit(t_first)).coalesce(1).write.parquet(f"{base}/landing/load=2")
-    cells = stream_latest_cells(spark, f"{base}/landing/*", r.schema, ["YDELSESTYPE", "OMRÅDE", "TID"],
-                                ["_LOADED_AT", "INDHOLD"], f"{base}/cells", f"{base}/checkpoint",
-                                partition_col="TID")
-    return STG.src_unemployment(cells, TPCH)
+
+    def run() -> DataFrame:
+        return stream_latest_cells(spark, f"{base}/landing/*", r.schema, ["YDELSESTYPE", "OMRÅDE", "TID"],
+                                   ["_LOADED_AT", "INDHOLD"], f"{base}/cells", f"{base}/checkpoint", partition_col="TID")
+    # the loads land one after the other, the newer one first; the stream runs after each
+    r.where(F.col("_LOADED_AT") > first_load()).write.parquet(f"{base}/landing/load=2")
+    run()
+    r.where(F.col("_LOADED_AT") <= first_load()).write.parquet(f"{base}/landing/load=1")
+    return STG.src_unemployment(run(), TPCH)
 
 
 # ---------------------------------------------------------------- quality

@@ -63,3 +63,24 @@ def test_safe_ratio_guards(spark):
 def test_normalise_header():
     assert C.normalise_header("\ufeff Område ") == "OMRÅDE"
     assert C.normalise_header("loaded at") == "LOADED_AT"
+    assert C.normalise_header(" \tloaded\u00a0  at\ufeff") == "LOADED_AT"   # any blanks, runs count once
+    assert C.normalise_header("omra\u030ade") == "OMRÅDE"                    # letter and mark are one letter
+    assert C.normalise_header("\ufeff") == ""
+
+
+@pytest.mark.parametrize("value,digits,expected", [
+    (0.4999996, 0, 0.0), (0.5, 0, 1.0), (-0.5, 0, -1.0), (1e21, 2, 1e21), (3e300, 0, 3e300), (-1e25, 1, -1e25),
+    (2.0**52 + 1, 1, 2.0**52 + 1), (4503599627370495.5, 0, 4503599627370496.0), (1e-9, 2, 0.0), (float("inf"), 2, None)])
+def test_rounding_is_done_once_and_has_no_limit(spark, value, digits, expected):
+    assert one(spark, lambda c: C.round_half_up(c, digits), value, "double") == expected
+
+
+def test_exact_mean_does_not_depend_on_the_order_of_rows(spark):
+    values = [0.1] * 10 + [1e14, -1e14, 0.35, None]
+    for rows in (values, values[::-1]):
+        df = spark.createDataFrame([(v,) for v in rows], "v double").coalesce(1)
+        got = df.agg(C.exact_sum("v").alias("s"), C.exact_avg("v").alias("a")).first()
+        assert (got["s"], got["a"]) == (1.35, 1.35 / 13)
+    big = spark.createDataFrame([(1e22,), (1.0,)], "v double").agg(C.exact_sum("v").alias("s")).first()["s"]
+    assert big == 1e22
+    assert spark.createDataFrame([], "v double").agg(C.exact_avg("v").alias("a")).first()["a"] is None

@@ -61,10 +61,12 @@ def test_literal_max_mode_keeps_largest(spark):
 def test_partial_batch_recomputes_affected_group(spark):
     raw = raw_frames(spark)
     dim = core.dim_municipalities(seed_frame(spark), CFG)
-    target = refresh.refresh_labour(None, raw["RAW_UNEMPLOYMENT"], raw["RAW_LOCAL_INCOME"], dim, CFG)
+    u, i = raw["RAW_UNEMPLOYMENT"], raw["RAW_LOCAL_INCOME"]
+    target = refresh.refresh_labour(None, u, i, u, i, dim, CFG).rows
     batch = raw_frame(spark, "RAW_UNEMPLOYMENT", [("Gross unemployment", "Northby", "2023", "130")], LOAD_2)
-    new = refresh.refresh_labour(target, raw["RAW_UNEMPLOYMENT"].unionByName(batch),
-                                 raw["RAW_LOCAL_INCOME"], dim, CFG)
+    change = refresh.refresh_labour(target, u.unionByName(batch), i, batch, i.limit(0), dim, CFG)
+    assert change.years == [2023]
+    new = change.rows
     got = {r["region_name"]: r for r in new.collect()}
     assert got["Region A"]["total_gross_unemployment"] == 210
     assert got["Region A"]["avg_disposable_income_dkk"] == 255000
@@ -79,11 +81,11 @@ def test_partial_batch_recomputes_affected_group(spark):
 def test_incremental_housing_equals_full_build(spark):
     raw = raw_frames(spark)
     dim = core.dim_municipalities(seed_frame(spark), CFG)
-    target = refresh.refresh_housing(None, raw["RAW_PRICE_INDEX"], dim, CFG)
+    target = refresh.refresh_housing(None, raw["RAW_PRICE_INDEX"], raw["RAW_PRICE_INDEX"], dim, CFG).rows
     batch = raw_frame(spark, "RAW_PRICE_INDEX", [("RA", HOUSE, IDX, "2023Q3", "103,0")], LOAD_2)
     allraw = raw["RAW_PRICE_INDEX"].unionByName(batch)
-    inc = refresh.refresh_housing(target, allraw, dim, CFG)
-    full = refresh.refresh_housing(None, allraw, dim, CFG)
+    inc = refresh.refresh_housing(target, allraw, batch, dim, CFG).rows
+    full = refresh.refresh_housing(None, allraw, allraw, dim, CFG).rows
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
     q3 = inc.where("region_name_dst = 'RA' AND period_quarter = '2023Q3'").first()
     assert q3["price_index"] == 103.0 and q3["pct_change_yoy"] is None

@@ -14,7 +14,8 @@ import __spark_entry__ as E
 from keyfig.sources.binding import TABLES
 
 SQL = E.oracle_sql()
-KEYS = sorted(E.queries())
+#: The inventory's queries; the training-data ones have tests of their own.
+KEYS = sorted(k for k in E.queries() if not k.startswith("op") and k != "pipeline")
 
 
 def norm(v):
@@ -46,7 +47,7 @@ def duck():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(SQL) == set(KEYS)
+    assert set(KEYS) <= set(SQL)
 
 
 @pytest.mark.parametrize("key", KEYS)

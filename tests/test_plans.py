@@ -23,15 +23,15 @@ def test_no_python_udfs_anywhere(spark, queries):
         assert "BatchEvalPython" not in txt and "ArrowEvalPython" not in txt, key
 
 
-def test_orders_scanned_once_for_the_mart(spark, queries):
-    """The four extracts behind the mart are re-aggregations of one order cube: after execution
-    the final adaptive plan reads orders once and reuses the cube's exchange."""
+def test_orders_scanned_once_per_cube_for_the_mart(spark, queries):
+    """The four extracts behind the mart are re-aggregations of two cubes (prices; members): after
+    execution the final adaptive plan reads orders once for each and reuses the exchanges."""
     df = queries["M9"](spark, SF_SMALL)
     df.collect()
     txt = plan_text(df)
     final = txt.split("== Initial Plan ==")[0]
     assert "isFinalPlan=true" in final
-    assert len(re.findall(r"FileScan parquet [^\n]*orders", final)) == 1
+    assert len(re.findall(r"FileScan parquet [^\n]*orders", final)) == 2
     assert re.search(r"ReusedExchange \[c_mktsegment", final)
 
 

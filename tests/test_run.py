@@ -30,3 +30,30 @@ def test_two_runs_equal_full_rebuild(spark, tmp_path):
     assert rows(r2.mart_labour_housing_correlation) == rows(full_rebuild(all_raw, seed_frame(spark), CFG))
     # the dimension did not change: one open version per municipality
     assert r2.municipality_history.where("valid_to IS NULL").count() == 3
+
+
+def test_a_failed_check_leaves_the_previous_facts(spark, tmp_path):
+    import pytest
+    from keyfig.operators import partitions
+    from keyfig.plans import refresh
+    wh = str(tmp_path / "wh")
+    first = raw_frames(spark)
+    r1 = run_pipeline(spark, first, seed_frame(spark), wh, CFG, "2024-01-01 07:00:00", ("Region A", "Region B"))
+    before, schema = rows(r1.fct_labour_market_regional), r1.fct_labour_market_regional.schema
+    bad = {"RAW_LOCAL_INCOME": raw_frame(spark, "RAW_LOCAL_INCOME", [
+        ("Northby", "Average income for all people (DKK)", "1 Disposable income (2+30-31-32-35)", "2023", "-5")], LOAD_2)}
+    with pytest.raises(RuntimeError, match="avg_disposable_income_dkk"):
+        run_pipeline(spark, bad, seed_frame(spark), wh, CFG, "2024-01-02 07:00:00", ("Region A", "Region B"))
+    now = partitions.read(spark, f"{wh}/fct_labour_market_regional", schema, refresh.PARTITION)
+    assert rows(now) == before
+
+
+def test_a_missing_source_stops_nothing(spark, tmp_path):
+    some = {k: v for k, v in raw_frames(spark).items() if k not in ("RAW_PRICE_REGIONAL", "RAW_HOUSING_NATIONAL")}
+    some["RAW_UNEMPLOYMENT"] = some["RAW_UNEMPLOYMENT"].unionByName(
+        raw_frame(spark, "RAW_UNEMPLOYMENT", [("Gross unemployment", "Nowhereby", "2023", "7")]))
+    r = run_pipeline(spark, some, seed_frame(spark), str(tmp_path / "wh"), CFG, "2024-01-01 07:00:00", ("Region A", "Region B"))
+    m = {x["region_name"]: x for x in spark.table("mart_labour_housing_correlation").collect()}
+    assert m["Region A"]["avg_annual_price_index"] == 102.2 and m["Region A"]["avg_annual_price_mdkk"] is None
+    lost = r.checks.where("check_name = 'unmatched_names' AND model = 'src_unemployment'").first()
+    assert (lost["failures"], lost["status"]) == (1, "warn")

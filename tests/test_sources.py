@@ -73,3 +73,53 @@ def test_landing_specs_feed_the_pipeline(spark, tmp_path):
     assert all(r["status"] == "loaded" for r in status)
     staged = src_unemployment(spark.read.parquet(f"{wh}/RAW_UNEMPLOYMENT"), CFG)
     assert {r["area_name"]: r["gross_unemployment_count"] for r in staged.collect()}["Northby"] == 120.0
+
+
+def test_files_with_another_column_order_line_up(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "1.csv").write_text("A;B\na1;b1\n", encoding="utf-8")
+    (tmp_path / "x" / "2.csv").write_text("B;A\nb2;a2\n", encoding="utf-8")
+    (tmp_path / "x" / "3.csv").write_text("\ufeffA;B\na3;b3\n", encoding="utf-8")
+    path = str(tmp_path / "x")
+    assert sorted(map(tuple, D.read_delimited(spark, path, ["A", "B"]).collect())) == [("a1", "b1"), ("a2", "b2"), ("a3", "b3")]
+    assert sorted(map(tuple, D.read_delimited(spark, path).collect())) == [("a1", "b1"), ("a2", "b2"), ("a3", "b3")]
+    (tmp_path / "x" / "4.csv").write_text("A;C\na4;c4\n", encoding="utf-8")
+    for columns in (["A", "B"], None):
+        with pytest.raises(ValueError):
+            D.read_delimited(spark, path, columns)
+
+
+def test_refresh_of_a_partitioned_table_leaves_no_old_partition(spark, tmp_path):
+    path, mode = str(tmp_path / "t"), "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        both = spark.createDataFrame([(2020, 1), (2021, 2)], "y int, v int")
+        write_table(both, path, overwrite=True, partition_by=["y"])
+        write_table(both.where("y = 2021"), path, overwrite=True, partition_by=["y"])
+        assert [tuple(r) for r in spark.read.parquet(path).select("y", "v").collect()] == [(2021, 2)]
+    finally:
+        spark.conf.set(mode, before)
+
+
+def test_decimal_commas_in_every_extract(spark):
+    from fixtures import CFG, HOUSE, PRICE, raw_frame
+    from keyfig.plans.config import RAW_SPECS
+    from keyfig.plans.staging import src_price_regional
+    assert all(s.decimal_comma for s in RAW_SPECS)
+    raw = raw_frame(spark, "RAW_PRICE_REGIONAL", [("RA", HOUSE, PRICE, "2023M01", "2500,5")])
+    assert src_price_regional(raw, CFG).first()["avg_price_dkk_1000"] == 2500.5
+
+
+def test_a_running_session_keeps_its_settings(spark):
+    from keyfig.session import build_session
+    keys = ["spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.sources.partitionOverwriteMode"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("false", "20", "static"), strict=True):
+            spark.conf.set(k, v)
+        again = build_session(shuffle_partitions=8)
+        assert [again.conf.get(k) for k in keys] == ["false", "20", "static"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
