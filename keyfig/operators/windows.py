@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfig.functions.columns import round_half_up
+from keyfig.session import work_path
 
 
 def change_vs_previous(df: DataFrame, keys: list[str], period: str, value: str,
@@ -66,3 +67,21 @@ def first_k_members(long: DataFrame, variable: str, member: str, k: int = 5,
     top = cand.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= k)
     return top.groupBy(variable).agg(
         F.array_join(F.array_sort(F.collect_list(member)), ",").alias("first_members"))
+
+
+def with_position(df: DataFrame, order: list[str], name: str = "place") -> DataFrame:
+    """O1, O2: ``df`` sorted, each row with its place (from 1) in the sorted result.
+
+    The sort is Spark's range sort over all partitions, written once; the place follows from the
+    file's number, the rows in the files before it (one count per file) and the row's number
+    within it.  No task sees more than its range, as a window without partitions would."""
+    path = work_path(df.sparkSession, "sorted")
+    df.orderBy(*order).write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = rows.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-([0-9]+)", 1).cast("int").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)   # a row per file
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(sizes), "_file").withColumn(name, F.col("_before") + F.col("_row") + 1)
+            .drop("_file", "_row", "_before"))

@@ -7,14 +7,15 @@ import uuid
 from functools import reduce
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyfig.functions.columns import normalise_header
 from keyfig.operators.joins import join_dimension
 from keyfig.operators.reshape import clean_sentinels
+from keyfig.operators.windows import with_position
 from keyfig.plans.config import DEFAULT_SENTINELS
-from keyfig.sources.sink import data_files, first_line
+from keyfig.sources.sink import data_files, first_line, list_dir
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -96,28 +97,23 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = Tru
 
 def chunk_ranks(df: DataFrame, column: str, chunk_size: int) -> DataFrame:
     """S3: the column's distinct values in order with their chunk number, ``chunk_size`` values
-    per chunk.  The values are a dimension's members (e.g. periods), so ranking them in one
-    window partition is bounded by the dimension, not by the rows."""
-    values = df.select(column).distinct()
-    return values.withColumn(
-        "_chunk", F.floor((F.row_number().over(Window.orderBy(column)) - 1) / F.lit(chunk_size)).cast("int"))
+    per chunk; the values are ranked over all partitions, however many there are."""
+    ranked = with_position(df.select(column).distinct(), [column], "_place")
+    return ranked.select(column, F.floor((F.col("_place") - 1) / F.lit(chunk_size)).cast("int").alias("_chunk"))
 
 
-def chunk_ids(df: DataFrame, column: str, chunk_size: int, ranks: DataFrame | None = None) -> DataFrame:
+def chunk_ids(df: DataFrame, column: str, chunk_size: int) -> DataFrame:
     """Chunk number per row: the ranked values joined back (broadcast behind a size check)."""
-    ranks = ranks if ranks is not None else chunk_ranks(df, column, chunk_size)
-    return join_dimension(df, ranks, column, "left").select(*df.columns, "_chunk")
+    ranks = chunk_ranks(df, column, chunk_size).withColumnRenamed(column, "_value")
+    return join_dimension(df, ranks, F.col(column).eqNullSafe(F.col("_value")), "left").select(*df.columns, "_chunk")
 
 
 def land_chunked(df: DataFrame, path: str, column: str, chunk_size: int, sep: str = ";") -> list[str]:
-    """S3 writer: one folder per chunk (``_chunk=N``), as separate requests would deliver them.
-    The chunk list comes from the small ranked-values frame, not from re-reading the files."""
-    from keyfig.session import shared_dir
-    shared_dir(df.sparkSession)   # checkpoint folder from the session (or a private one in tests)
-    ranks = chunk_ranks(df, column, chunk_size).checkpoint(eager=True)
-    write_delimited(chunk_ids(df, column, chunk_size, ranks), path, sep=sep, partition_by=["_chunk"])
-    chunks = [r[0] for r in ranks.select("_chunk").distinct().collect()]
-    return [f"{path}/_chunk={c}" for c in sorted(chunks)]
+    """S3 writer: one folder per chunk (``_chunk=N``), as separate requests would deliver them;
+    returns the folders that were written, in order."""
+    write_delimited(chunk_ids(df, column, chunk_size), path, sep=sep, partition_by=["_chunk"])
+    written = [n for n in list_dir(df.sparkSession, path) if n.startswith("_chunk=")]
+    return [f"{path}/{n}" for n in sorted(written, key=lambda n: int(n.split("=")[1]))]
 
 
 def read_chunks(spark: SparkSession, paths: list[str], columns: list[str] | None = None,

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window as W_
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfig.functions.columns import round_half_up
@@ -647,30 +647,15 @@ def w3(spark, sf_dir):
         "price_index_id", "region_name_dst", "period_quarter", "price_index", "qoq_recomputed")
 
 
-def with_place(df: DataFrame, order: list[str]) -> DataFrame:
-    """``df`` sorted, each row with its place in the sorted result.  The sort is Spark's range
-    sort over all partitions; the place follows from the partition's number, the rows before it
-    (a count per partition) and the row's number within it."""
-    spark = df.sparkSession
-    df.orderBy(*order).write.parquet(path := work_path(spark, "sorted"))
-    rows = spark.read.schema(df.schema).parquet(path)
-    rows = rows.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-([0-9]+)", 1).cast("int").alias("_file"),
-                       F.col("_metadata.row_index").alias("_row"))
-    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))      # a row per file
-    before = W_.orderBy("_file").rowsBetween(W_.unboundedPreceding, -1)
-    sizes = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(sizes), "_file").withColumn("place", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
-
-
 @register("O1")
 def o1(spark, sf_dir):
     """Sorted; the place that each row has in the sorted result is part of it."""
-    return with_place(P(spark, sf_dir).price_trend_ranking, ["period_year", "price_rank", "region_name"])
+    return W.with_position(P(spark, sf_dir).price_trend_ranking, ["period_year", "price_rank", "region_name"])
 
 
 @register("O2")
 def o2(spark, sf_dir):
-    return with_place(raw(spark, sf_dir, RUN), ["TID", "_LOADED_AT", "YDELSESTYPE", "OMRÅDE"])
+    return W.with_position(raw(spark, sf_dir, RUN), ["TID", "_LOADED_AT", "YDELSESTYPE", "OMRÅDE"])
 
 
 @register("O3")

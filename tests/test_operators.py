@@ -132,3 +132,19 @@ def test_publish_retries_over_an_uncommitted_attempt(spark, tmp_path):
     I.publish(df.withColumn("k", F.lit(2)), base)
     assert I.current_version(spark, base) == 2
     assert [r["k"] for r in I.read_current(spark, base).collect()] == [2]
+
+
+def test_positions_are_those_of_the_whole_sort(spark):
+    rows = [(i * 7919 % 1000, f"v{i % 13}") for i in range(1000)] + [(None, "n")]
+    df = spark.createDataFrame(rows, "k int, v string").repartition(7)
+    got = sorted((r["place"], r["k"]) for r in W.with_position(df, ["k"]).collect())
+    assert got == [(1, None)] + [(i + 2, i) for i in range(1000)]
+    assert W.with_position(df.limit(0), ["k"]).count() == 0
+
+
+def test_metadata_has_one_layout_at_every_size(spark):
+    for n in (3, 2000):
+        df = spark.range(n).select(F.concat(F.lit("m"), "id").alias("A"), F.lit("2023").alias("TID"))
+        doc = PR.metadata_document(df, ["A", "TID"], "TID", buckets=4)
+        assert doc.where("id = 'A'").count() <= 4 and doc.where("id = 'TID'").count() == 1
+        assert sorted(r["id"] for r in PR.variable_members(doc, "a").collect()) == sorted(f"m{i}" for i in range(n))
