@@ -43,12 +43,12 @@ STATUS_SCHEMA = T.StructType([
     T.StructField("message", T.StringType())])
 
 
-def ingest_all(spark: SparkSession, specs: list[SourceSpec], warehouse: str, loaded_at=None,
-               overwrite: bool = False) -> DataFrame:
-    """Land each spec into ``<warehouse>/<target>``; returns (source_id, target, status, rows,
-    message) per spec.  Only counts travel to the driver."""
+def land_all(spark: SparkSession, specs: list[SourceSpec], loaded_at=None) -> tuple[dict[str, DataFrame], list[tuple]]:
+    """The extract of every spec that has one, by target, and a status row per spec that has
+    none.  One bad source does not stop the others."""
     from keyfig.sources.sink import path_exists
-    status = []
+    landed: dict[str, DataFrame] = {}
+    status: list[tuple] = []
     for spec in specs:
         missing = [p for p in spec.paths if not path_exists(spark, p)]
         if missing:
@@ -56,15 +56,30 @@ def ingest_all(spark: SparkSession, specs: list[SourceSpec], warehouse: str, loa
             status.append((spec.source_id, spec.target, "failed", 0, "path not found"))
             continue
         try:
-            df = land_extract(spark, list(spec.paths), list(spec.columns), spec.source_id,
-                              loaded_at, sep=spec.sep)
+            df = land_extract(spark, list(spec.paths), list(spec.columns), spec.source_id, loaded_at, sep=spec.sep)
             if df.isEmpty():
                 log.warning("no data for %s", spec.source_id)
                 status.append((spec.source_id, spec.target, "empty", 0, "no rows"))
-                continue
-            rows = write_table(df, f"{warehouse}/{spec.target}", overwrite=overwrite)
+            else:
+                landed[spec.target] = df
+        except Exception as exc:  # noqa: BLE001 -- reported in the status
+            log.warning("ingest of %s failed: %s", spec.source_id, exc)
+            status.append((spec.source_id, spec.target, "failed", 0, type(exc).__name__))
+    return landed, status
+
+
+def ingest_all(spark: SparkSession, specs: list[SourceSpec], warehouse: str, loaded_at=None,
+               overwrite: bool = False) -> DataFrame:
+    """Land each spec into ``<warehouse>/<target>``; returns (source_id, target, status, rows,
+    message) per spec.  Only counts travel to the driver."""
+    landed, status = land_all(spark, specs, loaded_at)
+    for spec in specs:
+        if spec.target not in landed:
+            continue
+        try:
+            rows = write_table(landed[spec.target], f"{warehouse}/{spec.target}", overwrite=overwrite)
             status.append((spec.source_id, spec.target, "loaded", rows, ""))
-        except Exception as exc:  # noqa: BLE001 -- one bad source must not stop the others
+        except Exception as exc:  # noqa: BLE001 -- e.g. a malformed line further down a file
             log.warning("ingest of %s failed: %s", spec.source_id, exc)
             status.append((spec.source_id, spec.target, "failed", 0, type(exc).__name__))
     return spark.createDataFrame(status, STATUS_SCHEMA)

@@ -123,3 +123,12 @@ def test_a_running_session_keeps_its_settings(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_landing_reports_what_it_could_not_read(spark, tmp_path):
+    D.write_delimited(spark.createDataFrame([("RA", "1")], "`OMRÅDE` string, `INDHOLD` string"), str(tmp_path / "good"))
+    D.write_delimited(spark.createDataFrame([("RA", "1")], "`OMRÅDE` string, `ANDET` string"), str(tmp_path / "other"))
+    specs = [ING.SourceSpec(n, f"RAW_{n}", (str(tmp_path / n),), ("OMRÅDE", "INDHOLD")) for n in ("good", "other", "none")]
+    landed, status = ING.land_all(spark, specs, "2024-01-01 06:00:00")
+    assert list(landed) == ["RAW_good"] and landed["RAW_good"].count() == 1
+    assert {(s[0], s[2]) for s in status} == {("other", "failed"), ("none", "failed")}
