@@ -88,10 +88,12 @@ def codes(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Model:
     """Frozen statistics: the symbol of each byte and the table of code lengths."""
 
-    def __init__(self, languages: list[str], symbol: np.ndarray, counts: list[np.ndarray]):
-        """counts: per language, of all four-symbol strings."""
+    def __init__(self, languages: list[str], symbol: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]]):
+        """counts: per language, the four-symbol strings seen, ascending, and how often."""
         self.languages, self.symbol = languages, symbol
-        self.table = np.stack([_code_lengths(c) for c in counts], axis=1) if languages else np.zeros((1, 0), np.uint16)
+        self.table = np.empty((SYMBOLS ** (ORDER + 1) if languages else 1, len(languages)), np.uint16)
+        for k, c in enumerate(counts):
+            self.table[:, k] = _code_lengths(*c)
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bits per row and language, symbols per row) of whole texts."""
@@ -113,7 +115,8 @@ class Model:
 
     def predict(self, column: pa.Array) -> pa.Array:
         n = len(column)
-        letters = np.fromiter((x is not None and _LETTER.search(x) is not None for x in column.to_pylist()), bool, n)
+        # (\w also has signs like a superscript two, which are no letters)
+        letters = np.fromiter((x is not None and any(m[0].isalpha() for m in _LETTER.finditer(x)) for x in column.to_pylist()), bool, n)
         if not self.languages:
             letters[:] = False
         names, score, best_bits = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n)
@@ -128,18 +131,29 @@ class Model:
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(best_bits), pa.array(total)], fields=list(ARROW))
 
 
-def _code_lengths(counts: np.ndarray) -> np.ndarray:
-    """Code length of each four-symbol string's last symbol after its first three, by escapes."""
-    probability = np.full(SYMBOLS, 1 / SYMBOLS)  # order -1
-    for order in range(ORDER + 1):
-        c = counts.reshape(-1, SYMBOLS ** (order + 1)).sum(axis=0).reshape(-1, SYMBOLS).astype(np.float64)
+def _code_lengths(code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Code length of each four-symbol string's last symbol after its first three, by escapes.
+
+    The strings seen and how often; a first symbol's strings are worked on at a time.
+    """
+    def level(c: np.ndarray, shorter: np.ndarray) -> np.ndarray:
         total, kinds = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
-        seen = np.where(c > 0, c - 0.5, 0.0)
-        escape = np.where(total > 0, kinds / 2 / np.maximum(total, 1), 1.0)
+        seen = np.where(c > 0, c - 0.5, 0.0) / np.maximum(total, 1)
+        return seen + np.where(total > 0, kinds / 2 / np.maximum(total, 1), 1.0) * shorter
+
+    probability = np.full((1, SYMBOLS), 1 / SYMBOLS)  # order -1
+    for order in range(ORDER):
         # the contexts of this order are those of the last one with a symbol in front
-        shorter = np.broadcast_to(probability.reshape(1, -1, SYMBOLS), (SYMBOLS if order else 1, max(1, SYMBOLS ** (order - 1)) if order else 1, SYMBOLS)).reshape(-1, SYMBOLS)
-        probability = seen / np.maximum(total, 1) + escape * shorter
-    return np.minimum(np.round(-np.log2(probability.reshape(-1)) * SCALE), LIMIT).astype(np.uint16)
+        size = SYMBOLS ** (order + 1)
+        c = np.bincount(code % size, weights=n, minlength=size).reshape(-1, SYMBOLS)
+        probability = level(c, np.tile(probability, (len(c) // len(probability), 1)))
+    size = SYMBOLS ** ORDER
+    out = np.empty((SYMBOLS, size), np.uint16)
+    for first in range(SYMBOLS):
+        some = slice(*np.searchsorted(code, [first * size, (first + 1) * size]))
+        c = np.bincount(code[some] - first * size, weights=n[some], minlength=size).reshape(-1, SYMBOLS)
+        out[first] = np.minimum(np.round(-np.log2(level(c, probability)) * SCALE), LIMIT).ravel()
+    return out.ravel()
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str | Column = "doc_id",
@@ -190,9 +204,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
     names, at, n = np.array(grams["lang"].to_pylist(), object), grams["code"].to_numpy(), grams["n"].to_numpy()
     counts = []
     for name in languages:
-        c = np.zeros(SYMBOLS ** (ORDER + 1), np.int64)
-        c[at[names == name]] = n[names == name]
-        counts.append(c)
+        some = np.flatnonzero(names == name)
+        some = some[np.argsort(at[some])]
+        counts.append((at[some], n[some]))
     return Model(languages, symbol, counts)
 
 
