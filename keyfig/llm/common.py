@@ -192,7 +192,7 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
 # --- joins -----------------------------------------------------------------------------------
 
 #: Rows of fixed width up to which a counted side is broadcast, and rows of its hot part beyond.
-BROADCAST_ROWS, HOT_ROWS = 100_000, 1_000
+BROADCAST_ROWS, HOT_ROWS = 10_000, 1_000
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str, rows: int | None = None) -> DataFrame:
@@ -200,8 +200,8 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str, rows
 
     The table is counted.  Up to ``BROADCAST_ROWS`` rows it is broadcast; beyond, only the
     ``HOT_ROWS`` keys of the greatest ``weight`` (their count on the left) are, so that no key
-    gathers its rows in one task, and the rest is joined by shuffle.  Keys must not be null in
-    ``right``.
+    gathers its rows in one task, and the rest is joined by shuffle: the plan does not wait for
+    statistics, so its cost grows evenly.  Keys must not be null in ``right``.
     """
     rows = right.count() if rows is None else rows
     if rows <= BROADCAST_ROWS:
@@ -211,4 +211,4 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str, rows
     marked = left.join(F.broadcast(hot.select(*keys, F.lit(True).alias(mark))), keys, "left")
     warm = hot.drop(weight)
     return (marked.where(F.col(mark).isNotNull()).drop(mark).join(F.broadcast(warm), keys, "left")
-            .unionByName(marked.where(F.col(mark).isNull()).drop(mark).join(right.drop(weight), keys, "left")))
+            .unionByName(marked.where(F.col(mark).isNull()).drop(mark).join(right.drop(weight).hint("merge"), keys, "left")))

@@ -86,7 +86,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
         taken = {n: f"_{v}" for n, v in taken.items()}
     named = doomed.select(*(F.col(n).alias(v) for n, v in taken.items()))
     same = [a.eqNullSafe(F.col(taken[n])) for a, n in zip(_identity(doc_id, text), _DOC, strict=True)]
-    joined = docs.join(named, same[0] & same[1] & same[2], "left")
+    # a row per document on both sides; as many as documents, so never broadcast
+    joined = docs.join(named.hint("merge"), same[0] & same[1] & same[2], "left")
     lines, gone = _lines(F.col(f"`{text}`")), F.col(taken["doomed"])
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))
     clean = F.when(gone.isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
