@@ -220,8 +220,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[D
     placed = stored(placed, "placed")
 
     # the sets of one document of each node, made again from its text
-    ids = stored(placed.select("id").distinct().withColumn("wanted", F.lit(True)).withColumn("n", F.lit(1)), "ids")
-    again = lookup(sent, ids, ["id"], "n").where("wanted").select("id", "text")
+    # (one plan at every size: as many ids as there are candidates are never broadcast)
+    again = sent.join(stored(placed.select("id").distinct(), "ids").hint("merge"), "id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
