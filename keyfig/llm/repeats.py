@@ -45,29 +45,66 @@ SEGMENT = 2048
 BLOCK_BYTES = 4 << 20
 #: Text bytes per bucket of anchors and shard of candidates.
 BUCKET_BYTES = 4 << 20
+#: Text bytes that a task works on, about.
+TASK_BYTES = 16 << 20
 _NULL = -2**63
 
 POINTER = "block long, file string, at long, size long"
 
 
-def _prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.multiply(_BYTE[data], up[:len(data)], out=total[1:])
-    np.cumsum(total, out=total)
-    return total, down
-
-
-def window_anchors(total: np.ndarray, down: np.ndarray) -> np.ndarray:
-    """The least hash of the grams within each window of LENGTH bytes."""
-    n, w = len(total) - 1, LENGTH - GRAM + 1
-    grams = mix((total[GRAM:] - total[:-GRAM]) * down[:n - GRAM + 1])
-    m = len(grams)
-    padded = np.full(-(-m // w) * w, np.uint64(2**64 - 1))
-    padded[:m] = grams
-    ahead = np.minimum.accumulate(padded.reshape(-1, w), axis=1).ravel()
-    back = np.minimum.accumulate(padded.reshape(-1, w)[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:m - w + 1], ahead[w - 1:m])
+#: Windows worked on at a time, so that the arrays stay in the processor's cache.
+_PART = 1 << 15
+
+
+def segment_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of bytes."""
+    out = np.zeros(len(start), np.uint64)
+    up, _ = _powers(int(size.max()) if len(size) else 1)
+    for k in range(0, len(start), 1 << 13):
+        some = slice(k, k + (1 << 13))
+        first = np.cumsum(size[some]) - size[some]
+        place = np.arange(size[some].sum()) - np.repeat(first, size[some])
+        out[some] = np.add.reduceat(_BYTE[data[place + np.repeat(start[some], size[some])]] * up[place], first)
+    return mix(out) ^ size.astype(np.uint64)
+
+
+def anchored_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, windows, anchor) of the runs of windows with one anchor, none across documents.
+
+    A window's anchor is the least hash of the grams in it.
+    """
+    last = len(data) - LENGTH + 1
+    starts, counts, anchors = [], [], []
+    valid = np.ones(len(data), bool)  # where a window starts that ends in the same document
+    tail = offsets[1:, None] - np.arange(1, LENGTH)
+    valid[np.maximum(tail, offsets[:-1, None])[offsets[1:] > offsets[:-1]]] = False
+    up, down = _powers(_PART + LENGTH)
+    total = np.zeros(_PART + LENGTH, np.uint64)
+    for a in range(0, last, _PART):
+        b = min(a + _PART, last)
+        v = valid[a:b]
+        part = data[a:b + LENGTH - 1]
+        n = len(part)
+        np.cumsum(_BYTE[part] * up[:n], out=total[1:n + 1])
+        m = mix((total[GRAM:n + 1] - total[:n + 1 - GRAM]) * down[:n + 1 - GRAM])
+        width = 1
+        while 2 * width <= LENGTH - GRAM + 1:  # the least of 2, 4, 8 ... grams
+            m = np.minimum(m[:-width], m[width:])
+            width *= 2
+        if width < LENGTH - GRAM + 1:
+            m = np.minimum(m[:-(LENGTH - GRAM + 1 - width)], m[LENGTH - GRAM + 1 - width:])
+        new = v.copy()
+        new[1:] &= ~v[:-1] | (m[1:] != m[:-1])
+        end = v.copy()
+        end[:-1] &= ~v[1:] | new[1:]
+        first, stop = np.flatnonzero(new), np.flatnonzero(end) + 1
+        starts.append(first + a), counts.append(stop - first), anchors.append(m[first])
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    start, count, anchor = map(np.concatenate, (starts, counts, anchors))
+    pieces = -(-count // SEGMENT)
+    nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(start, pieces) + nth * SEGMENT, np.minimum(np.repeat(count, pieces) - nth * SEGMENT, SEGMENT), np.repeat(anchor, pieces)
 
 
 class Block:
@@ -75,36 +112,11 @@ class Block:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, buckets: int):
         self.data, self.offsets = data, offsets
-        n = len(data)
-        self.start = self.windows = self.doc = np.zeros(0, np.int64)
-        self.anchors, self.anchor_of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.content = np.zeros(0, np.uint64)
-        if n < LENGTH:
-            return
-        total, down = _prefix_hash(data)
-        least = window_anchors(total, down)
-        inside = np.zeros(n + 1, np.int32)  # windows that lie in one document
-        sizes = np.diff(offsets)
-        big = np.flatnonzero(sizes >= LENGTH)
-        np.add.at(inside, offsets[big], 1)
-        np.add.at(inside, offsets[big] + sizes[big] - LENGTH + 1, -1)
-        at = np.flatnonzero(np.cumsum(inside[:len(least)]) > 0)
-        if not len(at):
-            return
-        new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]])
-        head = np.flatnonzero(new)
-        start, count = at[head], np.diff(np.append(head, len(at)))
-        pieces = -(-count // SEGMENT)
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        self.start = np.repeat(start, pieces) + nth * SEGMENT
-        self.windows = np.minimum(np.repeat(count, pieces) - nth * SEGMENT, SEGMENT)
+        self.start, self.windows, anchor = anchored_runs(data, offsets)
         self.doc = np.searchsorted(offsets, self.start, side="right") - 1
-        g = mix(least[self.start] ^ np.uint64(0x5851F42D4C957F2D))
+        g = mix(anchor ^ np.uint64(0x5851F42D4C957F2D))
         bucket = (g >> np.uint64(32)) % np.uint64(buckets)
         self.anchors, self.anchor_of = np.unique((bucket << np.uint64(32)) | (g & np.uint64(0xFFFFFFFF)), return_inverse=True)
-        stop = self.start + self.windows + LENGTH - 1
-        self.content = mix((total[stop] - total[self.start]) * down[self.start]) ^ self.windows.astype(np.uint64)
 
     def several(self) -> np.ndarray:
         """Which anchors more than one of the block's documents have."""
@@ -118,7 +130,7 @@ class Block:
         """(segments on shared anchors, the different one each is equal to, a place and the least id of each of these)."""
         some = np.flatnonzero(shared[self.anchor_of])
         key = np.empty(len(some), [("anchor", np.int64), ("content", np.uint64)])
-        key["anchor"], key["content"] = self.anchor_of[some], self.content[some]
+        key["anchor"], key["content"] = self.anchor_of[some], segment_hashes(self.data, self.start[some], self.windows[some] + LENGTH - 1)
         order = np.lexsort((some, key["content"], key["anchor"]))
         new = np.ones(len(some), bool)
         new[1:] = key[order[1:]] != key[order[:-1]]
@@ -306,8 +318,7 @@ def _verdicts(table: pa.Table) -> pa.Table:
     sizes = windows + LENGTH - 1
     start = np.cumsum(sizes) - sizes
     # blocks send equal segments: one of them is enough, with the least id
-    total, down = _prefix_hash(text)
-    content = mix((total[start + sizes] - total[start]) * down[start]) ^ windows.astype(np.uint64)
+    content = segment_hashes(text, start, sizes)
     _, first, same = np.unique(content, return_index=True, return_inverse=True)
     if (windows != windows[first[same]]).any() or not _equal(text, start, start[first[same]], sizes).all():
         raise ArithmeticError("two different segments of a shard have one 64-bit hash")
@@ -400,10 +411,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     heads = stored(anchors, "anchors")
     shared = stored(heads.where("kind = 1").groupBy("bucket").applyInArrow(_shared_anchors, rows).unionByName(heads.where("kind = 0")), "shared")
     wide = f"{rows}, c binary"
-    segments = shared.groupBy("block").applyInArrow(_segments(buckets), wide)
-    verdicts = segments.groupBy("bucket").applyInArrow(_verdicts, wide)
+    # rows are small but stand for much work: a stated number of tasks, which AQE leaves alone
+    tasks = int(max(shuffle_parts(spark), size // TASK_BYTES))
+    segments = shared.repartition(tasks, "block").groupBy("block").applyInArrow(_segments(buckets), wide)
+    verdicts = segments.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_verdicts, wide)
     known = shared.withColumn("c", F.lit(None).cast("binary")).unionByName(verdicts)
-    return known.groupBy("block").applyInArrow(_removed(buckets, with_kept), RESULT + (", kept binary" if with_kept else ""))
+    return known.repartition(tasks, "block").groupBy("block").applyInArrow(_removed(buckets, with_kept), RESULT + (", kept binary" if with_kept else ""))
 
 
 def brute_force(docs: list[tuple[int | None, str | None]], length: int = LENGTH) -> list[tuple]:
