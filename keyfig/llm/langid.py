@@ -4,15 +4,20 @@ Each language has a byte-level context tree of orders 3 to 0 with escape probabi
 not seen in a context escapes to the next shorter one, the last one being uniform (escape
 method D: half a count of each new symbol goes to the escape).  The statistics are frozen after
 fitting, so the code length of a symbol depends on it and the three symbols before it alone.
-That allows one table of exact code lengths, in 1/256 bit, over all four-symbol strings; a text's
-code length under every language is a sum of table rows, computed for whole batches at a time.
+That allows one table of exact code lengths, in 1/256 bit, over four-symbol strings.  It is kept
+sparse (the strings seen, the escapes of their contexts, and all three-symbol strings) and laid out
+for the strings of a step at a time; a text's code length under every language is a sum of its rows.
 
-Symbols: bytes after folding A-Z to a-z, all of ASCII but letters being one symbol; the
-``SYMBOLS`` - 2 most frequent other bytes of the sample are symbols of their own, the rest share
-one.  A run of non-letters counts as one.
+Symbols: bytes after folding A-Z to a-z, all of ASCII but letters being one symbol.  Languages are
+put in groups whose frequent bytes are ``SYMBOLS`` - 2 at most together, one script each about;
+these are symbols of their own there and the other bytes share one, to which the code length of
+the byte among them is added, so that code lengths of different groups compare.  A run of
+non-letters counts as one.
 
 The model is fitted on a bounded sample: about ``SAMPLE_DOCS`` whole documents per language,
-chosen by a hash of the id.  Prediction reads every whole text.
+chosen by a hash of the id.  Every language has a model; they are fitted, and from more than
+``MAX_LANGUAGES`` on scored, in blocks of that many, and a row's blocks are put together by its best
+code length and the sum of its weights.  Prediction reads every whole text.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter; ties go to the
 language that sorts first; repeated rows have a row each; without labelled rows all are ``und``.
@@ -22,12 +27,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keyfig.llm.common import annotate, text_bytes
+from keyfig.llm.common import annotate, fresh, stored, text_bytes
 
 SYMBOLS, ORDER = 48, 3
 SAMPLE_DOCS = 2000
@@ -36,8 +42,10 @@ SCALE, LIMIT = 256, 65535
 UNKNOWN = "und"
 #: How sharply the score tells the best language from the others, per bit and symbol.
 SHARPNESS = 12.0
-#: Languages that one model holds at most; bounds the broadcast table to 10.6 MB each.
+#: Languages that are fitted and broadcast at a time; the sparse statistics take about 1 MB each.
 MAX_LANGUAGES = 64
+#: Least share in a language's bytes of one that its group must have as a symbol.
+FREQUENT = 1e-4
 RESULT = "struct<lang:string,score:double,bits:double,symbols:long>"
 ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("symbols", pa.int64())])
 
@@ -85,33 +93,119 @@ def codes(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return code
 
 
+class Statistics:
+    """A language's frozen statistics: four-symbol strings seen, ascending, and how often."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray):
+        def bits(p: np.ndarray) -> np.ndarray:
+            return (-np.log2(p) * SCALE).astype(np.float32)
+
+        def level(c: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+            total, kinds = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
+            seen = np.where(c > 0, c - 0.5, 0.0) / np.maximum(total, 1)
+            return seen + np.where(total > 0, kinds / 2 / np.maximum(total, 1), 1.0) * shorter
+
+        probability = np.full((1, SYMBOLS), 1 / SYMBOLS)  # order -1
+        for order in range(ORDER):
+            # the contexts of this order are those of the last one with a symbol in front
+            size = SYMBOLS ** (order + 1)
+            c = np.bincount(code % size, weights=n, minlength=size).reshape(-1, SYMBOLS)
+            probability = level(c, np.tile(probability, (len(c) // len(probability), 1)))
+        shorter = probability.ravel()
+        self.context, of, kinds = np.unique(code // SYMBOLS, return_inverse=True, return_counts=True)
+        total = np.bincount(of, weights=n, minlength=len(kinds))
+        escape = kinds / 2 / np.maximum(total, 1)
+        self.code, self.shorter, self.escape = code.astype(np.int32), bits(shorter), bits(escape)
+        self.seen = bits((n - 0.5) / total[of] + escape[of] * shorter[code % len(shorter)])
+
+    def lengths(self, code: np.ndarray) -> np.ndarray:
+        """Code length of each ascending string's last symbol after its first three, by escapes."""
+        out = self.shorter[code % len(self.shorter)]
+        for keys, values, wanted, add in ((self.context, self.escape, code // SYMBOLS, True), (self.code, self.seen, code, False)):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                hit = keys[at] == wanted
+                out[hit] = values[at[hit]] + (out[hit] if add else 0)
+        return np.minimum(np.round(out), LIMIT).astype(np.uint16)
+
+
+class Group:
+    """Languages of one set of symbols: the symbol of each byte, statistics, costs of shared bytes."""
+
+    def __init__(self, symbol: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], shared: np.ndarray | None = None):
+        """shared: per byte and language, the length to add where the byte has the last symbol."""
+        self.symbol, self.shared = symbol, shared
+        self.statistics = [Statistics(*c) for c in counts]
+
+    def lengths(self, folded_: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Bits per row and language of folded texts."""
+        n = len(self.statistics)
+        bits = np.zeros((len(at) - 1, n))
+        code = codes(self.symbol[folded_], at)
+        place = np.empty(SYMBOLS ** (ORDER + 1), np.int32)
+        step = (1 << 23) // max(8, n)
+        for a in range(0, len(code), step):
+            b = min(a + step, len(code))
+            there = np.zeros(len(place), bool)
+            there[code[a:b]] = True
+            strings = np.flatnonzero(there).astype(np.int32)
+            place[strings] = np.arange(len(strings), dtype=np.int32)
+            table = np.empty((len(strings), n), np.uint16)
+            for k, x in enumerate(self.statistics):
+                table[:, k] = x.lengths(strings)
+            cost = table[place[code[a:b]]]
+            first = int(np.searchsorted(at, a, side="right")) - 1
+            last = int(np.searchsorted(at, b, side="left"))
+            cuts = np.maximum(at[first:last], a) - a  # every text has a symbol, so cuts ascend
+            bits[first:last] += np.add.reduceat(cost, cuts, axis=0, dtype=np.uint64) / SCALE
+            if self.shared is not None:
+                rest = np.flatnonzero(self.symbol[folded_[a:b]] == SYMBOLS - 1)
+                row = np.searchsorted(at, rest + a, side="right") - 1
+                for k in range(n):
+                    bits[:, k] += np.bincount(row, weights=self.shared[folded_[a:b][rest], k], minlength=len(bits)) / SCALE
+        return bits
+
+
 class Model:
-    """Frozen statistics: the symbol of each byte and the table of code lengths."""
+    """Frozen statistics of languages, in groups of one set of symbols."""
 
-    def __init__(self, languages: list[str], symbol: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, languages: list[str], symbol: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]], shared: np.ndarray | None = None):
         """counts: per language, the four-symbol strings seen, ascending, and how often."""
-        self.languages, self.symbol = languages, symbol
-        self.table = np.empty((SYMBOLS ** (ORDER + 1) if languages else 1, len(languages)), np.uint16)
-        for k, c in enumerate(counts):
-            self.table[:, k] = _code_lengths(*c)
+        self.languages = languages
+        self.groups = [(list(range(len(languages))), Group(symbol, counts, shared))] if languages else []
+
+    @classmethod
+    def joined(cls, models: list[Model]) -> Model:
+        """One model of all the languages of several."""
+        out = cls([], np.zeros(256, np.uint8), [])
+        out.languages = sorted(x for m in models for x in m.languages)
+        place = {x: k for k, x in enumerate(out.languages)}
+        out.groups = [([place[m.languages[k]] for k in columns], g) for m in models for columns, g in m.groups]
+        return out
+
+    def blocks(self) -> list[Model]:
+        """Models of ``MAX_LANGUAGES`` languages at most, or of one group that has more."""
+        out: list[list] = []
+        for columns, group in self.groups:
+            if not out or sum(len(c) for c, _ in out[-1]) + len(columns) > MAX_LANGUAGES:
+                out.append([])
+            out[-1].append((columns, group))
+        made = []
+        for some in out:
+            m = Model([], np.zeros(256, np.uint8), [])
+            kept = sorted(k for columns, _ in some for k in columns)
+            m.languages = [self.languages[k] for k in kept]
+            m.groups = [([kept.index(k) for k in columns], g) for columns, g in some]
+            made.append(m)
+        return made or [self]
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bits per row and language, symbols per row) of whole texts."""
-        rows, n = len(offsets) - 1, len(self.languages)
-        bits, total = np.zeros((rows, n)), np.zeros(rows, np.int64)
         folded_, at = folded(data, offsets)
-        code = codes(self.symbol[folded_], at)
-        step = 1 << 20
-        for a in range(0, len(code), step):
-            b = min(a + step, len(code))
-            cost = self.table[code[a:b]]
-            first = int(np.searchsorted(at, a, side="right")) - 1
-            last = int(np.searchsorted(at, b, side="left"))
-            cuts = np.maximum(at[first:last], a) - a  # every text has a symbol, so cuts ascend
-            sums = np.add.reduceat(cost, cuts, axis=0, dtype=np.uint64)
-            bits[first:last] += sums / SCALE
-        total = np.diff(at)
-        return bits, total
+        bits = np.zeros((len(offsets) - 1, len(self.languages)))
+        for columns, group in self.groups:
+            bits[:, columns] = group.lengths(folded_, at)
+        return bits, np.diff(at)
 
     def predict(self, column: pa.Array) -> pa.Array:
         n = len(column)
@@ -132,28 +226,43 @@ class Model:
 
 
 def _code_lengths(code: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Code length of each four-symbol string's last symbol after its first three, by escapes.
-
-    The strings seen and how often; a first symbol's strings are worked on at a time.
-    """
-    def level(c: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        total, kinds = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
-        seen = np.where(c > 0, c - 0.5, 0.0) / np.maximum(total, 1)
-        return seen + np.where(total > 0, kinds / 2 / np.maximum(total, 1), 1.0) * shorter
-
-    probability = np.full((1, SYMBOLS), 1 / SYMBOLS)  # order -1
-    for order in range(ORDER):
-        # the contexts of this order are those of the last one with a symbol in front
-        size = SYMBOLS ** (order + 1)
-        c = np.bincount(code % size, weights=n, minlength=size).reshape(-1, SYMBOLS)
-        probability = level(c, np.tile(probability, (len(c) // len(probability), 1)))
-    size = SYMBOLS ** ORDER
-    out = np.empty((SYMBOLS, size), np.uint16)
-    for first in range(SYMBOLS):
-        some = slice(*np.searchsorted(code, [first * size, (first + 1) * size]))
-        c = np.bincount(code[some] - first * size, weights=n[some], minlength=size).reshape(-1, SYMBOLS)
-        out[first] = np.minimum(np.round(-np.log2(level(c, probability)) * SCALE), LIMIT).ravel()
-    return out.ravel()
+    """The dense table: code lengths of all four-symbol strings, from those seen and how often."""
+    return Statistics(code, n).lengths(np.arange(SYMBOLS ** (ORDER + 1)))
+
+
+def alphabets(frequency: np.ndarray) -> list[tuple[list[int], np.ndarray]]:
+    """Groups of languages and the symbol of each byte there, from counts per language and byte."""
+    groups: list[tuple[list[int], set[int], np.ndarray]] = []
+    for k, c in enumerate(frequency):
+        ranked = np.lexsort((np.arange(256), -c))[:SYMBOLS - 2]
+        need = {int(x) for x in ranked if c[x] > FREQUENT * c.sum()}
+        for members, own, total in groups:
+            if len(own | need) <= SYMBOLS - 2:
+                members.append(k)
+                own |= need
+                total += c
+                break
+        else:
+            groups.append(([k], need, c.copy()))
+    out = []
+    for members, own, total in groups:
+        # places that are left go to the most frequent of the other bytes
+        more = [int(x) for x in np.lexsort((np.arange(256), -total)) if total[x] and int(x) not in own]
+        chosen = sorted(own | set(more[:SYMBOLS - 2 - len(own)]))
+        symbol = np.full(256, SYMBOLS - 1, np.uint8)
+        symbol[0] = 0
+        symbol[chosen] = np.arange(1, len(chosen) + 1)
+        out.append((members, symbol))
+    return out
+
+
+def _shared(symbol: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+    """Per byte and language: code length of a byte among those that share the last symbol."""
+    rest = np.flatnonzero((symbol == SYMBOLS - 1) & np.isin(np.arange(256), _FOLD))
+    out = np.zeros((256, len(frequency)), np.uint16)
+    c = frequency[:, rest] + 0.5
+    out[rest] = np.round(-np.log2(c / c.sum(axis=1, keepdims=True)) * SCALE).T
+    return out
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str | Column = "doc_id",
@@ -164,53 +273,87 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str |
     """
     key = F.col(f"`{key}`") if isinstance(key, str) else key
     rows = labelled.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), key.alias("key")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
-    if not languages:
-        return Model([], np.zeros(256, np.uint8), [])
-    share = F.create_map(*(F.lit(x) for name in languages for x in (name, sample_docs / sizes[name])))
-    sample = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20)).select("lang", "text")
+    blocks = [languages[a:a + MAX_LANGUAGES] for a in range(0, len(languages), MAX_LANGUAGES)]
+    if len(blocks) > 1:  # the sample alone is read for each block
+        rows = stored(_sample(rows, sizes, sample_docs), "language_sample")
+    return Model.joined([_fit(_sample(rows, {x: sizes[x] for x in some}, sample_docs), some) for some in blocks])
+
+
+def _sample(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFrame:
+    share = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, sample_docs / n)))
+    return rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20))
+
+
+def _fit(sample: DataFrame, languages: list[str]) -> Model:
+    """A model of the languages from the rows of a sample."""
+    number = F.create_map(*(F.lit(x) for k, name in enumerate(languages) for x in (name, k)))
+    sent = sample.select(F.try_element_at(number, F.col("lang")).alias("lang"), "text")
 
-    def count(batches: Iterator[pa.RecordBatch], symbol: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+    def count(batches: Iterator[pa.RecordBatch], symbols: dict[int, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            names = np.array(batch.column(0).to_pylist(), object)
-            for name in sorted(set(names)):
-                some = batch.column(1).filter(pa.array(names == name))
+            numbers = batch.column(0).to_numpy(zero_copy_only=False)
+            for k in np.unique(numbers).tolist():
+                some = batch.column(1).filter(pa.array(numbers == k))
                 data, offsets = folded(*text_bytes(some))
-                values = data if symbol is None else codes(symbol[data], offsets)
-                size = 256 if symbol is None else SYMBOLS ** (ORDER + 1)
-                if name not in sums:
-                    sums[name] = np.zeros(size, np.int64)
-                np.add.at(sums[name], *np.unique(values, return_counts=True))
-        for name, c in sums.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(c[at])], names=["lang", "code", "n"])
-
-    def counted(symbol: np.ndarray | None) -> pa.Table:
-        found = sample.mapInArrow(lambda b: count(b, symbol), "lang string, code long, n long")
+                code, n = np.unique(data if symbols is None else codes(symbols[k][data], offsets), return_counts=True)
+                if k in sums:
+                    code, of = np.unique(np.concatenate([sums[k][0], code]), return_inverse=True)
+                    n = np.bincount(of, weights=np.concatenate([sums[k][1], n])).astype(np.int64)
+                sums[k] = code, n
+        for k, (code, n) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), k), pa.int32()), pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["lang", "code", "n"])
+
+    def counted(symbols: dict[int, np.ndarray] | None) -> pa.Table:
+        found = sent.mapInArrow(lambda b: count(b, symbols), "lang int, code long, n long")
         return found.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
 
-    # bounded by 256 rows and by SYMBOLS ** 4 rows a language
+    # bounded by 256 rows a language, and by the four-symbol strings of its sample
     by_byte = counted(None)
-    frequency = np.zeros(256, np.int64)
-    np.add.at(frequency, by_byte["code"].to_numpy(), by_byte["n"].to_numpy())
-    frequency[0] = 0
-    order = np.lexsort((np.arange(256), -frequency))[:SYMBOLS - 2]
-    symbol = np.full(256, SYMBOLS - 1, np.uint8)
-    symbol[0] = 0
-    symbol[np.sort(order)] = np.arange(1, SYMBOLS - 1)
-    grams = counted(symbol)
-    names, at, n = np.array(grams["lang"].to_pylist(), object), grams["code"].to_numpy(), grams["n"].to_numpy()
-    counts = []
-    for name in languages:
-        some = np.flatnonzero(names == name)
-        some = some[np.argsort(at[some])]
-        counts.append((at[some], n[some]))
-    return Model(languages, symbol, counts)
+    frequency = np.zeros((len(languages), 256), np.int64)
+    frequency[by_byte["lang"].to_numpy(), by_byte["code"].to_numpy()] = by_byte["n"].to_numpy()
+    frequency[:, 0] = 0
+    groups = alphabets(frequency)
+    grams = counted({k: symbol for members, symbol in groups for k in members})
+    numbers, at, n = (grams[x].to_numpy() for x in ("lang", "code", "n"))
+    del grams
+    models = []
+    for members, symbol in groups:
+        counts = []
+        for k in members:
+            some = np.flatnonzero(numbers == k)
+            some = some[np.argsort(at[some])]
+            counts.append((at[some], n[some]))
+        models.append(Model([languages[k] for k in members], symbol, counts, _shared(symbol, frequency[members])))
+    return Model.joined(models)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """``docs`` with a struct column: language, score (0 to 1), code length, symbols."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return annotate(docs, lambda: shared.value.predict, RESULT, text, keep, "language")
+    context, blocks = docs.sparkSession.sparkContext, model.blocks()
+    if len(blocks) == 1:
+        shared = context.broadcast(model)
+        return annotate(docs, lambda: shared.value.predict, RESULT, text, keep, "language")
+    row, name = fresh(docs, "row"), fresh(docs, "language")
+    # stored once, so that a row has one number in all blocks
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = []
+    for block in blocks:
+        shared = context.broadcast(block)
+        part, one = annotate(numbered, lambda b=shared: b.value.predict, RESULT, text, [row], name)
+        found.append(stored(part.select(F.col(f"`{row}`").alias("row"), F.col(f"`{one}`").alias("found")), "languages"))
+        shared.destroy()
+    parts = reduce(DataFrame.unionByName, found).groupBy("row").agg(F.collect_list("found").alias("parts"))
+    best = F.array_min(F.transform("parts", lambda x: F.struct(x["bits"], x["lang"], x["symbols"])))
+    parts = parts.select("row", "parts", best.alias("best"))
+    weights = F.aggregate(F.array_sort("parts"), F.lit(0.0), lambda w, x: w + F.exp(
+        (x["bits"] - F.col("best.bits")) * -SHARPNESS / F.col("best.symbols")) / x["score"])
+    known = F.col("best.lang") != UNKNOWN
+    score = F.when(known, 1 / weights).otherwise(0.0)
+    made = parts.select(F.col("row").alias(f"{row}_"), F.struct(
+        F.col("best.lang").alias("lang"), score.alias("score"), F.col("best.bits").alias("bits"), F.col("best.symbols").alias("symbols")).alias(name))
+    wanted = docs.columns if keep is None else keep
+    joined = numbered.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*wanted, row]))).join(made.hint("merge"), F.col(f"`{row}`") == F.col(f"`{row}_`"))
+    return joined.select(*(F.col(f"`{c}`") for c in wanted), F.col(f"`{name}`")), name

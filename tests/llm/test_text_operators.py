@@ -121,6 +121,42 @@ def test_language_of_held_out_documents(spark):
     assert got.where("score < 0 OR score > 1").count() == 0
 
 
+def test_every_language_has_a_model(spark, monkeypatch):
+    rnd = random.Random(9)
+    names = [f"l{k:02}" for k in range(70)]
+    words = {x: ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for x in names}
+    rows = [(i, " ".join(rnd.choices(words[x], k=30)), x) for i, x in enumerate(x for x in names for _ in range(3))]
+    docs = spark.createDataFrame(rows, SCHEMA + ", lang string").repartition(3)
+    model = langid.fit(docs)
+    assert model.languages == names and len(model.blocks()) == 2
+    texts = [(i, " ".join(rnd.choices(words[x], k=30)), x) for i, x in enumerate(names)] + [(100, "12", "und"), (100, "12", "und")]
+    out, name = langid.predict(spark.createDataFrame(texts, SCHEMA + ", row string"), model)
+    got = out.collect()
+    assert out.columns == ["doc_id", "text", "row", name] and len(got) == len(texts)
+    assert all(r[name]["lang"] == r["row"] for r in got)
+    whole = model.predict(pa.array([r["text"] for r in got])).to_pylist()
+    assert all(r[name]["bits"] == w["bits"] and abs(r[name]["score"] - w["score"]) < 1e-12 for r, w in zip(got, whole, strict=True))
+
+
+def test_scripts_are_told_apart(spark):
+    rnd = random.Random(4)
+    spans = {"xa": 0x430, "xb": 0x561, "xc": 0x5D0, "xd": 0x905, "xe": 0x985, "xf": 0xE01, "xg": 0x10D0, "xh": 0x1200}
+    # two languages a script, of the same letters, told apart by their order alone
+    words = {f"{x}{k}": ["".join(chr(a + rnd.randrange(26)) for _ in range(5)) for _ in range(15)] for x, a in spans.items() for k in range(2)}
+    words["latin"] = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(15)]
+    text = lambda x: " ".join(rnd.choices(words[x], k=25))
+    sizes = {x: 200 if x == "latin" else 6 for x in words}
+    train = [(i, text(x), x) for i, x in enumerate(x for x, n in sizes.items() for _ in range(n))]
+    model = langid.fit(spark.createDataFrame(train, SCHEMA + ", lang string"))
+    assert len(model.groups) > 1
+    for columns, group in model.groups:  # a frequent byte is no shared one in its language's group
+        for k in columns:
+            data, offsets = langid.folded(*common.text_bytes(pa.array([text(model.languages[k]) for _ in range(20)])))
+            assert (group.symbol[data] == langid.SYMBOLS - 1).mean() < 0.05
+    got = model.predict(pa.array([text(x) for x in words])).to_pylist()
+    assert [r["lang"] for r in got] == list(words)
+
+
 def test_language_edge_cases(spark):
     rows = [(1, "the cat sat on the mat and the dog", "en"), (2, "der Hund und die Katze sind auf der Matte", "de"), (3, None, "en"), (4, "gar nichts", None)] * 3
     train = spark.createDataFrame(rows, SCHEMA + ", lang string")
