@@ -248,6 +248,26 @@ def test_plans_hold_exactly_the_pieces(seed):
             at += n
 
 
+@pytest.mark.parametrize("pieces", [(1638, 1229, 1229), (1200, 700, 700, 700, 796), (1366, 1365, 1365), (2000, 524, 524, 524, 524)])
+def test_a_length_may_be_several_times_in_a_sequence(pieces):
+    n = 10_000
+    histogram = {k: n * c for k, c in Counter(pieces).items()}
+    plan = packing.solve(histogram)
+    assert sum(c.copies for c in plan) <= n * 1.001
+    held = Counter()
+    for c in plan:
+        for k, m in c.content:
+            held[k] += m * c.copies
+    assert held == histogram
+
+
+def test_configurations_need_not_be_full():
+    # two pieces of 1300 and one of 1400 fill 4000 of 4096: no sequence can be 99.9 % full
+    assert sum(c.copies for c in packing.solve({1300: 20_000, 1400: 10_000})) == 10_000
+    price = packing._price(np.array([1300, 1400]), np.array([1.0, 1.5]), np.array([9.0, 1.0]), 4096)
+    assert price.tolist() == [0, 0, 1]
+
+
 def test_program_covers_evenly_and_never_too_much():
     lengths = np.array([100, 900, 1500, 3000])
     counts = np.array([4000.0, 1000, 1000, 1000])
