@@ -46,6 +46,10 @@ SHARPNESS = 12.0
 MAX_LANGUAGES = 64
 #: Least share in a language's bytes of one that its group must have as a symbol.
 FREQUENT = 1e-4
+#: The quantile of a language's held-out texts, and how many times its excess a text may have.
+QUANTILE, SLACK = 0.999, 3.0
+#: Symbols from which on a text's length makes its code length per symbol no steadier.
+STEADY = 256
 RESULT = "struct<lang:string,score:double,bits:double,symbols:long>"
 ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("symbols", pa.int64())])
 
@@ -357,3 +361,44 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     wanted = docs.columns if keep is None else keep
     joined = numbered.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*wanted, row]))).join(made.hint("merge"), F.col(f"`{row}`") == F.col(f"`{row}_`"))
     return joined.select(*(F.col(f"`{c}`") for c in wanted), F.col(f"`{name}`")), name
+
+
+def _excess(bits: Column, symbols: Column, usual: Column) -> Column:
+    """Bits a symbol above the usual, in units that shrink with a text's length up to ``STEADY``."""
+    return (bits / symbols - usual) * F.sqrt(symbols / (1 + symbols / STEADY))
+
+
+def limits(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> dict[str, tuple[float, float]]:
+    """Per language: the usual bits a symbol of its texts, and the excess above it that is too much.
+
+    A model of one half of the labelled rows is held against a sample of the other half, so the
+    limits do not depend on the other languages there are.  A language of which no text of the
+    other half is recognised has no limit.
+    """
+    rows = labelled.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{key}`").alias("key")).where("text is not null and lang is not null")
+    half = F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(2))
+    model, held = fit(rows.where(half == 0), key="key", sample_docs=sample_docs), rows.where(half == 1)
+    sizes = {r["lang"]: r["n"] for r in held.groupBy("lang").agg(F.count("*").alias("n")).collect() if r["lang"] in set(model.languages)}
+    if not sizes:
+        return {}
+    found, name = predict(_sample(held, sizes, sample_docs), model, keep=["lang"])
+    own = stored(found.where(F.col(f"`{name}`.lang") == F.col("lang")).where(F.col(f"`{name}`.score") > 0)
+                 .select("lang", F.col(f"`{name}`.bits").alias("bits"), F.col(f"`{name}`.symbols").alias("symbols")), "held_out")
+    usual = own.groupBy("lang").agg(F.median(F.col("bits") / F.col("symbols")).alias("usual"))
+    above = own.join(F.broadcast(usual), "lang").groupBy("lang", "usual").agg(
+        F.percentile(_excess(F.col("bits"), F.col("symbols"), F.col("usual")), QUANTILE).alias("most"))
+    return {r["lang"]: (r["usual"], SLACK * r["most"]) for r in above.collect()}
+
+
+def fits(found: Column, limits: dict[str, tuple[float, float]]) -> Column:
+    """Whether a result's text is, by its code length, one of its language; ``und`` never is.
+
+    A text that its language's model codes better than no model at all is one whatever the limit:
+    so are texts of two languages, or with keys and addresses among the words.
+    """
+    known = found["lang"] != UNKNOWN
+    if not limits:
+        return known
+    usual, most = (F.try_element_at(F.create_map(*(F.lit(x) for name, v in limits.items() for x in (name, v[k]))), found["lang"]) for k in range(2))
+    better = found["bits"] < found["symbols"] * float(np.log2(SYMBOLS))
+    return known & (better | F.coalesce(_excess(found["bits"], found["symbols"], usual) <= most, F.lit(True)))

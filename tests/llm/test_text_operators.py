@@ -4,6 +4,7 @@ import hashlib
 import random
 from math import log2
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -157,6 +158,22 @@ def test_scripts_are_told_apart(spark):
     assert [r["lang"] for r in got] == list(words)
 
 
+@pytest.mark.parametrize("languages", [1, 2, 5])
+def test_what_the_pipeline_keeps_hangs_on_the_text_alone(spark, languages):
+    rnd = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rnd.choices(letters, k=rnd.randint(2, 8))) for _ in range(60)]
+    text = lambda n: " ".join(rnd.choices(words, k=n))
+    # languages of one vocabulary: their models are so close that no score is far from 1 / languages
+    rows = [(i, text(60), f"l{i % languages}") for i in range(200 * languages)]
+    clean = [(10_000 + i, text(n), None) for i, n in enumerate([3, 8, 20, 60, 200] * 4)]
+    noise = [(20_000 + i, " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 8))) for _ in range(80)), None) for i in range(20)]
+    other = [(30_000, "123 456", None), (30_001, None, None)]
+    docs = spark.createDataFrame([*rows, *clean, *noise, *other], SCHEMA + ", lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {r[0] for r in [*rows, *clean]}
+
+
 def test_language_edge_cases(spark):
     rows = [(1, "the cat sat on the mat and the dog", "en"), (2, "der Hund und die Katze sind auf der Matte", "de"), (3, None, "en"), (4, "gar nichts", None)] * 3
     train = spark.createDataFrame(rows, SCHEMA + ", lang string")
