@@ -11,8 +11,9 @@ A training suffix can only match where the words that follow all occur in the te
 runs of fewer such words than the shortest window are left out of the array.
 
 Defined results: a null or wordless text has 0 words and no hit; a null or wordless item has no
-window and an item with a null id none either; items that repeat are found each; repeated
-documents each get their row; extra columns of any name pass through.
+window; an item with a null id has none either, unless ``null_ids`` has it searched like any other,
+without a place among the item ids;
+items that repeat are found each; repeated documents each get their row; extra columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def _bound(text: np.ndarray, order: np.ndarray, lo: np.ndarray, hi: np.ndarray,
 class TestItems:
     """The test items of a block: words as ids 1..V, windows, and the item of each suffix."""
 
-    def __init__(self, ids: list[str], texts: list[str], window: int):
+    def __init__(self, ids: list[str | None], texts: list[str], window: int):
         words, offsets = word_hashes(*text_bytes(pa.array(texts, pa.large_string())))
         self.ids = ids
         self.vocabulary = np.unique(words)
@@ -160,7 +161,8 @@ class TestItems:
                 h = head[k]
                 start, end = int(at[h] - offsets[r]), int(stop[k] - offsets[r])
                 name = self.ids[item[h]]
-                names.add(name)
+                if name is not None:
+                    names.add(name)
                 found.append({"item_id": name, "item_start": int(self.start[suffix[h]]), "start": start, "length": end - start})
                 if hits and start <= hits[-1]["stop"]:
                     hits[-1]["stop"] = max(hits[-1]["stop"], end)
@@ -181,14 +183,14 @@ ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
 
 def find_matches(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                  item_text: str = "text", window: int = 10, keep: list[str] | None = None,
-                 block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
+                 block_bytes: int = BLOCK_BYTES, null_ids: bool = False) -> tuple[DataFrame, str]:
     """``docs`` with a struct column: words, hit words, hit ranges, item ids, longest matches.
 
     Offsets count words of the document (``start``) and of the item (``item_start``).
     """
     spark = docs.sparkSession
-    items = items.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t")).where("i is not null and t is not null")
-    total = items.select(F.sum(F.octet_length("t") + F.octet_length("i")).alias("b")).first()["b"] or 0
+    items = items.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t")).where("t is not null" if null_ids else "i is not null and t is not null")
+    total = items.select(F.sum(F.octet_length("t") + F.coalesce(F.octet_length("i"), F.lit(0))).alias("b")).first()["b"] or 0
     blocks = -(-total // block_bytes) or 1
     out, name = docs, ""
     for k in range(blocks):  # one block of bounded size at a time on the driver and in a task

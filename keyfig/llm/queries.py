@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside windows of the benchmark, and the items they are of."""
-    docs, name = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    docs, name = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"], null_ids=True)
     found = F.col(name)
     longest = F.coalesce(F.array_max(F.transform(found["matches"], lambda m: m["length"])), F.lit(0))
     return docs.select("doc_id", found["n_words"].alias("n_words"), found["n_hit"].alias("n_hit"),

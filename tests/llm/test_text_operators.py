@@ -66,6 +66,23 @@ def test_longest_matches_and_empty_tables(spark):
     assert decontaminate.clean(docs.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_items_without_an_id_are_searched(spark, block_bytes, tmp_path):
+    from keyfig.llm.queries import op1_decontamination
+    text = lambda a: " ".join(f"w{k}" for k in range(a, a + 12))
+    items = spark.createDataFrame([(None, text(0)), (None, text(100)), ("x", text(200))], "item_id string, text string")
+    docs = spark.createDataFrame([(1, text(0)), (2, text(100) + " and " + text(200)), (3, text(300))], SCHEMA)
+    out, name = decontaminate.find_matches(docs, items, block_bytes=block_bytes, null_ids=True)
+    got = {r["doc_id"]: (r[name]["n_hit"], list(r[name]["items"])) for r in out.collect()}
+    assert got == {1: (12, []), 2: (24, ["x"]), 3: (0, [])}
+    assert [r["doc_id"] for r in decontaminate.clean(docs, items, block_bytes=block_bytes, null_ids=True).collect()] == [3]
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    hit = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in op1_decontamination(spark, str(tmp_path)).collect()}
+    assert hit == {1: (12, 0, True), 2: (24, 1, True), 3: (0, 0, False)}
+    assert [r["doc_id"] for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_decontamination_of_random_texts(spark):
     rnd = random.Random(5)
     text = lambda n: " ".join(rnd.choice("abc") for _ in range(n))
