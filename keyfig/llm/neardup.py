@@ -1,10 +1,10 @@
-"""N-gram Jaccard join: a MinHash LSH forest for candidates, then exact verification.
+"""N-gram Jaccard join: MinHash banding for candidates, then exact verification.
 
 A document is its set of five-word shingles; documents with one set are copies and are one node.
-The forest has ``TREES`` trees; a node's label in a tree is a sequence of minimum hashes, and
-nodes that share a prefix of it are below one branch of the sorted trie.  Prefixes start at
-``DEPTH`` hashes and are shortened until pairs at the threshold share one in some tree with the
-target recall; a branch of that depth with several nodes is a hub of candidates.
+There are ``TREES`` bands, called trees; a node's label in a tree is a sequence of minimum hashes.
+One depth holds for all: the longest prefix, of ``DEPTH`` hashes at most, that pairs at the
+threshold share in some tree with the target recall by the formula, whatever the data.  A prefix
+of that depth that several nodes share is a hub of candidates.
 
 Nodes that hubs connect are a candidate group.  Its nodes' sets meet in one task (groups too
 large for one are cut into chunks, and each pair of chunks meets in one task), where all
