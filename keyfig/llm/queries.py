@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10: each applies its operator to its whole table."""
+"""The registered queries op1 to op13: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keyfig.llm import decontaminate, fingerprint, htmltext, langid, linededup, neardup, packing, repeats, secrets, warc
+from keyfig.llm import decontaminate, fingerprint, htmltext, langid, linededup, merkle, neardup, packing, repeats, secrets, warc
 from keyfig.llm.common import lookup, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,12 +89,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and witness of every document; what the tampered ones fold to."""
+    docs = table(spark, sf_dir, "documents")
+    values = lambda n_chars: [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(changed, merkle.leaf(*values(F.col("n_chars").cast("decimal(20,0)") + 1)))
+    found = merkle.manifest(docs, "doc_id", values(F.col("n_chars")), "lang", {"claimed": claimed})
+    return merkle.proved(found, "doc_id", "claimed")
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_decontamination, op2_warc, op3_language_id, op4_secrets, op5_fingerprint, op6_ngram_jaccard,
-    op7_html_text, op8_line_dedup, op9_repeats, op10_packing)}
+    op7_html_text, op8_line_dedup, op9_repeats, op10_packing, op13_merkle_manifest)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: crc32 of a string in DuckDB: the table by rule, then a byte at a time (reflected polynomial EDB88320).
+_CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS v
+  FROM (SELECT unnest(range(256))::BIGINT AS n)))"""
+
+
+def _crc(text: str) -> str:
+    return (f"xor(list_reduce(list_transform(range(len(hex(encode({text}))) // 2), lambda k: ('0x' || substr(hex(encode({text})), (2 * k + 1)::INT, 2))::BIGINT), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
 #: DuckDB SQL over the registered views, where SQL can express the whole result.
 SQL: dict[str, str] = {
     "op1_decontamination": f"""
@@ -151,4 +175,32 @@ parts AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last
 SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substring(h, 2 * last + 1) END)) AS kept_sha256
 FROM docs LEFT JOIN parts USING (r)""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM (
+  SELECT row_number() OVER () AS r, doc_id, lang, sha256({" || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", "text"]))}) AS leaf,
+         CASE WHEN {_crc("doc_id::VARCHAR")} % 7 = 0 THEN sha256({" || ".join(map(_field, ["doc_id", "source", "lang", "(n_chars + 1)", "text"]))}) END AS claimed
+  FROM documents, crc_table)),
+trees(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY p) FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], ''))) FROM trees WHERE len(nodes) > 1),
+subroots AS (SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS q FROM trees WHERE len(nodes) = 1),
+crown(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY q) FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], ''))) FROM crown WHERE len(nodes) > 1),
+steps AS (
+  SELECT r, level, p // (1 << level) AS place, nodes FROM leaves JOIN trees ON trees.lang IS NOT DISTINCT FROM leaves.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT r, height + level, q // (1 << level), nodes FROM leaves JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang, crown WHERE len(nodes) > 1),
+siblings AS (SELECT r, level, place % 2 AS side, nodes[xor(place, 1) + 1] AS d FROM steps),
+proofs AS (SELECT r, list(d ORDER BY level) FILTER (d IS NOT NULL) AS ds, list(struct_pack(side := side, d := d) ORDER BY level) AS path FROM siblings GROUP BY r),
+folds(r, k, d, path) AS (
+  SELECT r, 1, coalesce(claimed, leaf), coalesce(path, []) FROM leaves LEFT JOIN proofs USING (r)
+  UNION ALL
+  SELECT r, k + 1, sha256(CASE WHEN path[k].side = 1 THEN coalesce(path[k].d, '') || d ELSE d || coalesce(path[k].d, '') END), path FROM folds WHERE k <= len(path))
+SELECT doc_id, leaf, subroot, nodes[1] AS root, sha256(coalesce(array_to_string(ds, ''), '')) AS proof_sha256, f.d AS folded_root, f.d = nodes[1] AS verified
+FROM leaves JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang JOIN crown ON len(nodes) = 1
+LEFT JOIN proofs USING (r) JOIN folds f ON f.r = leaves.r AND f.k = len(f.path) + 1""",
 }
