@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keyfig.llm import decontaminate, fingerprint, htmltext, langid, linededup, merkle, neardup, packing, repeats, secrets, warc
+from keyfig.llm import conversations, decontaminate, fingerprint, htmltext, langid, linededup, merkle, neardup, packing, repeats, secrets, warc
 from keyfig.llm.common import lookup, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest audit and repaired turns of every damaged conversation."""
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    found = conversations.audits(rows, copies="copies")
+    prints = conversations.hashed(conversations.repaired(rows, found, copies="copies")).withColumnRenamed("conv", "hashed")
+    out = found.join(prints, F.col("conv").eqNullSafe(F.col("hashed")), "left")
+    return out.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and witness of every document; what the tampered ones fold to."""
     docs = table(spark, sf_dir, "documents")
@@ -101,7 +111,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_decontamination, op2_warc, op3_language_id, op4_secrets, op5_fingerprint, op6_ngram_jaccard,
-    op7_html_text, op8_line_dedup, op9_repeats, op10_packing, op13_merkle_manifest)}
+    op7_html_text, op8_line_dedup, op9_repeats, op10_packing, op12_conversation_repair, op13_merkle_manifest)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -119,6 +129,11 @@ def _field(value: str) -> str:
     return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
 
 
+def _more(state: str, cost: str, letter: str) -> str:
+    """A state (ten digits of cost, then the audit) with a further edit."""
+    return f"(lpad((substr({state}, 1, 10)::BIGINT + {cost})::VARCHAR, 10, '0') || substr({state}, 11) || '{letter}')"
+
+
 #: DuckDB SQL over the registered views, where SQL can express the whole result.
 SQL: dict[str, str] = {
     "op1_decontamination": f"""
@@ -175,6 +190,39 @@ parts AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last
 SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substring(h, 2 * last + 1) END)) AS kept_sha256
 FROM docs LEFT JOIN parts USING (r)""",
+    "op12_conversation_repair": f"""
+WITH RECURSIVE {_CRC_TABLE},
+given AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault FROM conversations, crc_table),
+damaged AS (SELECT c, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                   CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM given),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, md5(octet_length(encode(role)) || ':' || role || text)) AS i FROM damaged),
+seen AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+                left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) AS pair FROM placed),
+faults AS (SELECT *, body = '' AS blank, body <> '' AND again AS duplicate, body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS cut FROM seen),
+rows AS (SELECT c, i, role, text, initial, blank OR duplicate AS forced, cut::INT AS t, CASE initial WHEN 'u' THEN 0 ELSE 2 END AS cu, CASE initial WHEN 'a' THEN 0 ELSE 2 END AS ca FROM faults),
+figures AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                   count(*) FILTER (cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM faults GROUP BY c),
+table_of(c, i, z, s, a, u) AS (
+  SELECT DISTINCT c, 0::BIGINT, '0000000000', NULL::VARCHAR, '0000000002I', '0000000004II' FROM given
+  UNION ALL
+  SELECT c, i, z, s, {(a2 := f"least(a, {_more('z', '2', 'I')}, {_more('s', '2', 'I')}, {_more('u', '2', 'I')})")}, least(u, {_more(f'({a2})', '2', 'I')}) FROM (
+    SELECT r.c, r.i, {_more('z', '3', 'D')} AS z,
+           least({_more('s', '3', 'D')}, CASE WHEN NOT forced AND initial = 's' THEN {_more('z', 't', 'K')} END) AS s,
+           least({_more('a', '3', 'D')}, CASE WHEN NOT forced THEN least({", ".join(_more(x, "cu + t", "' || CASE cu WHEN 0 THEN 'K' ELSE 'R' END || '") for x in "zsu")}) END) AS a,
+           least({_more('u', '3', 'D')}, CASE WHEN NOT forced THEN {_more('a', "ca + t", "' || CASE ca WHEN 0 THEN 'K' ELSE 'R' END || '")} END) AS u
+    FROM table_of JOIN rows r ON r.c = table_of.c AND r.i = table_of.i + 1)),
+best AS (SELECT c, substr(x, 1, 10)::BIGINT AS cost, substr(x, 11) AS audit FROM (SELECT c, least(z, u) AS x FROM table_of JOIN figures USING (c) WHERE i = n)),
+letters AS (SELECT c, k, letter, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS place
+            FROM (SELECT c, generate_subscripts(string_split(audit, ''), 1) AS k, unnest(string_split(audit, '')) AS letter FROM best WHERE audit <> '') WINDOW w AS (PARTITION BY c ORDER BY k)),
+kept AS (SELECT l.c, k, place, CASE WHEN letter = 'K' THEN r.role END AS role, CASE WHEN letter = 'I' THEN '' ELSE r.text END AS text,
+                coalesce(max((place = 1 AND letter = 'K' AND initial = 's')::INT) OVER (PARTITION BY l.c), 0) AS head
+         FROM letters l LEFT JOIN rows r ON r.c = l.c AND r.i = l.i WHERE letter <> 'D'),
+joined AS (SELECT c, string_agg(coalesce(role, CASE WHEN (place - 1 - head) % 2 = 0 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY k) AS body FROM kept GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM given) LEFT JOIN figures USING (c) LEFT JOIN best USING (c) LEFT JOIN joined USING (c)""",
     "op13_merkle_manifest": f"""
 WITH RECURSIVE {_CRC_TABLE},
 leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM (
