@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keyfig.llm import conversations, decontaminate, fingerprint, htmltext, langid, linededup, merkle, neardup, packing, repeats, secrets, warc
+from keyfig.llm import conversations, decontaminate, fingerprint, htmltext, langid, linededup, merkle, neardup, packing, repeats, secrets, topk, warc
 from keyfig.llm.common import lookup, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every 20th id, by integer inner product."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, 20)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest audit and repaired turns of every damaged conversation."""
     rows = conversations.damaged(table(spark, sf_dir, "conversations"))
@@ -111,7 +116,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_decontamination, op2_warc, op3_language_id, op4_secrets, op5_fingerprint, op6_ngram_jaccard,
-    op7_html_text, op8_line_dedup, op9_repeats, op10_packing, op12_conversation_repair, op13_merkle_manifest)}
+    op7_html_text, op8_line_dedup, op9_repeats, op10_packing, op11_exact_top_k, op12_conversation_repair, op13_merkle_manifest)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -190,6 +195,13 @@ parts AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last
 SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substring(h, 2 * last + 1) END)) AS kept_sha256
 FROM docs LEFT JOIN parts USING (r)""",
+    "op11_exact_top_k": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.r, q.vec_id AS query_id, v.vec_id, coalesce(list_sum(list_transform(list_zip(q.w, v.w), lambda x: coalesce(x[1] * x[2], 0))), 0)::BIGINT AS score
+           FROM v AS q JOIN v ON q.r <> v.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scores) WHERE rank <= 20""",
     "op12_conversation_repair": f"""
 WITH RECURSIVE {_CRC_TABLE},
 given AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
