@@ -1,11 +1,13 @@
 """Exact top-k search by inner product: pivot-table elimination.
 
-Vectors are integers.  A few hundred sampled vectors give the pivots, each the furthest from those
-before it; the pivots decide the speed, never the result.  For every vector the distances to all
-pivots are computed once and stored with it.  The triangle inequality bounds the distance of a query
-and a candidate from below by the greatest difference of their distances to a pivot, and so bounds
-their inner product from above: ``(|q|^2 + |x|^2 - bound^2) / 2``.  Candidates are evaluated in the
-order of that bound, until the next bound is below the k-th best score: the exact stopping rule.
+Vectors are integers.  A few hundred sampled vectors give the pivots, each the furthest from the
+span of those before it; the pivots decide the speed, never the result.  For every vector the
+distances to all pivots are computed once and stored with it.  From these alone the least distance
+that a query and a candidate can have is known: the distances fix both vectors' places in the
+pivots' span and how far they are off it, and off it they are nearest if they point the same way.
+A least distance is a greatest inner product, ``place . place + off * off``, so the bounds of many
+pairs are one matrix product.  Candidates are evaluated in the order of that bound, until the next
+bound is below the k-th best score: the exact stopping rule.
 
 Equal vectors are one candidate that carries its least ids, as many as can be in any result; so a
 vector that a third of all rows hold is compared once.  A first pass searches each query among the
@@ -27,12 +29,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from keyfig.llm.common import lookup, shuffle_parts, stored
 
 #: Pivots, vectors that they are chosen from, and bytes of queries that travel at once.
-PIVOTS, SAMPLE, BLOCK_BYTES = 24, 2_000, 8 << 20
+PIVOTS, SAMPLE, BLOCK_BYTES = 48, 2_000, 8 << 20
 #: Vectors of a batch that are compared at once, and queries whose bounds are computed at once.
 BATCH, GROUP = 8_192, 64
 _LAST = 2**63 - 1
@@ -56,21 +59,32 @@ def products(a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
     return np.array([max(-2**63, min(_LAST, int(x))) for x in exact], np.int64)
 
 
-def pivots_of(sample: np.ndarray, count: int) -> np.ndarray:
-    """Vectors of the sample, each the furthest from those chosen before."""
-    if not len(sample):
-        return sample
-    chosen, far = [0], np.full(len(sample), np.inf)
-    while len(chosen) < min(count, len(sample)):
-        far = np.minimum(far, np.linalg.norm(sample - sample[chosen[-1]], axis=1))
-        if not far.max() > 0:
-            break
-        chosen.append(int(far.argmax()))
-    return sample[chosen]
+class Pivots:
+    """Chosen vectors, distances to them, and what the distances tell."""
 
+    def __init__(self, sample: np.ndarray, count: int):
+        rest, chosen = sample.astype(float), []
+        least = 1e-6 * (rest * rest).sum(1).max(initial=0)
+        while len(chosen) < min(count, len(sample)):
+            off = (rest * rest).sum(1)
+            if not off.max() > least:
+                break
+            chosen.append(int(off.argmax()))
+            axis = rest[chosen[-1]] / np.sqrt(off.max())
+            rest = rest - np.outer(rest @ axis, axis)
+        self.vectors = sample[chosen]
+        self.square = (self.vectors * self.vectors).sum(1)
+        self.turn = np.linalg.inv(np.linalg.cholesky(self.vectors @ self.vectors.T)).T if chosen else np.zeros((0, 0))
 
-def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.stack([np.linalg.norm(vectors - p, axis=1) for p in pivots], 1) if len(pivots) else np.zeros((len(vectors), 0))
+    def distances(self, vectors: np.ndarray) -> np.ndarray:
+        return np.stack([np.linalg.norm(vectors - p, axis=1) for p in self.vectors], 1) if len(self.vectors) else np.zeros((len(vectors), 0))
+
+    def places(self, distances: np.ndarray, square: np.ndarray) -> np.ndarray:
+        """Places in the pivots' span and, last, distances off it; their products bound inner products."""
+        inner = (square[:, None] + self.square - distances * distances) / 2
+        place = inner @ self.turn
+        off = np.sqrt(np.maximum(square - (place * place).sum(1), 0) + 1e-9 * square)
+        return np.column_stack([place, off])
 
 
 class Best:
@@ -87,29 +101,25 @@ class Best:
             self.floor = max(self.floor, -self.found[-1][0])
 
 
-def search(queries: np.ndarray, query_table: np.ndarray, best: list[Best], vectors: np.ndarray, table: np.ndarray, ids: list[list[int]]) -> int:
+def search(queries: np.ndarray, query_places: np.ndarray, best: list[Best], vectors: np.ndarray, places: np.ndarray, ids: list[list[int]]) -> int:
     """Puts the k best of a batch of vectors into ``best``; returns how many were evaluated."""
     if not len(vectors) or not len(queries):
         return 0
-    square, own = (vectors * vectors).sum(1), (queries * queries).sum(1)
+    long, own = np.sqrt((vectors * vectors).sum(1)), np.sqrt((queries * queries).sum(1))
+    most = long.max()
     evaluated = 0
     for a in range(0, len(queries), GROUP):
         some = slice(a, min(a + GROUP, len(queries)))
-        gap = np.zeros((some.stop - a, len(vectors)))
-        for p in range(table.shape[1]):
-            np.maximum(gap, np.abs(query_table[some, p][:, None] - table[:, p]), out=gap)
-        bound = own[some, None] + square
-        slack = 1e-9 * bound + 1e-6  # of the square roots
-        bound = (bound - gap * gap + slack) / 2
-        for j, row in enumerate(bound):
+        bounds = query_places[some] @ places.T
+        bounds += 1e-6 * most * own[some, None] + 1e-6  # what rounding may take
+        for j, row in enumerate(bounds):
             q, result = a + j, best[a + j]
             alive = np.flatnonzero(row >= result.floor)
             alive = alive[np.argsort(-row[alive], kind="stable")]
             limits, at, step = row[alive], 0, 64
-            most = float(np.sqrt(own[q] * square.max()))
             while at < len(alive) and limits[at] >= result.floor:
                 part = alive[at:at + step]
-                result.add(products(vectors[part], queries[q], most), [ids[i] for i in part.tolist()])
+                result.add(products(vectors[part], queries[q], float(own[q] * most)), [ids[i] for i in part.tolist()])
                 evaluated += len(part)
                 at, step = at + step, min(step * 4, 4096)
     return evaluated
@@ -121,7 +131,8 @@ def whole_numbers(column: str, scale: int = 64) -> Column:
     """floor(scale * x) of every component; null unless all components are finite numbers."""
     c = F.col(f"`{column}`")
     odd = F.exists(c, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    return F.when(~odd, F.transform(c, lambda x: F.floor(x.cast("double") * scale).cast("double")))
+    whole = lambda y: F.when(F.abs(y) < 2.0**62, F.floor(y).cast("double")).otherwise(y)
+    return F.when(~odd, F.transform(c, lambda x: whole(x.cast("double") * scale)))
 
 
 def _distinct(rows: DataFrame, k: int) -> DataFrame:
@@ -137,15 +148,16 @@ def _matrix(batch: pa.RecordBatch, name: str, dims: int) -> np.ndarray:
     return padded(batch.column(batch.schema.get_field_index(name)), dims)
 
 
-def _table(spark: SparkSession, vectors: DataFrame, pivots: int, sample: int) -> tuple[DataFrame, int]:
-    """The vectors with their distances to the pivots, near ones together; stored.  And the most components."""
+def _table(spark: SparkSession, vectors: DataFrame, pivots: int, sample: int) -> tuple[DataFrame, int, Broadcast]:
+    """The vectors with their distances to the pivots, near ones together; stored.  The most
+    components, and the pivots."""
     dims = vectors.agg(F.max(F.size("vector")).alias("n")).first()["n"] or 0
     some = vectors.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(sample).collect()
-    chosen = spark.sparkContext.broadcast(pivots_of(padded(pa.array([r["vector"] for r in some], pa.list_(pa.float64())), dims), pivots))
+    chosen = spark.sparkContext.broadcast(Pivots(padded(pa.array([r["vector"] for r in some], pa.list_(pa.float64())), dims), pivots))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = distances(_matrix(batch, "vector", dims), chosen.value)
+            far = chosen.value.distances(_matrix(batch, "vector", dims))
             near = far.argmin(1).astype(np.int32) if far.shape[1] else np.zeros(len(far), np.int32)
             least = far.min(1, initial=np.inf)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(far) + 1, dtype=np.int32) * far.shape[1]), pa.array(far.ravel()))
@@ -153,13 +165,13 @@ def _table(spark: SparkSession, vectors: DataFrame, pivots: int, sample: int) ->
 
     made = vectors.mapInArrow(run, "vector array<double>, ids array<bigint>, weight bigint, key bigint, far array<double>, near int, least double")
     made = stored(made, "distances")
-    return stored(made.repartitionByRange(shuffle_parts(spark), "near", "least", "key").sortWithinPartitions("near", "least"), "pivot-table"), dims
+    return stored(made.repartitionByRange(shuffle_parts(spark), "near", "least", "key").sortWithinPartitions("near", "least"), "pivot-table"), dims, chosen
 
 
 _FOUND = "key bigint, score bigint, id bigint, evaluated bigint"
 
 
-def _floors(table: DataFrame, dims: int, k: int) -> DataFrame:
+def _floors(table: DataFrame, dims: int, chosen: Broadcast, k: int) -> DataFrame:
     """The queries with a floor of their k-th score, from the vectors that are stored beside them; stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -171,24 +183,29 @@ def _floors(table: DataFrame, dims: int, k: int) -> DataFrame:
                     continue
                 vectors, far = _matrix(batch, "vector", dims), np.stack(column("far").to_numpy(zero_copy_only=False))
                 best = [Best(k) for _ in asked]
-                search(vectors[asked], far[asked], best, vectors, far, column("ids").to_pylist())
+                places = chosen.value.places(far, (vectors * vectors).sum(1))
+                search(vectors[asked], places[asked], best, vectors, places, column("ids").to_pylist())
                 rows = pa.array(asked)
-                yield pa.RecordBatch.from_arrays([column("key").take(rows), column("vector").take(rows), column("far").take(rows), pa.array([b.floor for b in best], pa.int64())],
-                                                 names=["key", "vector", "far", "floor"])
+                most = float((vectors[asked] ** 2).sum(1).max())
+                own = np.concatenate([products(vectors[i:i + 1], vectors[i], most) for i in asked.tolist()])
+                yield pa.RecordBatch.from_arrays([*(column(c).take(rows) for c in ("key", "vector", "far", "weight")), pa.array([b.floor for b in best], pa.int64()), pa.array(own)],
+                                                 names=["key", "vector", "far", "weight", "floor", "square"])
 
-    return stored(table.mapInArrow(run, "key bigint, vector array<double>, far array<double>, floor bigint"), "queries")
+    return stored(table.mapInArrow(run, "key bigint, vector array<double>, far array<double>, weight bigint, floor bigint, square bigint"), "queries")
 
 
-def _search_all(shared, dims: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _search_all(shared: Broadcast, dims: int, chosen: Broadcast, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task of the second pass: all its vectors against one block of queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, queries, query_far, floors = shared.value
         best, evaluated = [Best(k, f) for f in floors.tolist()], 0
+        query_places = chosen.value.places(query_far, (queries * queries).sum(1))
         for whole in batches:
             for a in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(a, BATCH)
                 far = np.stack(batch.column(2).to_numpy(zero_copy_only=False))
-                evaluated += search(queries, query_far, best, padded(batch.column(0), dims), far, batch.column(1).to_pylist())
+                vectors = padded(batch.column(0), dims)
+                evaluated += search(queries, query_places, best, vectors, chosen.value.places(far, (vectors * vectors).sum(1)), batch.column(1).to_pylist())
         counts = np.array([len(b.found) for b in best])
         flat = [x for b in best for x in b.found]
         if flat:
@@ -204,8 +221,8 @@ def top_k(rows: DataFrame, asked: Column, k: int, vec_id: str = "vec_id", vector
     numbers = whole_numbers(embedding) if vector is None else vector
     valid = stored(rows.select(F.coalesce(F.col(f"`{vec_id}`").cast("long"), F.lit(_LAST)).alias("id"), numbers.alias("vector"),
                                F.coalesce(asked, F.lit(False)).alias("asked")).where("vector is not null"), "valid")
-    table, dims = _table(spark, _distinct(valid, k + 1), pivots, sample)
-    queries = _floors(table, dims, k + 1)
+    table, dims, chosen = _table(spark, _distinct(valid, k + 1), pivots, sample)
+    queries = _floors(table, dims, chosen, k + 1)
     n = queries.count()
     blocks = -(-n * 8 * (dims + pivots + 2) // block_bytes) or 1
     found = None
@@ -214,18 +231,17 @@ def top_k(rows: DataFrame, asked: Column, k: int, vec_id: str = "vec_id", vector
         lists = lambda name, t=block: t.column(name).combine_chunks()
         far = np.stack(lists("far").to_numpy(zero_copy_only=False)) if block.num_rows else np.zeros((0, 0))
         shared = spark.sparkContext.broadcast((block.column("key").to_numpy(), padded(lists("vector"), dims), far, block.column("floor").to_numpy()))
-        part = table.select("vector", "ids", "far").mapInArrow(_search_all(shared, dims, k + 1), _FOUND)
+        part = table.select("vector", "ids", "far").mapInArrow(_search_all(shared, dims, chosen, k + 1), _FOUND)
         part = stored(part, "found")
         shared.unpersist()
         found = part if found is None else found.unionByName(part)
     order = Window.partitionBy("key").orderBy(F.desc("score"), "id")
     best = (found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("n", "score", "id"))).alias("best")))
-    answers = stored(table.where("weight is not null").select("key", "vector", "weight").join(best, "key").drop("key"), "answers")
+    answers = stored(queries.select("key", "vector", "weight", "square").join(best, "key").drop("key"), "answers")
     out = lookup(valid.where("asked").drop("asked"), answers, ["vector"], "weight")
     # a query's own row: its id with the square of its own vector
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x).cast("long")
-    own = F.array_position(F.transform("best", lambda x: (x["id"] == F.col("id")) & (x["score"] == square)), True)
+    own = F.array_position(F.transform("best", lambda x: (x["id"] == F.col("id")) & (x["score"] == F.col("square"))), True)
     others = F.slice(F.filter("best", lambda x, i: i + 1 != own), 1, k)
     return (out.select(F.col("id").alias("query_id"), F.posexplode(others).alias("at", "hit"))
             .select("query_id", (F.col("at") + 1).alias("rank"), F.when(F.col("hit.id") != _LAST, F.col("hit.id")).alias("vec_id"), F.col("hit.score").alias("score")))

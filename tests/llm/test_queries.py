@@ -19,14 +19,14 @@ from keyfig.llm.queries import QUERIES, SQL
 def test_all_are_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got, want = QUERIES[name](spark, SF_SMALL), con.sql(SQL[name])
     columns = sorted(got.columns)
