@@ -60,6 +60,15 @@ def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) ->
     return spark.read.parquet(path)
 
 
+def retire(spark: SparkSession, base: str, keep: int) -> int:
+    """Deletes all but the ``keep`` newest committed versions; returns how many."""
+    from keyfig.sources.sink import delete_path
+    old = committed_versions(spark, base)[:-keep]
+    for v in old:
+        delete_path(spark, f"{base}/{VERSION}={v}")
+    return len(old)
+
+
 # ------------------------------------------------------------------- I1 watermark
 
 def watermark(target: DataFrame | None, column: str = "_loaded_at"):

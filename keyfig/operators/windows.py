@@ -73,12 +73,13 @@ def with_position(df: DataFrame, order: list[str], name: str = "place") -> DataF
     """O1, O2: ``df`` sorted, each row with its place (from 1) in the sorted result.
 
     The sort is Spark's range sort over all partitions, written once; the place follows from the
-    file's number, the rows in the files before it (one count per file) and the row's number
-    within it.  No task sees more than its range, as a window without partitions would."""
+    file's numbers (of the sorted part and, where a record limit splits it, of the file within),
+    the rows in the files before it (one count per file) and the row's number within it.  No task sees more than its range, as a window without partitions would."""
     path = work_path(df.sparkSession, "sorted")
     df.orderBy(*order).write.parquet(path)
     rows = df.sparkSession.read.schema(df.schema).parquet(path)
-    rows = rows.select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-([0-9]+)", 1).cast("int").alias("_file"),
+    number = lambda pattern: F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).cast("int")
+    rows = rows.select("*", F.struct(number(r"^part-([0-9]+)").alias("part"), number(r"-c([0-9]+)[.]").alias("split")).alias("_file"),
                        F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)   # a row per file
     sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(

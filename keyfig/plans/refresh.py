@@ -18,6 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyfig.functions.columns import period_year, surrogate_key
 from keyfig.operators.incremental import affected_groups, cells_of_groups
 from keyfig.operators.partitions import values_of
 from keyfig.plans import core, staging
@@ -65,6 +66,24 @@ def refresh_housing(target: DataFrame | None, raw_price_index: DataFrame, new_ro
     return Change(kept.unionByName(fresh), years)
 
 
+HOUSING_KEYS = ["price_index_id"]
+
+
+def housing_change(raw_price_index: DataFrame, new_rows: DataFrame, dim: DataFrame, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """The rows of the cells that new loads touch, and the keys of all these cells.
+
+    A change of a keyed table (:mod:`keyfig.operators.changes`): the table itself is not read, and
+    the bytes written follow the touched cells; a cell that has lost its values goes."""
+    touched = (new_rows.where(F.col("OMRÅDE").isin(list(cfg.price_index_areas)) & (F.col("EJENDOMSKATE") == F.lit(cfg.category)))
+               .select(F.col("OMRÅDE").alias("_a"), F.col("EJENDOMSKATE").alias("_c"), F.col("TID").alias("_t"), _year("TID").alias("_y")).distinct())
+    years = values_of(touched, "_y")
+    cells = _semi(_periods(raw_price_index, years), touched, (F.col("OMRÅDE") == F.col("_a"))
+                  & (F.col("EJENDOMSKATE") == F.col("_c")) & (F.col("TID") == F.col("_t")))
+    fresh = core.fct_housing_prices(staging.src_price_index(cells, cfg), dim, cfg)
+    keys = touched.select(surrogate_key("_a", "_c", "_t").alias("price_index_id"), period_year("_t").alias(PARTITION))
+    return fresh, keys
+
+
 def refresh_labour(target: DataFrame | None, raw_unemployment: DataFrame, raw_income: DataFrame,
                    new_unemployment: DataFrame, new_income: DataFrame, dim: DataFrame,
                    cfg: PipelineConfig) -> Change:

@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfig.operators import history, incremental, partitions, quality
+from keyfig.operators import changes, history, incremental, partitions, quality
 from keyfig.operators.joins import anti_join
 from keyfig.plans import core, marts, refresh, staging
 from keyfig.plans.checks import suite
 from keyfig.plans.config import (RAW_HOUSING_NATIONAL, RAW_LOCAL_INCOME, RAW_PRICE_INDEX,
                                  RAW_PRICE_REGIONAL, RAW_SPECS, RAW_UNEMPLOYMENT, PipelineConfig, RawSpec)
+from keyfig.plans.state import LabourState
 from keyfig.session import work_path
-from keyfig.sources.sink import path_exists, write_table
+from keyfig.sources.sink import list_dir, path_exists
 
 
 @dataclass
@@ -42,13 +43,30 @@ def raw_schema(spec: RawSpec) -> T.StructType:
                          T.StructField(spec.src_table, T.StringType())])
 
 
-def read_raw(spark: SparkSession, warehouse: str, spec: RawSpec) -> DataFrame:
-    """The raw history of a source, partitioned by period; empty if it never was landed.  The
-    schema is given, so periods stay the text they were delivered as."""
+#: Stands for the rows of a raw folder that were written there without a manifest.
+PLAIN = ""
+
+
+def _is_plain(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, path) and any("=" in name for name in list_dir(spark, path))
+
+
+def raw_loads(spark: SparkSession, warehouse: str, spec: RawSpec) -> list[str]:
+    """The names of a source's loads."""
     path = f"{warehouse}/raw/{spec.name}"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], raw_schema(spec))
-    return spark.read.schema(raw_schema(spec)).parquet(path)
+    return [PLAIN] * _is_plain(spark, path) + list(changes.Store(spark, path).state()["loads"])
+
+
+def read_raw(spark: SparkSession, warehouse: str, spec: RawSpec, loads: list[str] | None = None) -> DataFrame:
+    """The raw history of a source, or some loads of it, partitioned by period; empty if it never
+    was landed.  The schema is given, so periods stay the text they were delivered as."""
+    path = f"{warehouse}/raw/{spec.name}"
+    named = changes.read_loads(spark, path, raw_schema(spec), spec.period, loads and [n for n in loads if n != PLAIN])
+    if (loads is None or PLAIN in loads) and _is_plain(spark, path):
+        folders = [f"{path}/{name}" for name in list_dir(spark, path) if "=" in name]
+        plain = spark.read.schema(raw_schema(spec)).option("basePath", path).parquet(*folders)
+        return plain if not changes.Store(spark, path).versions() else named.unionByName(plain)
+    return named
 
 
 def unmatched_names(staged: dict[str, tuple[DataFrame, str]], dim: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -68,13 +86,17 @@ def unmatched_names(staged: dict[str, tuple[DataFrame, str]], dim: DataFrame, cf
 
 def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed: DataFrame,
                  warehouse: str, cfg: PipelineConfig, snapshot_ts,
-                 accepted_regions: tuple[str, ...] | None = None, gate: bool = True) -> PipelineRun:
+                 accepted_regions: tuple[str, ...] | None = None, gate: bool = True,
+                 load: str | None = None, keep_versions: int = 30) -> PipelineRun:
     """One run.  ``new_extracts`` are this run's landed raw loads (stamped with their load time);
-    a source that failed to land is simply not among them.  They are appended to the raw
-    history, which is partitioned by period.  A ledger of applied loads per source tells what
-    the facts do not contain yet -- this run's loads, late ones, and those of a run that failed
-    its checks -- and only the fact partitions that these touch are rewritten."""
-    wh = warehouse.rstrip("/")
+    a source that failed to land is simply not among them.  They are appended to the raw history,
+    which is partitioned by period, as loads named ``load`` (the snapshot time unless given): each
+    is there as a whole or not at all, and once, however often the run is repeated.  A ledger of
+    applied loads per source tells what the facts do not contain yet -- this run's loads, late
+    ones, and those of a run that failed its checks.  These are read, no others: the labour fact is
+    a state that they are applied to, and of the housing fact the cells that they touch change.
+    Versions beyond the ``keep_versions`` newest are deleted at the end."""
+    wh, load, keep_versions = warehouse.rstrip("/"), load or str(snapshot_ts), max(keep_versions, 2)
     accepted_regions = accepted_regions or tuple(cfg.region_local_names)
     checks = suite(cfg, accepted_regions)
     results: list[DataFrame] = []
@@ -89,7 +111,7 @@ def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed:
     landed = {}
     for spec in RAW_SPECS:
         if spec.name in new_extracts:
-            landed[spec.name] = write_table(new_extracts[spec.name], f"{wh}/raw/{spec.name}", partition_by=[spec.period])
+            landed[spec.name] = changes.append_load(new_extracts[spec.name], f"{wh}/raw/{spec.name}", load, spec.period, [spec.loaded_at])
     raw = {s.name: read_raw(spark, wh, s) for s in RAW_SPECS}
 
     staged = {"src_price_index": staging.src_price_index(raw[RAW_PRICE_INDEX.name], cfg),
@@ -105,29 +127,44 @@ def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed:
     results.append(unmatched_names({"src_unemployment": (staged["src_unemployment"], "area_name"),
                                     "src_local_income": (staged["src_local_income"], "municipality_name")}, dim, cfg))
 
-    # facts: the change of each is stored, checked and only then replaces its partitions
-    ledger = incremental.read_current(spark, f"{wh}/applied_loads")
-    fresh = {name: incremental.not_applied(raw[name], name, ledger)
-             for name in (RAW_PRICE_INDEX.name, RAW_UNEMPLOYMENT.name, RAW_LOCAL_INCOME.name)}
-    hp_base, lab_base = f"{wh}/fct_housing_prices", f"{wh}/fct_labour_market_regional"
+    # facts: the change of each is staged, checked and only then made visible
+    ledger = changes.Store(spark, f"{wh}/applied_loads")
+    done = ledger.state()["notes"]
+    names = {s.name: raw_loads(spark, wh, s) for s in RAW_SPECS}
+
+    def fresh(spec: RawSpec, anew: bool) -> DataFrame:
+        """The loads that a fact lacks; all of them for a new fact."""
+        return raw[spec.name] if anew else read_raw(spark, wh, spec, [n for n in names[spec.name] if n not in done.get(spec.name, [])])
+
+    hp_store, hp_keys = changes.Store(spark, f"{wh}/fct_housing_prices"), refresh.HOUSING_KEYS
     hp_schema = core.fct_housing_prices(staged["src_price_index"], dim, cfg).schema
-    lab_schema = core.fct_labour_market_regional(staged["src_unemployment"], staged["src_local_income"], dim).schema
+    if hp_store.versions():
+        hp_rows, hp_gone = refresh.housing_change(raw[RAW_PRICE_INDEX.name], fresh(RAW_PRICE_INDEX, False), dim, cfg)
+    else:
+        hp_rows, hp_gone = core.fct_housing_prices(staged["src_price_index"], dim, cfg), None
+    hp_change = hp_store.stage(hp_rows, "rows", refresh.PARTITION, hp_keys, gone=hp_gone)
 
-    def current(base: str, schema: T.StructType) -> DataFrame | None:
-        return partitions.read(spark, base, schema, refresh.PARTITION) if incremental.committed_versions(spark, base) else None
-
-    changes = {
-        hp_base: refresh.refresh_housing(current(hp_base, hp_schema), raw[RAW_PRICE_INDEX.name],
-                                         fresh[RAW_PRICE_INDEX.name], dim, cfg),
-        lab_base: refresh.refresh_labour(current(lab_base, lab_schema), raw[RAW_UNEMPLOYMENT.name], raw[RAW_LOCAL_INCOME.name],
-                                         fresh[RAW_UNEMPLOYMENT.name], fresh[RAW_LOCAL_INCOME.name], dim, cfg)}
-    stored = {base: incremental.publish(c.rows, work_path(spark, "change")) for base, c in changes.items()}
-    passed({"fct_housing_prices": stored[hp_base], "fct_labour_market_regional": stored[lab_base]})
-    for base, change in changes.items():
-        if change.years:
-            partitions.replace(stored[base], base, refresh.PARTITION, change.years)
-    incremental.publish(incremental.loads(raw), f"{wh}/applied_loads")
-    hp = partitions.read(spark, hp_base, hp_schema, refresh.PARTITION)
+    lab_base = f"{wh}/fct_labour_market_regional"
+    lab_schema = core.fct_labour_market_regional(staged["src_unemployment"], staged["src_local_income"], dim).schema
+    if cfg.resolve == "latest":
+        state = LabourState(spark, f"{wh}/labour_state", dim, cfg)
+        anew = not state.store.versions()
+        applied = state.apply(fresh(RAW_UNEMPLOYMENT, anew), fresh(RAW_LOCAL_INCOME, anew))
+        change = refresh.Change(state.fact(applied, applied.years).select(*lab_schema.fieldNames()), applied.years)
+    else:  # values of all loads count: no state of newest ones
+        anew = not incremental.committed_versions(spark, lab_base)
+        now = None if anew else partitions.read(spark, lab_base, lab_schema, refresh.PARTITION)
+        change = refresh.refresh_labour(now, raw[RAW_UNEMPLOYMENT.name], raw[RAW_LOCAL_INCOME.name],
+                                        fresh(RAW_UNEMPLOYMENT, anew), fresh(RAW_LOCAL_INCOME, anew), dim, cfg)
+    lab_rows = incremental.publish(change.rows, work_path(spark, "change"))
+    passed({"fct_housing_prices": hp_store.staged(hp_change, hp_schema, hp_keys), "fct_labour_market_regional": lab_rows})
+    hp_store.commit([hp_change])
+    if cfg.resolve == "latest":
+        state.commit(applied)
+    if change.years:
+        partitions.replace(lab_rows, lab_base, refresh.PARTITION, change.years)
+    ledger.commit([], notes=names)
+    hp = hp_store.read("rows", hp_schema, refresh.PARTITION, hp_keys)
     lab = partitions.read(spark, lab_base, lab_schema, refresh.PARTITION)
 
     # marts are views over the published facts
@@ -143,6 +180,16 @@ def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed:
         history.snapshot(incremental.read_current(spark, hist_base), members, "municipality_code",
                          ["municipality_name", "region_code", "region_name"], snapshot_ts),
         hist_base)
+    # upkeep: changes that have grown many are written anew, what no recent version shows goes
+    hp_store.compact("rows", hp_schema, refresh.PARTITION, hp_keys)
+    if cfg.resolve == "latest":
+        state.compact()
+        state.store.vacuum(keep_versions)
+    for store in (hp_store, ledger):
+        store.vacuum(keep_versions)
+    for base in (f"{wh}/dim_municipalities", hist_base):
+        incremental.retire(spark, base, keep_versions)
+    hp = hp_store.read("rows", hp_schema, refresh.PARTITION, hp_keys)
     return PipelineRun(landed, dim, hp, lab, mart, corr, reduce(DataFrame.unionByName, results), hist)
 
 

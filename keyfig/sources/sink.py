@@ -48,6 +48,50 @@ def make_dir(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
+def partition_folder(spark: SparkSession, column: str, value) -> str:
+    """The folder name that Spark's writer gives a partition value."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else utils.escapePathName(str(value))
+    return f"{column}={text}"
+
+
+def sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names, relative to ``path``, and bytes of the data files below it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    root, out = p.toUri().getPath().rstrip("/") + "/", []
+    while found.hasNext():
+        st = found.next()
+        name = st.getPath().toUri().getPath().removeprefix(root)
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            out.append((name, st.getLen()))
+    return out
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, file: str, text: str) -> None:
+    """A small file that must not exist yet; it appears whole or not at all."""
+    jvm = spark.sparkContext._jvm
+    p, draft = jvm.org.apache.hadoop.fs.Path(file), jvm.org.apache.hadoop.fs.Path(f"{file}.{uuid.uuid4().hex}.tmp")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(p) or not fs.rename(draft, p):
+        fs.delete(draft, False)
+        raise FileExistsError(file)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -98,13 +142,24 @@ def write_table(df: DataFrame, path: str, overwrite: bool = False,
     return int(obs.get["rows"])
 
 
-def materialise(df: DataFrame, how: str, name: str | None = None, path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, how: str, name: str | None = None, path: str | None = None,
+                keys: list[str] | None = None, partition: str | None = None, buckets: int = 8) -> DataFrame:
     """``view`` registers a temp view (work happens on read); ``table`` writes the result
-    once and returns it read back, which also cuts the lineage."""
+    once and returns it read back, which also cuts the lineage; ``incremental`` writes the rows as
+    a change of the table, in which they replace those of the same ``keys``, and returns the whole
+    table.  Its columns are those of ``df``: earlier rows have nulls in new ones, old ones go.
+    ``df`` has a key once (the caller's ``unique`` check)."""
     if how == "view":
         df.createOrReplaceTempView(name or "view")
         return df
     if how == "table":
         write_table(df, path, overwrite=True)
         return df.sparkSession.read.parquet(path)
+    if how == "incremental":
+        from keyfig.operators.changes import Store
+        store, column = Store(df.sparkSession, path), partition or "_part"
+        schema = df.schema if partition else df.withColumn(column, F.lit(0)).schema
+        rows = df if partition else df.withColumn(column, F.lit(0))
+        store.commit([store.stage(rows, "rows", column, keys, buckets)])
+        return store.read("rows", schema, column, keys).select(*df.columns)
     raise ValueError(how)

@@ -104,7 +104,6 @@ from keyfig.functions import columns as C  # noqa: E402
 from keyfig.operators import history as H  # noqa: E402
 from keyfig.operators import incremental as I  # noqa: E402
 from keyfig.operators import joins as J  # noqa: E402
-from keyfig.operators import partitions as PART  # noqa: E402
 from keyfig.operators import profile as PR  # noqa: E402
 from keyfig.operators import quality as Q  # noqa: E402
 from keyfig.operators import reshape as R  # noqa: E402
@@ -123,6 +122,8 @@ from keyfig.sources import binding  # noqa: E402
 from keyfig.sources import delimited as D  # noqa: E402
 from keyfig.sources import ingest as ING  # noqa: E402
 from keyfig.sources import sink as SINK  # noqa: E402
+from keyfig.operators import changes as CH  # noqa: E402
+from keyfig.plans.state import LabourState  # noqa: E402
 from keyfig.streaming.filestream import stream_latest_cells  # noqa: E402
 
 RPI, RPR, RUN, RLI, RHN = (s.name for s in (RAW_PRICE_INDEX, RAW_PRICE_REGIONAL, RAW_UNEMPLOYMENT,
@@ -321,9 +322,15 @@ def s12(spark, sf_dir):
 
 @register("S13")
 def s13(spark, sf_dir):
-    """Materialisation as a table (written once, read back)."""
+    """Materialised as a view, as a table (written once, read back), and incrementally: an older
+    version of half of the rows without one column, then the rows as they are."""
     dim = P(spark, sf_dir).dim_municipalities.drop("_loaded_at")
-    return SINK.materialise(dim, "table", path=work_path(spark, "s13"))
+    path = work_path(spark, "s13")
+    SINK.materialise(dim.where(F.pmod("municipality_code", F.lit(2)) == 0).withColumn("municipality_name", F.upper("municipality_name")).drop("region_name_dst"),
+                     "incremental", path=f"{path}/rows", keys=["municipality_code"])
+    modes = {"view": SINK.materialise(dim, "view", name="s13_view"), "table": SINK.materialise(dim, "table", path=f"{path}/table"),
+             "incremental": SINK.materialise(dim, "incremental", path=f"{path}/rows", keys=["municipality_code"])}
+    return reduce(DataFrame.unionByName, [df.withColumn("mode", F.lit(mode)) for mode, df in modes.items()])
 
 
 @register("S14")
@@ -685,12 +692,16 @@ def u2(spark, sf_dir):
 
 @register("U3")
 def u3(spark, sf_dir):
-    """Append of each new load to the raw history."""
+    """Append of each new load to the raw history, as a whole and once: the second load dies before
+    its manifest entry, is loaded, and loaded again."""
     path = work_path(spark, "u3")
     r = raw(spark, sf_dir, RUN)
-    SINK.write_table(r.where(F.col("_LOADED_AT") <= first_load()), path)
-    SINK.write_table(r.where(F.col("_LOADED_AT") > first_load()), path)
-    return spark.read.parquet(path)
+    first, second = r.where(F.col("_LOADED_AT") <= first_load()), r.where(F.col("_LOADED_AT") > first_load())
+    CH.append_load(first, path, "load 1", "TID", ["_LOADED_AT"])
+    CH.Store(spark, path).stage(second, "rows", "TID")
+    n = [CH.append_load(second, path, "load 2", "TID", ["_LOADED_AT"]) for _ in range(2)]
+    assert n[0] == n[1]
+    return CH.read_loads(spark, path, r.schema, "TID")
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -816,13 +827,6 @@ def landed_raw(spark, sf_dir, spec) -> DataFrame:
     return spark.read.schema(raw_schema(spec)).parquet(path)
 
 
-def apply_change(change, base: str) -> DataFrame:
-    """A refresh's change stored as new versions of its partitions; the whole table read back."""
-    spark = change.rows.sparkSession
-    PART.replace(change.rows, base, REFRESH.PARTITION, change.years)
-    return PART.read(spark, base, change.rows.schema, REFRESH.PARTITION)
-
-
 @register("I1")
 def i1(spark, sf_dir):
     """Watermark filter: rows newer than the published target's high-water mark."""
@@ -836,14 +840,17 @@ def _housing_from(raw_pi: DataFrame, spark, sf_dir) -> DataFrame:
 
 @register("I2")
 def i2(spark, sf_dir):
-    """Keyed upsert: the cells touched after the watermark, rebuilt and upserted into the
-    first-load fact."""
-    base = work_path(spark, "i2")
+    """Keyed upsert: the cells touched after the watermark, rebuilt and written as a change of the
+    first load's fact, merged by key when read."""
     r = landed_raw(spark, sf_dir, RAW_PRICE_INDEX)
     dim = P(spark, sf_dir).dim_municipalities
     before, new = r.where(F.col("_LOADED_AT") <= first_load()), r.where(F.col("_LOADED_AT") > first_load())
-    target = apply_change(REFRESH.refresh_housing(None, before, before, dim, TPCH), base)
-    return apply_change(REFRESH.refresh_housing(target, r, new, dim, TPCH), base)
+    store = CH.Store(spark, work_path(spark, "i2"))
+    first = _housing_from(before, spark, sf_dir)
+    store.commit([store.stage(first, "rows", REFRESH.PARTITION, REFRESH.HOUSING_KEYS)])
+    fresh, keys = REFRESH.housing_change(r, new, dim, TPCH)
+    store.commit([store.stage(fresh, "rows", REFRESH.PARTITION, REFRESH.HOUSING_KEYS, gone=keys)])
+    return store.read("rows", first.schema, REFRESH.PARTITION, REFRESH.HOUSING_KEYS)
 
 
 @register("I3")
@@ -879,18 +886,16 @@ def i5(spark, sf_dir):
 
 @register("I6")
 def i6(spark, sf_dir):
-    """Affected-group recompute of the labour fact after a new batch; equals a full rebuild."""
-    base = work_path(spark, "i6")
-    dim = P(spark, sf_dir).dim_municipalities
-    ru, ri = landed_raw(spark, sf_dir, RAW_UNEMPLOYMENT), landed_raw(spark, sf_dir, RAW_LOCAL_INCOME)
+    """The labour fact as a state to which loads are applied as signed deltas; equals a full rebuild."""
+    ru, ri = raw(spark, sf_dir, RUN), raw(spark, sf_dir, RLI)
+    state = LabourState(spark, work_path(spark, "i6"), P(spark, sf_dir).dim_municipalities, TPCH)
     early = [r.where(F.col("_LOADED_AT") <= first_load()) for r in (ru, ri)]
     late = [r.where(F.col("_LOADED_AT") > first_load()) for r in (ru, ri)]
     # three loads: the first without one year of income, the late income load, the second load
     lost = F.col("TID") == "1997"
-    target = apply_change(REFRESH.refresh_labour(None, early[0], early[1].where(~lost), early[0], early[1].where(~lost), dim, TPCH), base)
-    nothing = early[0].limit(0)
-    target = apply_change(REFRESH.refresh_labour(target, *early, nothing, early[1].where(lost), dim, TPCH), base)
-    return labour_rounded(apply_change(REFRESH.refresh_labour(target, ru, ri, *late, dim, TPCH), base))
+    for load in ((early[0], early[1].where(~lost)), (early[0].limit(0), early[1].where(lost)), late):
+        state.commit(state.apply(*load))
+    return labour_rounded(state.fact())
 
 
 @register("T1")
