@@ -9,7 +9,11 @@ the host's template and are deleted, unless the neighbour is a copy: one that sh
 Markup adds what differencing cannot know from two pages alone: lines inside an element that the
 page itself marks as its article (article, main, role or itemprop) are its content, shared or
 not, and if there is such an element only its lines count; lines inside navigation, footers,
-asides, forms, adverts, notices and reader comments (by tag, class, id or role) never count.
+asides, page headers and controls never count.  Forms, and elements whose class or id *is* furniture
+(a whole name, or a compound whose head is the word: ``cookie-bar``, not ``has-sidebar`` or
+``side-note``), are suspects.  Inside the article a suspect's lines go; outside it they go unless the
+suspect holds the page's article, or, on a page that marks none, over half of its text: page-wide
+forms and wrappers are seen through, comments never are.
 
 Pages are dealt to ranges of the order (cut points from a sample of keys), and the first and last
 page of a range also travel to the ranges beside it, so a host of any size is spread over tasks
@@ -17,13 +21,15 @@ that hold three pages at a time.
 
 Defined results: a null or empty page has an empty text; a page without URL or alone on its host
 has no neighbour; repeated rows are each other's copies; ties in the order are broken by URL, id.
+Very long pages are parsed whole, in time that follows their length.  An empty table gives no rows;
+only id, URL and source are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,45 +48,75 @@ figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr h
 option p pre section summary table tbody td tfoot th thead title tr ul""".split())
 #: Elements whose content never is text, and elements whose content never is the article's.
 _RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp math svg object".split())
-_OUTSIDE = frozenset("nav footer aside form button select dialog menu head".split())
-_TRACKED = _OUTSIDE | frozenset("header article main section div ul ol li table tbody tr td th figure blockquote dl details fieldset span center body".split())
+_OUTSIDE = frozenset("nav footer aside button select dialog menu head".split())
+_TRACKED = _OUTSIDE | frozenset("form header article main section div ul ol li table tbody tr td th figure blockquote dl details fieldset span center body".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar alertdialog".split())
-_HINT = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sidebar|side|menu|nav\w*|topnav|breadcrumbs?|cookies?|consent|gdpr|notice|alert|popup|
-modal|overlay|newsletter|subscribe|subscription|signup|promo\w*|sponsor\w*|comments?|commentlist|replies|reply|disqus|respond|share|sharing|
-social|related|recommend\w*|footer|footnav|copyright|widget|toolbar|pagination|pager|login|search|skip|toc|teasers?|tags)(?=$|[\s_-])""".replace("\n", ""), re.I)
-_HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|hero)(?=$|[\s_-])", re.I)
+_ROLES = frozenset("navigation banner contentinfo complementary menu menubar".split())
+_SUSPECT_ROLES = frozenset("search form alert dialog alertdialog".split())
+#: Words (fixed) that name furniture, comments, page heads; words that only hold or place what they
+#: are joined to; words that tell a state, so that the name is not the element's.
+_WORD = re.compile(r"""ads?|advert\w*|adsense|banner|sidebar|side|menu|nav\w*|topnav|breadcrumbs?|cookies?|consent|gdpr|notice|alert|popup|
+modal|overlay|newsletter|subscribe|subscription|signup|promo\w*|sponsor\w*|share|sharing|social|related|recommend\w*|footer|footnav|
+copyright|widgets?|toolbar|pagination|pager|login|search|skip|toc|teasers?|tags""".replace("\n", ""))
+_COMMENT = re.compile(r"comments?|commentlist|replies|reply|disqus|respond")
+_HEADER = re.compile(r"header|masthead|topbar|hero")
+_HOLDS = frozenset("""list container wrapper wrap box bar area block section panel item items link links button buttons form inner
+outer left right top bottom body text title row column col group holder slot unit zone main primary secondary content post posts article articles stories""".split())
+_STATE = frozenset("no not non has have with without is are can hide hidden show shown open closed enabled disabled on off".split())
+_PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*)(?:>|$)""", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
-def _zone(tag: str, attributes: str, now: int) -> int:
-    """The zone inside an element that opens within zone ``now``."""
+def _furniture(names: str, inside: bool) -> str:
+    """What the class names and ids of an element make it: comment, other furniture, or nothing."""
+    for name in names.split():
+        parts = [p for p in _PART.split(name) if p and not p.isdigit()]
+        parts = [p.lower() for p in parts]
+        if _STATE.intersection(parts):
+            continue
+        while len(parts) > 1 and parts[-1] in _HOLDS:
+            parts.pop()
+        if parts and _COMMENT.fullmatch(parts[-1]):
+            return "comment"
+        if parts and (_WORD.fullmatch(parts[-1]) or not inside and _HEADER.fullmatch(parts[-1])):
+            return "other"
+    return ""
+
+
+def _zone(tag: str, attributes: str, now: int) -> tuple[int, str]:
+    """The zone inside an element that opens within zone ``now``, and what it is suspected to be."""
     if now == OUT or tag in _OUTSIDE:
-        return OUT
+        return OUT, ""
     named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(attributes)} if "=" in attributes else {}
-    names = f"{named.get('class', '')} {named.get('id', '')}"
     role = named.get("role", "").lower()
-    if tag != "body" and (role in _ROLES or _HINT.search(names)):
-        return OUT
-    if now != MAIN and tag != "body" and (tag == "header" or _HEADER.search(names)):
-        return OUT
-    if tag in ("article", "main") or role in ("main", "article") or "articlebody" in named.get("itemprop", "").lower():
-        return MAIN
-    return now
+    if tag == "body":
+        return (MAIN if role in ("main", "article") else now), ""
+    if role in _ROLES or tag == "header" and now != MAIN:
+        return OUT, ""
+    names = f"{named.get('class', '')} {named.get('id', '')}"
+    kind = _furniture(names, now == MAIN or tag in ("article", "main")) if names != " " else ""
+    if not kind and (tag == "form" or role in _SUSPECT_ROLES):
+        kind = "other"
+    if not kind and (tag in ("article", "main") or role in ("main", "article") or "articlebody" in named.get("itemprop", "").lower()):
+        return MAIN, ""
+    return now, kind
 
 
 def parse(page: str | None) -> list[tuple[str, int]]:
     """(text, zone) of every block that has text, in page order."""
-    page, lines, text, at = page or "", [], [], 0
-    stack: list[tuple[str, int]] = []
-    zone = FREE
+    page, text, at = page or "", [], 0
+    blocks: list[tuple[str, int, tuple[int, ...]]] = []  # text, zone, suspects around it
+    kinds: list[tuple[str, bool]] = []  # of suspects: what they are, and whether they are inside the article
+    stack: list[tuple[str, int, tuple[int, ...]]] = []
+    opened: dict[str, int] = {}
+    zone, suspects = FREE, ()
 
     def flush() -> None:
         if text:
             line = " ".join("".join(text).split())
             if line:
-                lines.append((line, zone))
+                blocks.append((line, zone, suspects))
             text.clear()
 
     while True:
@@ -97,56 +133,97 @@ def parse(page: str | None) -> list[tuple[str, int]]:
         if tag in _BLOCKS:
             flush()
         if m[1]:
-            if tag in _TRACKED:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        flush()
-                        zone = stack[k][1]
-                        del stack[k:]
+            if opened.get(tag):
+                flush()
+                while True:
+                    last, zone, suspects = stack.pop()
+                    opened[last] -= 1
+                    if last == tag:
                         break
         elif tag in _RAW:
             if not m[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)", re.I).search(page, at)
                 at = end.start() if end else len(page)
         elif tag in _TRACKED and tag not in _VOID:
-            inside = _zone(tag, m[3], zone)
-            if inside != zone:
+            inside, kind = _zone(tag, m[3], zone)
+            if inside != zone or kind:
                 flush()
-            stack.append((tag, zone))
+            stack.append((tag, zone, suspects))
+            opened[tag] = opened.get(tag, 0) + 1
+            if kind:
+                kinds.append((kind, zone == MAIN))
+                suspects = (*suspects, len(kinds) - 1)
             zone = inside
     flush()
-    return lines
-
-
-def common_lines(a: list[str], b: list[str]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence with ``b`` (work follows the equal pairs)."""
-    where: dict[str, list[int]] = {}
-    for j in range(len(b) - 1, -1, -1):
-        where.setdefault(b[j], []).append(j)  # descending
-    ends: list[int] = []  # the least end in b of a subsequence of each length
-    links: list[tuple[int, object]] = []
+    return _resolved(blocks, kinds)
+
+
+def _resolved(blocks: list[tuple[str, int, tuple[int, ...]]], kinds: list[tuple[str, bool]]) -> list[tuple[str, int]]:
+    """The blocks' zones, once it is known what the suspects hold."""
+    clear: set[int] = set()
+    outer = {i for i, (kind, inside) in enumerate(kinds) if kind != "comment" and not inside}
+    marked: dict[tuple[int, ...], int] = {}
+    held: dict[int, int] = {}
+    total = 0
+    for line, zone, around in blocks if kinds else ():
+        if zone == OUT:
+            continue
+        total += len(line)
+        if zone == MAIN and outer.issuperset(around):
+            marked[around] = marked.get(around, 0) + len(line)
+        for i in around:
+            held[i] = held.get(i, 0) + len(line)
+    if marked and () not in marked:  # the article is inside suspects
+        clear = set(max(marked, key=lambda k: marked[k]))
+    elif not marked:
+        clear = {i for i in outer if 2 * held.get(i, 0) > total}
+    return [(line, zone if clear.issuperset(around) else OUT) for line, zone, around in blocks]
+
+
+def common_lines(a: list[str], b: list[str], keep: int = 256) -> list[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``.
+
+    A row of the table is one integer with a bit per line of ``b``, and a line of ``a`` a few
+    operations on it, however many pairs are equal.  Every ``keep``-th row is kept, the rows
+    between two of them are made again for the way back."""
+    where: dict[str, int] = {}
+    for j, line in enumerate(b):
+        where[line] = where.get(line, 0) | 1 << j
+    full = (1 << len(b)) - 1
+
+    def step(row: int, line: str) -> int:
+        hit = row & where.get(line, 0)
+        return ((row + hit) | (row - hit)) & full
+
+    row, kept = full, []
     for i, line in enumerate(a):
-        for j in where.get(line, ()):
-            k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            elif j < ends[k]:
-                ends[k], links[k] = j, link
-    out, link = [], links[-1] if links else None
-    while link:
-        out.append(link[0])
-        link = link[1]
+        if i % keep == 0:
+            kept.append(row)
+        row = step(row, line)
+    out, j = [], len(b)
+    for start in range((len(kept) - 1) * keep, -1, -keep):
+        stop = min(start + keep, len(a))
+        rows = [kept[start // keep]]
+        for line in a[start:stop]:
+            rows.append(step(rows[-1], line))
+        i = stop
+        while i > start and j:
+            if rows[i - start] >> (j - 1) & 1:
+                j -= 1
+                continue
+            i -= 1
+            if i == 0 or rows[i - start] >> (j - 1) & 1:
+                out.append(i)
+                j -= 1
     return out[::-1]
 
 
-def template(page: list[str], neighbour: list[str], own: list[bool]) -> set[int]:
-    """Places of the lines shared with a neighbour; none if it is a copy of the page's own text."""
+def template(page: list[str], neighbour: list[str], own: list[bool]) -> set[int] | None:
+    """Places of the lines shared with a neighbour; None if it is a copy of the page's own text."""
     shared = set(common_lines(page, neighbour))
     size = sum(len(x) for x, o in zip(page, own, strict=True) if o)
     copied = sum(len(x) for k, x in enumerate(page) if own[k] and k in shared)
-    return set() if size and copied > COPY_SHARE * size else shared
+    return None if size and copied > COPY_SHARE * size else shared
 
 
 def key_of(url: str | None, page_id: object) -> str:
@@ -209,7 +286,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages of ranges: each page between the one before and the one after it."""
+    """Sorted pages of ranges: each page between the ones before and the one after it.
+
+    Where the page before is a copy, the last page before its run of copies stands in for it."""
     def rows() -> Iterator[dict | None]:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
@@ -217,13 +296,17 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield None
 
     out: list[tuple] = []
-    before = page = None
+    earlier = before = page = None
     for after in rows():
-        if page is not None and not page["extra"]:
-            out.append(_result(page, [x["lines"] for x in (before, after) if x is not None and _same_host(x, page)]))
-            if len(out) >= 500:
-                yield _made(out)
-                out = []
+        if page is not None:
+            near = [x["lines"] if x is not None and _same_host(x, page) else None for x in (before, earlier, after)]
+            made, copied = _result(page, *near)
+            if not page["extra"]:
+                out.append(made)
+                if len(out) >= 500:
+                    yield _made(out)
+                    out = []
+            earlier = earlier if copied else before
         before, page = page, after
     if out:
         yield _made(out)
@@ -240,12 +323,15 @@ def _same_host(a: dict, b: dict) -> bool:
     return a["part"] == b["part"] and host != "" and a["key"].split("\0", 1)[0] == host
 
 
-def _result(page: dict, neighbours: list[list[str]]) -> tuple:
+def _result(page: dict, before: list[str] | None, earlier: list[str] | None, after: list[str] | None) -> tuple[tuple, bool]:
+    """A page's row, and whether the page before it is a copy."""
     lines, zones = page["lines"], page["zones"]
     content = MAIN if MAIN in zones else FREE
     own = [z == content for z in zones]
-    shared: set[int] = set()
-    for other in neighbours:
-        shared |= template(lines, other, own)
+    found = None if before is None else template(lines, before, own)
+    copied = before is not None and found is None
+    if copied and earlier is not None:
+        found = template(lines, earlier, own)
+    shared = (found or set()) | ((template(lines, after, own) if after is not None else None) or set())
     text = "\n".join(x for k, x in enumerate(lines) if own[k] and (content == MAIN or k not in shared))
-    return page["page_id"], page["url"], text, len(text), len(lines), len(shared)
+    return (page["page_id"], page["url"], text, len(text), len(lines), len(shared)), copied

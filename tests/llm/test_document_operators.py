@@ -83,6 +83,45 @@ def test_markup_of_pages():
     assert htmltext.parse("a < b & c > d") == [("a < b & c > d", htmltext.FREE)]
 
 
+def text_of(page):
+    lines = htmltext.parse(page)
+    zone = htmltext.MAIN if htmltext.MAIN in {z for _, z in lines} else htmltext.FREE
+    return [x for x, z in lines if z == zone]
+
+
+def test_names_do_not_hide_the_article():
+    body = "<p>Body one</p><p>Body two</p>"
+    want = ["Body one", "Body two"]
+    assert text_of(f'<form id="aspnetForm"><nav>n</nav><article>{body}<form><p>Search</p></form></article></form>') == want
+    assert text_of(f'<article class="post comments-open">{body}</article>') == want
+    assert text_of(f'<div class="has-sidebar"><article>{body}</article></div><div class="left-sidebar">s</div>') == want
+    assert text_of(f'<article>{body}<div class="side-note">Note</div><div class="share-buttons">Share</div></article>') == [*want, "Note"]
+    assert text_of(f'<article>{body}</article><div class="related-posts"><article>Other</article></div>') == want
+    assert text_of(f'<article>{body}</article><section class="comments"><article class="comment">{"Long. " * 90}</article></section>') == want
+    # without an article: the wrapper of most text is seen through, comments and small suspects are not
+    assert text_of(f'<form><div class="widget">{body}<div class="sidebar">s</div></div></form><div id="cookieBar">c</div>') == want
+    assert text_of(f'<p>Body one</p><p>Body two</p><div class="comment-list">{"Long. " * 90}</div>') == want
+
+
+def test_long_pages_take_time_in_proportion():
+    import time
+    started = time.perf_counter()
+    cells = ["0"] * 40_000
+    assert htmltext.common_lines(cells, cells[:39_000]) == sorted(set(htmltext.common_lines(cells, cells[:39_000])))
+    assert len(htmltext.parse("<div>" * 20_000 + "</table>" * 20_000 + "x")) == 1
+    assert time.perf_counter() - started < 30
+
+
+def test_a_run_of_copies_is_compared_with_the_page_before_it(spark):
+    page = lambda k, body: (k, f"http://h/{k:03d}", f"<div>Top</div><div>Links</div>{body}<div>Bottom</div>")
+    rows = [page(k, f"<p>Text {k}</p>" + "<p>Words of it.</p>" * 3) for k in range(5)] + [page(k, "<p>The copied text of many pages.</p>") for k in range(5, 25)]
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")   # one range; at a range's start the pages before are not there
+    got = {r["page_id"]: r["text"] for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert {got[k] for k in range(5, 25)} == {"The copied text of many pages."}
+
+
 def test_differencing_deletes_the_template_of_a_host(spark):
     rows = []
     for k in range(40):
