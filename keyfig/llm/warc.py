@@ -11,7 +11,8 @@ files in the stored index are read.
 
 Defined results: a null payload is empty; a null id is written as an empty one and read back as
 null; a null URL gives no target line.  Repeated rows are a record each; those of one id and one
-payload have one role.  Payloads under ``REVISIT_BYTES`` are always responses.  A group of equal
+payload have one role; large responses are named by their payload, so that repeated rows share the
+name.  Extra columns, whatever their names, are left out.  Payloads under ``REVISIT_BYTES`` are always responses.  A group of equal
 payloads without any id is all responses.  An empty table gives no archive.
 """
 
@@ -26,13 +27,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keyfig.llm.common import lookup, stored
+from keyfig.llm.common import lookup, shuffle_parts, stored
 from keyfig.session import work_path
 
 CHUNK_BYTES = 256 << 10
 REVISIT_BYTES = 1000
 #: Compressed bytes of an archive that one read task takes.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
+#: Compressed bytes that a read task takes where there are more than the shuffle partitions would.
+TASK_BYTES = 32 << 20
 #: Chunk bytes of a record batch on its way out of a read task.
 BATCH_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -64,9 +67,10 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payloa
 def chunked(recs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The chunked record table: consecutive rows per record, an empty payload has one."""
     last = F.greatest(F.ceil(F.octet_length("payload") / chunk_bytes) - 1, F.lit(0)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("payload"), i * chunk_bytes + 1, F.lit(chunk_bytes)))
-    return recs.select("page_id", "url", "n_bytes", "digest", "record_type", "refers_to", last.alias("last_no"),
-                       F.posexplode(pieces).alias("chunk_no", "data"))
+    # the numbers are exploded, not the pieces: one piece at a time is cut from the payload
+    numbered = recs.select("*", last.alias("last_no"), F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
+    return numbered.select("page_id", "url", "n_bytes", "digest", "record_type", "refers_to", "last_no", "chunk_no",
+                           F.substring(F.col("payload"), F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data"))
 
 
 def _line(text: str) -> str:
@@ -96,7 +100,9 @@ def write(table: DataFrame, folder: str) -> DataFrame:
                 revisit = row["record_type"] == "revisit"
                 if row["chunk_no"] == 0:
                     at, seen = out.tell(), hashlib.sha1()
-                    record = f"urn:x-record:{file[5:37]}:{n}"
+                    # what revisits refer to is named by its payload, so that they need not know where it is
+                    named = f"urn:x-payload:{row['digest']}"
+                    record = named if not revisit and row["n_bytes"] >= REVISIT_BYTES and row["page_id"] is not None else f"urn:x-record:{file[5:37]}:{n}"
                     packer, n = zlib.compressobj(1, zlib.DEFLATED, 31), n + 1
                     head = ["WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: <{record}>", f"WARC-Date: {DATE}",
                             f"X-Page-ID: {'' if row['page_id'] is None else _line(row['page_id'])}", f"X-Payload-Length: {row['n_bytes']}",
@@ -105,7 +111,7 @@ def write(table: DataFrame, folder: str) -> DataFrame:
                         head.append(f"WARC-Target-URI: {_line(row['url'])}")
                     if revisit:
                         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                                 f"WARC-Refers-To: <urn:x-page:{_line(row['refers_to'])}>"]
+                                 f"WARC-Refers-To: <{named}>", f"X-Refers-To-Page-ID: {_line(row['refers_to'])}"]
                     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {0 if revisit else row['n_bytes']}"]
                     out.write(packer.compress(("\r\n".join(head) + "\r\n\r\n").encode()))
                 piece = data.as_buffer()
@@ -172,7 +178,7 @@ class _Reader:
                 if not left and not revisit and digest.hexdigest() != claimed:
                     raise ValueError(f"{head['WARC-Record-ID']}: the payload does not have its digest")
                 yield {"page_id": _unline(head["X-Page-ID"]) or None, "url": _unline(head["WARC-Target-URI"]) if "WARC-Target-URI" in head else None,
-                       "record_type": head["WARC-Type"], "refers_to": _unline(head["WARC-Refers-To"])[len("<urn:x-page:"):-1] if revisit else None,
+                       "record_type": head["WARC-Type"], "refers_to": _unline(head["X-Refers-To-Page-ID"]) if revisit else None,
                        "record_id": head["WARC-Record-ID"][1:-1], "chunk_no": no, "data": data, "bytes_so_far": done,
                        "sha1_so_far": digest.hexdigest(), "last": not left,
                        "payload_bytes": int(head["X-Payload-Length"]), "payload_digest": claimed}
@@ -190,6 +196,9 @@ def read(spark: SparkSession, index: DataFrame, chunk_bytes: int = CHUNK_BYTES,
     """The chunked record table of the archives that an index names."""
     ranges = (index.groupBy("file", F.floor(F.col("offset") / range_bytes).alias("no"))
               .agg(F.min("offset").alias("start"), F.max(F.col("offset") + F.col("length")).alias("stop")))
+    # a range's row is a few bytes, so the number of tasks is stated: it follows the bytes to read
+    size = ranges.agg(F.count("*").alias("n"), F.sum(F.col("stop") - F.col("start")).alias("bytes")).first()
+    tasks = min(size["n"], max(shuffle_parts(spark), -(-(size["bytes"] or 0) // TASK_BYTES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -208,7 +217,7 @@ def read(spark: SparkSession, index: DataFrame, chunk_bytes: int = CHUNK_BYTES,
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
 
-    return ranges.select("file", "start", "stop").mapInArrow(run, CHUNKS)
+    return ranges.select("file", "start", "stop").repartition(max(1, tasks)).mapInArrow(run, CHUNKS)
 
 
 ARROW = pa.schema([("page_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()),

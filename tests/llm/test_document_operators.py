@@ -53,6 +53,22 @@ def test_a_damaged_payload_is_an_error(spark, tmp_path):
         warc.read(spark, other).collect()
 
 
+def test_ranges_are_read_by_many_tasks_and_revisits_name_a_record(spark):
+    rnd = random.Random(2)
+    rows = [(k, f"http://a/{k}", "".join(rnd.choice("abcdefgh") for _ in range(3000))) for k in range(300)]
+    rows += [(1000 + k, "http://b", rows[k][2]) for k in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    chunks = warc.read(spark, warc.archive(pages), range_bytes=2_000)
+    assert chunks.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [n for n in chunks.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n]
+    assert len(sizes) >= 6 and max(sizes) < 150
+    found = {r["page_id"]: r for r in chunks.collect()}
+    assert sum(r["record_type"] == "revisit" for r in found.values()) == 20
+    for k in range(20):
+        assert found[str(k)]["refers_to"] == str(1000 + k)
+        assert found[str(1000 + k)]["record_id"] == f"urn:x-payload:{found[str(k)]['payload_digest']}"
+
+
 # ------------------------------------------------------------------------------- op 7
 
 def test_common_lines_are_a_longest_common_subsequence():
