@@ -173,6 +173,8 @@ WITH lines AS (SELECT doc_id, text, generate_subscripts(string_split(text, chr(1
 kept AS (SELECT doc_id, i, line, lead(line) OVER w AS l2, lead(line, 2) OVER w AS l3, lead(i) OVER w AS i2, lead(i, 2) OVER w AS i3
          FROM lines WHERE trim(line) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 runs AS (SELECT doc_id, i, [i, i2, i3] AS places, line || chr(10) || l2 || chr(10) || l3 AS run FROM kept WHERE i3 IS NOT NULL
+         UNION ALL SELECT doc_id, i, [i, i2], line || chr(10) || l2 FROM kept
+         WHERE i2 IS NOT NULL AND length(line) - length(replace(line, ' ', '')) + length(l2) - length(replace(l2, ' ', '')) + 2 >= 50
          UNION ALL SELECT doc_id, i, [i], line FROM kept WHERE length(line) - length(replace(line, ' ', '')) + 1 >= 50),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY run, len(places) ORDER BY doc_id, i) AS n FROM runs),
 gone AS (SELECT DISTINCT doc_id, unnest(places) AS i FROM ranked WHERE n > 1)

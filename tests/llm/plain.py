@@ -18,12 +18,11 @@ def line_dedup(docs: list[tuple[int | None, str | None]], window: int = 3, long_
 
     def runs(n: int, text: str):
         lines = [(i, x) for i, x in enumerate(text.split("\n")) if x.strip(" ")]
-        for k in range(len(lines) - window + 1):
-            part = lines[k:k + window]
-            yield (n, part[0][0]), tuple(x for _, x in part), [i for i, _ in part]
-        for i, x in lines:
-            if x.count(" ") + 1 >= long_words:
-                yield (n, i), (x,), [i]
+        for size in range(1, window + 1):
+            for k in range(len(lines) - size + 1):
+                part = lines[k:k + size]
+                if size == window or sum(x.count(" ") + 1 for _, x in part) >= long_words:
+                    yield (n, part[0][0]), tuple(x for _, x in part), [i for i, _ in part]
 
     for n, (_, t) in enumerate(order):
         for place, run, _ in runs(n, t):

@@ -168,7 +168,7 @@ def test_paths_are_in_numeric_order():
 
 def test_line_dedup_equals_brute_force(spark):
     rnd = random.Random(3)
-    line = lambda: rnd.choice([f"l{rnd.randrange(25)}", "", " ", " ".join([f"w{rnd.randrange(3)}"] * 55)])
+    line = lambda: rnd.choice([f"l{rnd.randrange(25)}", "", " ", " ".join([f"w{rnd.randrange(3)}"] * 55), " ".join([f"v{rnd.randrange(3)}"] * 28)])
     docs = [(i, "\n".join(line() for _ in range(rnd.randrange(25)))) for i in range(80)]
     docs += [(7, None), (None, "l1\nl2\nl3\nl4"), (300, "l1\nl2\nl3"), (300, "l1\nl2\nl3"), (301, "l1\n\nl2\n \nl3")]
     df = spark.createDataFrame([(*d, 1, 2) for d in docs], SCHEMA + ", doomed int, line_counts int")
@@ -180,10 +180,35 @@ def test_line_dedup_equals_brute_force(spark):
     assert linededup.dedup(df.limit(0))[0].count() == 0
 
 
+def test_line_dedup_deletes_runs_of_many_words(spark):
+    long = [" ".join(f"{c}{k}" for k in range(45)) for c in "abcd"]
+    docs = [(1, "\n".join(long[:2])), (2, f"own\n{long[0]}\n\n{long[1]}\nend"), (3, f"{long[2]}\nfew words"), (4, f"few words\n{long[2]}"),
+            (5, f"{long[3]}\nand five words more here"), (6, f"x\n{long[3]}\nand five words more here")]
+    out, name = linededup.dedup(spark.createDataFrame(docs, SCHEMA))
+    got = {r["doc_id"]: (r["text"], r[name]["n_removed"]) for r in out.collect()}
+    assert got[2] == ("own\n\nend", 2) and got[6] == ("x", 2)
+    assert all(got[d] == (t, 0) for d, t in docs if d not in (2, 6))
+
+
+def test_line_dedup_drops_fingerprints_of_one_place(spark):
+    lines = [f"line {k}" for k in range(400)]
+    docs = [(1, "\n".join(lines)), (2, "\n".join(["other", *lines[10:14], "more"]))] + [(None, "\n".join(lines[20:25]))] * 500
+    df = spark.createDataFrame(docs, SCHEMA)
+    found = linededup.windows(df).dropDuplicates(["id", "t1", "t2", "at"])
+    places = found.groupBy("fp").agg(F.count_distinct("id", "t1", "t2", "m").alias("n")).where("n > 1")
+    assert found.join(places, "fp").count() < 40 < found.count()
+    out, name = linededup.dedup(df)
+    got = {r["doc_id"]: (r["text"], r[name]["n_removed"]) for r in out.distinct().collect()}
+    assert got[2] == ("other\nmore", 4)
+    # null ids come first; all rows equal in id and text are one document
+    assert got[None][1] == 0 and got[1][1] == 5
+
+
 def test_line_dedup_stays_in_the_jvm(spark):
-    found = linededup.windows(spark.createDataFrame([(1, "a\nb\nc")], SCHEMA))
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    df = spark.createDataFrame([(1, "a\nb\nc"), (2, "a\nb\nc")], SCHEMA)
+    for frame in (linededup.windows(df), linededup.repeats(linededup.windows(df)), linededup.dedup(df)[0]):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
 
 
 # ------------------------------------------------------------------------------- op 9
