@@ -187,15 +187,16 @@ class Store:
     # ------------------------------------------------------------------ upkeep
 
     def compact(self, table: str, schema: T.StructType, column: str, keys: list[str], order: list[str] | None = None, buckets: int = 8,
-                changes: int = 8, share: float = 0.5,
+                changes: int = 8, share: float = 0.5, least: int = 1 << 20,
                 hashed: list[str] | None = None) -> int:
-        """Writes anew the buckets with over ``changes`` changes, or whose changes are over ``share`` of
-        their first file; returns how many."""
-        due = {p: [b for b, c in held.items() if len(c) > changes or len(c) > 1 and sum(x[2] for x in c[1:]) > share * c[0][2]] for p, held in self.live(table).items()}
+        """Writes anew the buckets with over ``changes`` changes, or whose changes are over ``least``
+        bytes and over ``share`` of their first file; returns how many."""
+        parts = self.live(table)
+        large = lambda c: (more := sum(x[2] for x in c[1:])) > least and more > share * c[0][2]
+        due = {p: [b for b, c in held.items() if len(c) > changes or large(c)] for p, held in parts.items()}
         due = {p: b for p, b in due.items() if b}
         if not due:
             return 0
-        parts = self.live(table)
         paths = sorted({f"{SEQ}={v}/{TRY}={t}/{p}/{BUCKET}={b}" for p, bs in due.items() for b in bs for v, t, size in parts[p][b] if size})
         rows = _merge(self._scan(table, schema, paths, keys), schema, keys, order)
         self.commit([self.stage(rows, table, column, keys, buckets, full=True, replaced=due, hashed=hashed)])

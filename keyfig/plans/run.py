@@ -176,19 +176,21 @@ def run_pipeline(spark: SparkSession, new_extracts: dict[str, DataFrame], seed:
 
     hist_base = f"{wh}/scd_municipalities"
     members = dim.select("municipality_code", "municipality_name", "region_code", "region_name")
-    hist = incremental.publish(
-        history.snapshot(incremental.read_current(spark, hist_base), members, "municipality_code",
-                         ["municipality_name", "region_code", "region_name"], snapshot_ts),
-        hist_base)
+    kept = history.History(spark, hist_base, "municipality_code", ["municipality_name", "region_code", "region_name"])
+    earlier = incremental.read_current(spark, hist_base)
+    if earlier is not None and not kept.store.versions():
+        kept.adopt(earlier)
+    kept.take(members, snapshot_ts)
+    hist = kept.read()
+
     # upkeep: changes that have grown many are written anew, what no recent version shows goes
     hp_store.compact("rows", hp_schema, refresh.PARTITION, hp_keys)
     if cfg.resolve == "latest":
         state.compact()
         state.store.vacuum(keep_versions)
-    for store in (hp_store, ledger):
+    for store in (hp_store, ledger, kept.store):
         store.vacuum(keep_versions)
-    for base in (f"{wh}/dim_municipalities", hist_base):
-        incremental.retire(spark, base, keep_versions)
+    incremental.retire(spark, f"{wh}/dim_municipalities", keep_versions)
     hp = hp_store.read("rows", hp_schema, refresh.PARTITION, hp_keys)
     return PipelineRun(landed, dim, hp, lab, mart, corr, reduce(DataFrame.unionByName, results), hist)
 

@@ -43,8 +43,8 @@ MEASURES = _schema(source=T.StringType(), region_name=T.StringType(), loaded_at=
 UNEMPLOYMENT, INCOME = "unemployment", "income"
 #: Above this, a double has no exact decimal with 12 places.
 _LARGE = 1e15
-#: Rows and digest of dimensions by plan; a published dimension is an immutable version.
-_REGIONS: dict[tuple, tuple[int, str]] = {}
+#: Rows, whether they are distinct, and digest of dimensions by plan; a published dimension is an immutable version.
+_REGIONS: dict[tuple, tuple[int, bool, str]] = {}
 #: Members of a dimension up to which it is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -110,11 +110,12 @@ class LabourState:
         key = (self.dim.sparkSession.sparkContext.applicationId, self.dim.semanticHash())
         if key not in _REGIONS:
             pair = "xxhash64(municipality_name, region_name)"
-            n, *sums = self.dim.selectExpr("count(1)", f"bit_xor({pair})", f"sum(shiftright({pair}, 20))").first()
-            _REGIONS[key] = n, "|".join(map(str, [n, *sums]))
-        n, digest = _REGIONS[key]
-        members = (self.dim.where("region_name IS NOT NULL").groupBy(F.col("municipality_name").alias("_child"), F.col("region_name").alias("_region"))
-                   .agg(F.count(F.lit(1)).alias("_times")))
+            n, once, *sums = self.dim.selectExpr("count(1)", f"count(DISTINCT {pair}) = count(1)", f"bit_xor({pair})", f"sum(shiftright({pair}, 20))").first()
+            _REGIONS[key] = n, once, "|".join(map(str, [n, *sums]))
+        n, once, digest = _REGIONS[key]
+        members = self.dim.where("region_name IS NOT NULL").selectExpr("municipality_name AS _child", "region_name AS _region", "1 AS _times")
+        if not once:
+            members = members.groupBy("_child", "_region").agg(F.expr("count(1) AS _times"))
         return (F.broadcast(members) if n <= BROADCAST_ROWS else members), digest
 
     def apply(self, unemployment: DataFrame, income: DataFrame) -> Applied:

@@ -167,11 +167,10 @@ SNAP_1, SNAP_2 = "2024-01-01 06:00:00", "2024-02-01 06:00:00"
 
 def scd_history(spark, sf_dir, hard_deletes: bool = True) -> DataFrame:
     check = ["municipality_name", "region_code", "region_name"]
-    h1 = H.snapshot(None, supplier_snapshot(spark, sf_dir, 1), "municipality_code", check, SNAP_1)
-    # the first snapshot is materialised (a history table), which also cuts the lineage
-    h1 = I.publish(h1, work_path(spark, "scd"))
-    return H.snapshot(h1, supplier_snapshot(spark, sf_dir, 2), "municipality_code", check, SNAP_2,
-                      invalidate_hard_deletes=hard_deletes)
+    kept = H.History(spark, work_path(spark, "scd"), "municipality_code", check)
+    kept.take(supplier_snapshot(spark, sf_dir, 1), SNAP_1)
+    kept.take(supplier_snapshot(spark, sf_dir, 2), SNAP_2, invalidate_hard_deletes=hard_deletes)
+    return kept.read()
 
 
 # ---------------------------------------------------------------- M11-M13

@@ -159,3 +159,61 @@ def test_changes_merge_by_key_and_compact(spark, tmp_path):
     assert {r["k"]: r["v"] for r in after.collect()} == want
     assert "Aggregate" in before and "Aggregate" not in after._jdf.queryExecution().executedPlan().toString()
     assert store.vacuum(1) > 0 and {r["k"]: r["v"] for r in store.read("m", schema, "t", ["k"]).collect()} == want
+
+
+# ------------------------------------------------------------------------------- history, places
+
+def test_a_snapshot_leaves_closed_versions_alone(spark, tmp_path):
+    from keyfig.operators.history import History, snapshot
+    schema, check = "code int, name string", ["name"]
+    days = [[(1, "a"), (2, "b"), (3, "c")], [(1, "A"), (2, "b")], [(1, "A"), (2, "B"), (4, "d")], [(1, "A"), (2, "B"), (4, "d")], [(1, "A"), (2, "B"), (3, "c")]]
+    kept, plain = History(spark, str(tmp_path / "h"), "code", check, buckets=2), None
+    for m, rows_ in enumerate(days, 1):
+        ts, df = f"2024-0{m}-01 00:00:00", spark.createDataFrame(rows_, schema)
+        for _ in range(2):   # the second is the same snapshot again
+            kept.take(df, ts)
+        plain = snapshot(plain, df, "code", check, ts)
+        assert rows(kept.read().select(*plain.columns)) == rows(plain)
+    loads = kept.store.state()["loads"]
+    assert len(loads) == len(days) and loads["2024-04-01 00:00:00"]["rows"] == 0   # nothing changed in the fourth month
+    assert {p for p in kept.store.live("closed")} == {"_closed=2024-02", "_closed=2024-03", "_closed=2024-05"}
+    assert all("/closed/" not in f for f in kept.open().inputFiles())
+    assert [tuple(r) for r in kept.closed(["2024-03"]).select("code", "name").collect()] == [(2, "b")]
+
+
+def test_sorted_places_hold_when_files_are_split(spark):
+    from keyfig.operators.windows import with_position
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    df = spark.range(100).withColumn("x", F.pmod(F.col("id") * 37, F.lit(100))).repartition(3)
+    got = {r["x"]: r["place"] for r in with_position(df, ["x"]).collect()}
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert got == {k: k + 1 for k in range(100)}
+
+
+def test_a_replayed_batch_adds_no_version(spark, tmp_path):
+    from keyfig.streaming.filestream import stream_latest_cells
+    base, schema = str(tmp_path), "k string, t string, v string, at timestamp_ntz"
+    land = lambda n, rows_: spark.createDataFrame(rows_, "k string, t string, v string, at string").withColumn("at", F.col("at").cast("timestamp_ntz")).write.parquet(f"{base}/landing/load={n}")
+    kind = spark.createDataFrame([], schema).schema
+    run = lambda: sorted(map(tuple, stream_latest_cells(spark, f"{base}/landing/*", kind, ["k", "t"], ["at", "v"], f"{base}/cells", f"{base}/check", "t").select("k", "t", "v").collect()))
+    land(1, [("a", "01", "1", "2024-01-02"), ("b", "1", "5", "2024-01-02")])
+    run()
+    land(2, [("a", "01", "0", "2024-01-01"), ("b", "1", "6", "2024-01-03"), ("c", "2024Q1", "7", "2024-01-03")])
+    want = [("a", "01", "1"), ("b", "1", "6"), ("c", "2024Q1", "7")]
+    assert run() == want
+    store = Store(spark, f"{base}/cells")
+    before = store.state()
+    # the driver died after the table's commit, before the checkpoint's: the batch runs again
+    for f in ("1", ".1.crc"):
+        (tmp_path / "check" / "commits" / f).unlink(missing_ok=True)
+    assert run() == want and store.state() == before and list(before["batches"].values()) == [1]
+
+
+def test_incremental_models_follow_their_columns(spark, tmp_path):
+    from keyfig.sources.sink import materialise
+    path = str(tmp_path / "m")
+    materialise(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, name string, old string"), "incremental", path=path, keys=["id"])
+    got = materialise(spark.createDataFrame([(2, "B", 7), (3, "c", 8)], "id int, name string, new int"), "incremental", path=path, keys=["id"])
+    assert sorted(map(tuple, got.collect())) == [(1, "a", None), (2, "B", 7), (3, "c", 8)]
+    with pytest.raises(ValueError):
+        materialise(got, "nowhere")
