@@ -5,6 +5,7 @@ over a huge table shuffles only per-key counts, never the rows."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +48,17 @@ def between(df: DataFrame, column: str, min_value=None, max_value=None) -> DataF
     return df.where(bad)
 
 
-def freshness(sources: dict[str, DataFrame], limits: dict[str, tuple[int, int]], as_of,
+def freshness(sources: dict[str, DataFrame | datetime | None], limits: dict[str, tuple[int, int]], as_of,
               loaded_at: str = "_LOADED_AT") -> DataFrame:
     """Q5: per source the newest load time, its age in hours at ``as_of`` and the status
-    (``pass`` / ``warn`` / ``error`` against warn/error limits in days)."""
+    (``pass`` / ``warn`` / ``error`` against warn/error limits in days).  A source is a frame, which is
+    read, or its newest load time where that is known (:func:`keyfig.operators.changes.newest`)."""
     parts = []
     for name, df in sources.items():
         warn_d, error_d = limits[name]
-        parts.append(df.agg(F.max(loaded_at).alias("max_loaded_at")).select(
+        newest = (df.agg(F.max(loaded_at).alias("max_loaded_at")) if isinstance(df, DataFrame)
+                  else SparkSession.active().range(1).select(F.lit(df).cast("timestamp_ntz").alias("max_loaded_at")))
+        parts.append(newest.select(
             F.lit(name).alias("source_name"), "max_loaded_at",
             F.lit(warn_d).alias("warn_after_days"), F.lit(error_d).alias("error_after_days")))
     t = reduce(DataFrame.unionByName, parts)

@@ -69,6 +69,12 @@ def read_raw(spark: SparkSession, warehouse: str, spec: RawSpec, loads: list[str
     return named
 
 
+def source_freshness(spark: SparkSession, warehouse: str, cfg: PipelineConfig, as_of) -> DataFrame:
+    """Q5 over the raw histories, from the manifests of their loads: no data is read."""
+    known = {s.name: changes.newest(spark, f"{warehouse.rstrip('/')}/raw/{s.name}", s.loaded_at) for s in RAW_SPECS}
+    return quality.freshness({n: t for n, t in known.items() if n in cfg.freshness}, cfg.freshness, as_of)
+
+
 def unmatched_names(staged: dict[str, tuple[DataFrame, str]], dim: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """J7 as a result row per model: names that no member, region or total of the dimension has.
     They fall out of the inner join, so they are told here (status ``warn``)."""

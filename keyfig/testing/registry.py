@@ -346,7 +346,7 @@ def s15(spark, sf_dir):
     path = work_path(spark, "s15")
     dims = ["OMRÅDE", "EJENDOMSKATE", "TAL", "TID"]
     PR.metadata_document(raw(spark, sf_dir, RPI), dims, "TID").write.json(path)
-    return PR.variable_members(spark.read.json(path), "tal")
+    return PR.variable_members(PR.read_metadata(spark, path), "tal")
 
 
 # ---------------------------------------------------------------- projections and filters

@@ -1,7 +1,7 @@
 """The orchestrated pipeline: two runs (initial load, then a revision) equal a full rebuild."""
 
-from fixtures import CFG, HOUSE, IDX, LOAD_2, price_index_rows, raw_frame, raw_frames, seed_frame
-from keyfig.plans.run import full_rebuild, run_pipeline
+from fixtures import CFG, HOUSE, IDX, LOAD_1, LOAD_2, price_index_rows, raw_frame, raw_frames, seed_frame
+from keyfig.plans.run import full_rebuild, run_pipeline, source_freshness
 
 
 def rows(df):
@@ -28,6 +28,13 @@ def test_two_runs_equal_full_rebuild(spark, tmp_path):
 
     all_raw = {k: first[k].unionByName(second[k]) if k in second else first[k] for k in first}
     assert rows(r2.mart_labour_housing_correlation) == rows(full_rebuild(all_raw, seed_frame(spark), CFG))
+    # known from the loads' manifests, without a look at the data
+    fresh = {r["source_name"]: str(r["max_loaded_at"]) for r in source_freshness(spark, wh, CFG, "2024-01-03 06:00:00").collect()}
+    assert fresh["RAW_UNEMPLOYMENT"] == LOAD_2 and fresh["RAW_LOCAL_INCOME"] == LOAD_1
+    # the run again, as after a crash: its loads are there once, nothing changes
+    r3 = run_pipeline(spark, second, seed_frame(spark), wh, CFG, "2024-01-02 07:00:00", ("Region A", "Region B"))
+    assert rows(r3.mart_labour_housing_correlation) == rows(r2.mart_labour_housing_correlation)
+    assert r3.raw_rows_landed == r2.raw_rows_landed and rows(r3.municipality_history) == rows(r2.municipality_history)
     # the dimension did not change: one open version per municipality
     assert r2.municipality_history.where("valid_to IS NULL").count() == 3
 

@@ -217,3 +217,25 @@ def test_incremental_models_follow_their_columns(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [(1, "a", None), (2, "B", 7), (3, "c", 8)]
     with pytest.raises(ValueError):
         materialise(got, "nowhere")
+
+
+def test_profiles_merge_from_sketches(spark, tmp_path):
+    from keyfig.operators.profile import profile_estimate, profile_load
+    base = str(tmp_path / "p")
+    df = spark.range(30_000).select(F.col("id").cast("string").alias("big"), (F.col("id") % 7).cast("string").alias("small"))
+    low, high = df.where("CAST(big AS int) < 20000"), df.where("CAST(big AS int) >= 10000")
+    for _ in range(2):   # a load counts once
+        profile_load(low, ["big", "small"], base, "one")
+        profile_load(high, ["big", "small"], base, "two")
+    got = {r["variable"]: (r["n_values_estimate"], r["n_rows"]) for r in profile_estimate(spark, base).collect()}
+    assert got["small"] == (7, 40_000) and got["big"][1] == 40_000
+    assert abs(got["big"][0] - 30_000) < 3 * 0.008 * 30_000
+
+
+def test_metadata_is_read_in_one_pass_and_keeps_unknown_fields(spark, tmp_path):
+    from keyfig.operators.profile import read_metadata, variable_members
+    (tmp_path / "m.json").write_text('{"id": "TAL", "text": "Tal", "values": [{"id": "a", "text": "A"}, {"id": "b", "text": "B", "more": 1}], "unit": {"k": 1}}\n{"id": "Tid", "time": true, "values": []}\n')
+    meta = read_metadata(spark, str(tmp_path / "m.json"))
+    assert sorted(map(tuple, variable_members(meta, "tal").collect())) == [("a", "A"), ("b", "B")]
+    assert meta.where("id = 'TAL'").select(F.variant_get("document", "$.unit.k", "int")).first()[0] == 1
+    assert [r["time"] for r in meta.orderBy("id").collect()] == [None, True]
