@@ -9,16 +9,19 @@ agree on at least two of them, so there is a table per pair of blocks, keyed by
 one of the tables brings any such pair together.  Equal fingerprints are one entry with a count.
 
 ``with_next`` pairs every document with the next one in the order of (id, text), the last with
-the first: ids are dealt to ranges by quantiles, the first document of each range also travels
-to the range before, and each task walks its ranges in order, holding a batch at a time.
+the first: documents are dealt to ranges of id and beginning of text (so rows of one id, or of
+none, are many ranges), the first document of each range also travels to the range before, and
+each task walks a range in order, holding a batch at a time.
 
 Defined results: null texts are empty; null ids come first; documents that repeat follow one
-another; a single document is its own next.
+another; a single document is its own next; long texts are read whole, a batch at a time.  An empty
+table gives no rows.  Only id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -30,6 +33,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from keyfig.llm.common import shingle_hashes, shuffle_parts, steps, text_bytes, word_hashes
 
 TERM_WORDS, RADIUS = 2, 3
+#: Code points of a text that ranges may be cut at, and rows a range that the cuts are taken from.
+HEAD, SAMPLED = 100, 16
 _GROUPS = 1 << 13
 
 
@@ -66,25 +71,30 @@ def edited(text: str, following: str) -> str:
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, code points, fingerprint, and the edited text's and next one's figures."""
     spark, parts = docs.sparkSession, shuffle_parts(docs.sparkSession)
-    key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-2**63)).alias("key")
-    ids = docs.select(key)
-    cuts = sorted(set(ids.withColumn("key", F.col("key").cast("double")).approxQuantile("key", [i / parts for i in range(1, parts)], 0.2 / parts)))
-    cuts = np.array([int(c) for c in cuts], np.int64)
-    part = lambda k: np.searchsorted(cuts, k, side="right").astype(np.int32)
-    number = F.pandas_udf(lambda k: pd.Series(part(k.to_numpy())), "int")
-    # one row a range: its first id
-    firsts = {r["part"]: r["first"] for r in ids.groupBy(number("key").alias("part")).agg(F.min("key").alias("first")).collect()}
-    order = sorted(firsts)
-    before = {firsts[p]: order[k - 1] for k, p in enumerate(order)}  # the very first one follows the last
+    own_id, own_text = F.col(f"`{doc_id}`").cast("long"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    # ranges are cut by id and, as many rows may have one id or none, by the beginning of the text
+    base = docs.select(F.coalesce(own_id, F.lit(-2**63)).alias("key"), own_id.alias("doc_id"), own_text.alias("text")).withColumn("head", F.left("text", F.lit(HEAD)))
+    heads = base.select("key", "head")
+    every = max(1, docs.count() // (SAMPLED * parts))
+    sample = sorted((r["key"], r["head"]) for r in heads.where(F.pmod(F.xxhash64("key", "head"), F.lit(every)) == 0).distinct().collect())
+    cuts = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
+
+    @F.pandas_udf("int")
+    def number(k: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(cuts, x) for x in zip(k.tolist(), h.tolist(), strict=True)], dtype="int32")
+
+    # one row a range: where it begins
+    first = F.min(F.struct("key", "head"))
+    begins = {r["part"]: (r["first"]["key"], r["first"]["head"]) for r in heads.groupBy(number("key", "head").alias("part")).agg(first.alias("first")).collect()}
+    order = sorted(begins)
+    before = {begins[p]: order[k - 1] for k, p in enumerate(order)}  # the very first one follows the last
 
     @F.pandas_udf("array<int>")
-    def ranges(k: pd.Series) -> pd.Series:
-        return pd.Series([[int(p), before[x]] if x in before else [int(p)] for p, x in zip(part(k.to_numpy()), k, strict=True)])
+    def ranges(k: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series([[bisect_right(cuts, x), before[x]] if x in before else [bisect_right(cuts, x)] for x in zip(k.tolist(), h.tolist(), strict=True)])
 
-    dealt = (docs.select(key, F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-             .withColumn("in", ranges("key"))
-             .select("key", "doc_id", "text", F.posexplode("in").alias("extra", "part"))
-             .repartition(parts, "part").sortWithinPartitions("part", "extra", "key", "text"))
+    dealt = (base.withColumn("in", ranges("key", "head")).select("key", "doc_id", "text", F.posexplode("in").alias("extra", "part"))
+             .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "extra", "key", "text"))
     return dealt.select("part", "extra", "doc_id", "text").mapInArrow(_walk, RESULT)
 
 

@@ -281,7 +281,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
                         ("lines", pa.list_(pa.string())), ("zones", pa.binary())])
     dealt = (sent.withColumn("page_id", F.col("page_id").cast("long"))
              .mapInArrow(deal, "part int, key string, extra int, page_id long, url string, lines array<string>, zones binary")
-             .repartition(parts, "part").sortWithinPartitions("part", "key", "extra"))
+             .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "key", "extra"))
     return dealt.mapInArrow(_walk, "page_id long, url string, text string, n_chars long, n_lines long, n_shared long")
 
 

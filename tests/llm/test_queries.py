@@ -46,9 +46,17 @@ def test_query_covers_its_table(spark, name):
 def test_pipeline_equals_plain_python(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
-    model = langid.fit(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    model, limits = (f(spark.read.parquet(f"{SF_SMALL}/documents.parquet")) for f in (langid.fit, langid.limits))
     found = model.predict(pa.array([t for _, t in docs], pa.string())).to_pylist()
-    docs = [d for d, x in zip(docs, found, strict=True) if x["lang"] != "und" and x["score"] >= corpus_pipeline.LEAST_SCORE]
+
+    def fits(x):
+        if x["lang"] == "und" or x["lang"] not in limits:
+            return x["lang"] != "und"
+        usual, most = limits[x["lang"]]
+        above = (x["bits"] / x["symbols"] - usual) * (x["symbols"] / (1 + x["symbols"] / langid.STEADY)) ** 0.5
+        return x["bits"] < x["symbols"] * np.log2(langid.SYMBOLS) or above <= most
+
+    docs = [d for d, x in zip(docs, found, strict=True) if fits(x)]
     cleaned = line_dedup(docs)
     docs = [(d, cleaned[d, t][0]) for d, t in docs if not cleaned[d, t][2] or cleaned[d, t][0].strip(" \n")]
     docs = [d for d, (i, c, links) in zip(docs, near_duplicates(docs), strict=True) if not links or i == c]
