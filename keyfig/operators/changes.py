@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 from keyfig.sources import sink
 
 BUCKET, SEQ, TRY, GONE = "_bucket", "_seq", "_try", "_gone"
+#: Folders up to which each is named to the scan (more would be listed by a job of their own).
+FEW = 32
 
 
 class Store:
@@ -54,7 +56,7 @@ class Store:
         if version is None:
             version = (self.versions() or [0])[-1]
         if not version:
-            return {"version": 0, "tables": {}, "loads": {}, "batches": {}, "notes": {}}
+            return {"version": 0, "tables": {}, "folders": {}, "loads": {}, "batches": {}, "notes": {}}
         return json.loads(sink.read_text(self.spark, f"{self.base}/_manifest/{version:010d}.json"))
 
     def commit(self, staged: list[dict], load: str | None = None, batch: tuple[str, int] | None = None, notes: dict | None = None) -> int:
@@ -70,11 +72,14 @@ class Store:
                 for bucket, size in buckets.items():
                     before = [] if change["full"] else held.get(bucket, [])
                     held[bucket] = [*before, [version, change["try"], size]]
+            state["folders"][f"{version}/{change['try']}"] = _folders(change)
         if load is not None:
             state["loads"][load] = {"rows": sum(c["rows"] for c in staged), "stats": {k: v for c in staged for k, v in c["stats"].items()},
                                     "folders": [[c["table"], c["version"], c["try"]] for c in staged]}
         if batch is not None:
             state["batches"][batch[0]] = batch[1]
+        used = {f"{v}/{t}" for parts in state["tables"].values() for held in parts.values() for c in held.values() for v, t, _ in c}
+        state["folders"] = {k: n for k, n in state["folders"].items() if k in used}
         state["notes"].update(notes or {})
         state["version"] = version
         sink.write_new_text(self.spark, f"{self.base}/_manifest/{version:010d}.json", json.dumps(state, ensure_ascii=False))
@@ -142,11 +147,8 @@ class Store:
             known = self.state()["loads"]
             of = {(v, t) for name in loads for at, v, t in known[name]["folders"] if at == table}
             parts = {p: {b: [x for x in c if (x[0], x[1]) in of] for b, c in held.items()} for p, held in parts.items()}
-        paths = {p: sorted({f"{SEQ}={v}/{TRY}={t}/{p}" + (f"/{BUCKET}={b}" if keys is not None else "") for b, c in held.items() for v, t, size in c if size})
-                 for p, held in parts.items()}
-        many = {p for p, held in parts.items() if any(len(c) > 1 for c in held.values())}
-        plain = [x for p, found in paths.items() if p not in many or keys is None for x in found]
-        mixed = [x for p, found in paths.items() if p in many and keys is not None for x in found]
+        many = {p for p, held in parts.items() if any(len(c) > 1 for c in held.values())} if keys is not None else set()
+        plain, mixed = (self._paths(table, {p: held for p, held in parts.items() if (p in many) == m}, keys is not None, pending) for m in (False, True))
         out = self._scan(table, schema, plain, keys) if plain or not mixed else None
         if out is not None and keys is not None:
             out = out.where(~F.col(GONE))
@@ -168,8 +170,20 @@ class Store:
         """The rows of all live changes, not merged, for a caller that aggregates them by key itself;
         only for tables in which no key ever goes."""
         parts = self._chosen(table, column, values, buckets)
-        paths = sorted({f"{SEQ}={v}/{TRY}={t}/{p}/{BUCKET}={b}" for p, held in parts.items() for b, c in held.items() for v, t, size in c if size})
-        return self._scan(table, schema, paths, keys).select(*schema.fieldNames())
+        return self._scan(table, schema, self._paths(table, parts, True), keys).select(*schema.fieldNames())
+
+    def _paths(self, table: str, parts: dict[str, dict[str, list]], keyed: bool, pending: dict | None = None) -> list[str]:
+        """The folders of these changes: many that are the whole of a change are given as one."""
+        leaves: dict[tuple[int, str], list[str]] = {}
+        for p, held in parts.items():
+            for b, c in held.items():
+                for v, t, size in c:
+                    if size:
+                        leaves.setdefault((v, t), []).append(f"{SEQ}={v}/{TRY}={t}/{p}" + (f"/{BUCKET}={b}" if keyed else ""))
+        if sum(map(len, leaves.values())) <= FEW:
+            return sorted(x for found in leaves.values() for x in found)
+        whole = self.state()["folders"] | ({f"{pending['version']}/{pending['try']}": _folders(pending)} if pending else {})
+        return sorted(x for (v, t), found in leaves.items() for x in ([f"{SEQ}={v}/{TRY}={t}"] if whole.get(f"{v}/{t}") == len(found) else found))
 
     def staged(self, change: dict, schema: T.StructType, keys: list[str] | None = None) -> DataFrame:
         """The rows of a staged change alone."""
@@ -197,7 +211,7 @@ class Store:
         due = {p: b for p, b in due.items() if b}
         if not due:
             return 0
-        paths = sorted({f"{SEQ}={v}/{TRY}={t}/{p}/{BUCKET}={b}" for p, bs in due.items() for b in bs for v, t, size in parts[p][b] if size})
+        paths = self._paths(table, {p: {b: parts[p][b] for b in bs} for p, bs in due.items()}, True)
         rows = _merge(self._scan(table, schema, paths, keys), schema, keys, order)
         self.commit([self.stage(rows, table, column, keys, buckets, full=True, replaced=due, hashed=hashed)])
         return sum(map(len, due.values()))
@@ -223,6 +237,11 @@ class Store:
         return gone
 
 
+def _folders(change: dict) -> int:
+    """How many folders with data a change has."""
+    return sum(size > 0 for held in change["parts"].values() for size in held.values())
+
+
 def bucket_of(keys: list[str], buckets: int):
     return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in keys)), F.lit(buckets)).cast("int")
 

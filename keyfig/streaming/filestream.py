@@ -30,7 +30,7 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def stream_latest_cells(spark: SparkSession, landing: str, schema: T.StructType, keys: list[str],
                         order: list[str], target: str, checkpoint: str, partition_col: str,
-                        files_per_batch: int | None = None, fmt: str = "parquet", buckets: int = 8,
+                        files_per_batch: int | None = None, fmt: str = "parquet", buckets: int = 4,
                         compact_after: int = 16, keep: int = 4) -> DataFrame:
     """Process every file under ``landing`` not yet seen by ``checkpoint``; returns the current
     latest-cell table, partitioned by ``partition_col``, which must be among ``keys``.  All waiting
