@@ -34,7 +34,7 @@ from keyfig.llm.common import shingle_hashes, shuffle_parts, steps, text_bytes,
 
 TERM_WORDS, RADIUS = 2, 3
 #: Code points of a text that ranges may be cut at, and rows a range that the cuts are taken from.
-HEAD, SAMPLED = 100, 16
+HEAD, SAMPLED = 40, 64
 _GROUPS = 1 << 13
 
 
