@@ -3,10 +3,12 @@
 Documents become token ids and are cut into pieces of at most ``CAPACITY``.  The pieces' length
 histogram (at most ``CAPACITY`` rows, whatever the corpus) goes to the driver, which solves the
 fractional program "cover every length's count by configurations, as few as possible": weights
-per length grow where coverage lags (multiplicative weights), and a bounded knapsack over the
-heaviest lengths, each as often as it fits, prices the next configuration.  Scaled below the counts and rounded
-down, the program's solution places most pieces; it is solved anew for what is left, and the
-last remainder is packed best-fit in descending length, by groups of equal bins.
+per length grow where coverage lags (multiplicative weights), and a bounded knapsack, each length
+as often as it fits, prices the next configuration.  More than ``CLASSES`` lengths are put in classes,
+each as long as its longest piece, so that configurations of rare lengths have whole copies too.
+Scaled below the counts and rounded, the program's solution places pieces; it is solved anew for what
+is left, and the last remainder goes best-fit, in descending length and by groups of equal bins, into
+the rooms that are left and into new sequences.  The program is solved whatever the histogram.
 
 Placing is arithmetic: the r-th piece of a length finds its interval in a table of (length, first
 rank, copies, first sequence, offset).  Ranks are taken within (length, salt), so that a length
@@ -26,7 +28,9 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -40,8 +44,10 @@ CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct words whose ids a task keeps at a time.
 CACHE_WORDS = 600_000
-#: Lengths that one pricing step chooses from, its steps a round, and rounds.
-PRICED, STEPS, ROUNDS = 192, 500, 3
+#: Classes of lengths that the program tells apart, its pricing steps a round, and rounds.
+CLASSES, STEPS, ROUNDS = 96, 500, 3
+#: The share of all tokens whose pieces, the shortest, are kept for the rooms that the program leaves.
+SPARED = 1 / 32
 #: How fast a length's weight falls as it is covered.
 RATE = 8.0
 #: Pieces of one (length, salt) group aimed at.
@@ -184,8 +190,7 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, steps: in
     for _ in range(steps):
         # a length's weight: its tokens, falling as its count is covered
         value = lengths * np.exp(-RATE * (covered - covered.min()))
-        some = np.sort(np.argsort(-value, kind="stable")[:PRICED]) if len(lengths) > PRICED else np.arange(len(lengths))
-        chosen = some[_price(lengths[some], value[some], counts[some], capacity)]
+        chosen = _price(lengths, value, counts, capacity)
         kinds, n = np.unique(chosen, return_counts=True)
         step = (counts[kinds] / n).min() / 16
         key = chosen.tobytes()
@@ -198,8 +203,11 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, steps: in
     return [(copies / most, chosen) for copies, chosen in found.values()]
 
 
-def best_fit(left: dict[int, int], capacity: int) -> list[Configuration]:
-    """Best fit in descending length; equal bins are one group, so work follows distinct lengths."""
+def best_fit(left: dict[int, int], capacity: int, begun: Sequence[Configuration] = ()) -> list[Configuration]:
+    """Best fit in descending length, into the rooms of bins begun and new ones.
+
+    Equal bins are one group, so work follows distinct lengths.
+    """
     open_: dict[int, list[tuple[int, dict[int, int]]]] = {}
     done: list[tuple[int, dict[int, int]]] = []
 
@@ -207,6 +215,8 @@ def best_fit(left: dict[int, int], capacity: int) -> list[Configuration]:
         room = capacity - sum(n * k for n, k in content.items())
         (open_.setdefault(room, []) if room else done).append((copies, content))
 
+    for c in begun:
+        put(c.copies, dict(c.content))
     for length in sorted(left, reverse=True):
         n = left[length]
         while n:
@@ -226,13 +236,13 @@ def best_fit(left: dict[int, int], capacity: int) -> list[Configuration]:
             if n < per:
                 if copies > 1:
                     put(copies - 1, content)
-                put(1, content | {length: n})
+                put(1, content | {length: content.get(length, 0) + n})
                 n = 0
             else:
                 filled = min(copies, n // per)
                 if copies > filled:
                     put(copies - filled, content)
-                put(filled, content | {length: per})
+                put(filled, content | {length: content.get(length, 0) + per})
                 n -= filled * per
     return [Configuration(c, tuple(sorted(x.items(), reverse=True))) for c, x in [*done, *(g for gs in open_.values() for g in gs)]]
 
@@ -244,40 +254,89 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Configura
         out.append(Configuration(full, ((capacity, 1),)))
     least = -(-sum(k * n for k, n in left.items()) // capacity)
     bins = lambda c: sum(x.copies for x in c)
-    found = [best_fit(left, capacity)]
-    # full configurations first; where these do not suffice, the program's solution as it is
-    for fullest in (0.999, 0.0):
-        if min(map(bins, found)) > least:
-            found.append(_rounded(dict(left), capacity, least, fullest * capacity))
-    return out + min(reversed(found), key=bins)
-
-
-def _rounded(left: dict[int, int], capacity: int, least: int, full: float) -> list[Configuration]:
-    """The program's solution rounded down, again for what is left, and best fit of the remainder.
-
-    Configurations of fewer than ``full`` tokens are left to best fit.
+    found: list[list[Configuration]] = []
+    # the program's full bins alone, or its solution as it is; best fit takes what these leave
+    for fullest, spared in ((0.999, SPARED), (0.0, SPARED), (0.0, 0.0)):
+        if not found or min(map(bins, found)) > least:
+            placed, rest = _rounded(dict(left), capacity, fullest * capacity, spared)
+            found.append(best_fit(rest, capacity, placed))
+    return out + min(found, key=bins)
+
+
+def classes(counts: np.ndarray, most: int = CLASSES) -> np.ndarray:
+    """The class of each of ascending lengths: about as many pieces each, a frequent length alone."""
+    if len(counts) <= most:
+        return np.arange(len(counts))
+    weight = counts.astype(np.float64)
+    for _ in range(8):
+        weight = np.minimum(counts, weight.sum() / most)
+    part = np.floor((np.cumsum(weight) - weight / 2) / weight.sum() * most)
+    alone = counts >= weight.sum() / most
+    return np.concatenate([[0], np.cumsum((np.diff(part) > 0) | alone[1:] | alone[:-1])])
+
+
+def _rounded(left: dict[int, int], capacity: int, full: float, spared: float) -> tuple[list[Configuration], dict[int, int]]:
+    """The program's solution in whole bins, again for what is left; and the remainder.
+
+    The program knows a class by its longest length, so any piece of a class fits where it says.  A
+    bin's last place, the shortest, takes the longest piece that fits.  Copies are rounded as a
+    running total.  Bins of fewer than ``full`` tokens, and the shortest pieces, with the share
+    ``spared`` of all tokens, are left to best fit.
     """
     out: list[Configuration] = []
+    tokens = np.cumsum([k * left[k] for k in sorted(left)])
+    short = dict(sorted(left.items())[:int((tokens <= spared * tokens[-1]).sum())]) if left else {}
+    left = {k: n for k, n in left.items() if k not in short}
     for _ in range(ROUNDS):
-        if not left:
+        lengths = sorted(left)
+        counts = [left[k] for k in lengths]
+        if not lengths:
             break
-        lengths = np.array(sorted(left), np.int64)
-        counts = np.array([left[k] for k in lengths.tolist()], np.float64)
-        whole = [(int(copies + 1e-9), chosen) for copies, chosen in fractional(lengths, counts, capacity) if copies + 1e-9 >= 1]
-        for copies, chosen in whole:
-            kinds, n = np.unique(lengths[chosen], return_counts=True)
-            content = tuple(zip(kinds.tolist(), n.tolist(), strict=True))
-            copies = min(copies, *(left.get(k, 0) // n for k, n in content))
-            if copies < 1 or lengths[chosen].sum() < full:
-                continue
-            for k, n in content:
-                left[k] -= copies * n
-                if not left[k]:
-                    del left[k]
-            out.append(Configuration(copies, content))
-        if sum(c.copies for c in out) * 50 >= 49 * least or not whole:
+        of = classes(np.array(counts, np.int64)).tolist()
+        first = [of.index(g) for g in range(of[-1] + 1)]
+        longest = [*(a - 1 for a in first[1:]), len(of) - 1]
+        there = [sum(counts[a:b + 1]) for a, b in zip(first, longest, strict=True)]
+        ranked = np.array([lengths[k] for k in longest], np.int64)
+        program = fractional(ranked, np.array(there, np.float64), capacity)
+        total, placed = 0.0, 0
+        for copies, chosen in sorted(program, key=lambda x: (-ranked[x[1]].sum(), -x[0])):
+            total += copies
+            need = Counter(chosen.tolist())
+            while placed < int(total + 1e-6) and all(there[g] >= n for g, n in need.items()):
+                content = _content(need, lengths, counts, longest, capacity)
+                if sum(lengths[at] * n for at, n in content.items()) < full:
+                    break
+                equal = min(int(total + 1e-6) - placed, *(counts[at] // n for at, n in content.items()))
+                for at, n in content.items():
+                    counts[at] -= n * equal
+                    there[of[at]] -= n * equal
+                    while longest[of[at]] > first[of[at]] and not counts[longest[of[at]]]:
+                        longest[of[at]] -= 1
+                out.append(Configuration(equal, tuple(sorted(((lengths[at], n) for at, n in content.items()), reverse=True))))
+                placed += equal
+        left = {k: n for k, n in zip(lengths, counts, strict=True) if n}
+        if not placed:
             break
-    return out + best_fit(left, capacity)
+    return out, left | short
+
+
+def _content(need: Counter[int], lengths: list[int], counts: list[int], longest: list[int], capacity: int) -> Counter[int]:
+    """Places of lengths, with how many of each, for a bin with so many pieces of each class."""
+    content: Counter[int] = Counter()
+    room, last = capacity, min(need)
+    for g, n in sorted(need.items(), reverse=True):
+        at, wanted = longest[g], n - (g == last)
+        while wanted:
+            if some := min(wanted, counts[at]):
+                content[at] += some
+                room -= some * lengths[at]
+                wanted -= some
+            at -= 1
+    at = bisect_right(lengths, room) - 1
+    while counts[at] <= content[at]:
+        at -= 1
+    content[at] += 1
+    return content
 
 
 class Places:

@@ -358,6 +358,39 @@ def test_program_covers_evenly_and_never_too_much():
     assert (used <= counts * (1 + 1e-9)).all() and (used / counts).min() > 0.2
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_the_program_places_pieces_where_best_fit_would_do(monkeypatch, seed):
+    rnd = random.Random(seed)
+    sizes = Counter(min(4096, int(rnd.lognormvariate(6, 1)) + 1) for _ in range(8000))
+    least, plain = -(-sum(n * k for n, k in sizes.items()) // 4096), packing.best_fit
+    assert sum(c.copies for c in plain(dict(sizes), 4096)) == least  # best fit alone meets the bound here
+    given = []
+
+    def best_fit(left, capacity, begun=()):
+        given.append((sum(n * k for n, k in left.items()), sum(n * k * c.copies for c in begun for n, k in c.content)))
+        return plain(left, capacity, begun)
+
+    monkeypatch.setattr(packing, "best_fit", best_fit)
+    assert sum(c.copies for c in packing.solve(dict(sizes))) == least
+    assert given and all(placed > left for left, placed in given)
+
+
+def test_hot_lengths_among_rare_ones_take_fewer_sequences_than_best_fit():
+    rnd = random.Random(1)
+    sizes = dict(Counter(rnd.choice([1638, 1229, 700, 2100]) if rnd.random() < 0.8 else rnd.randint(1, 4096) for _ in range(60_000)))
+    bins = lambda plan: sum(c.copies for c in plan)
+    assert bins(packing.solve(sizes)) < 0.97 * bins(packing.best_fit(sizes, 4096))
+
+
+def test_classes_keep_frequent_lengths_apart():
+    counts = np.full(1000, 3)
+    counts[[400, 401, 700]] = 5000
+    of = packing.classes(counts, 20)
+    assert (np.diff(of) >= 0).all() and of[0] == 0 and len(np.unique(of)) == of[-1] + 1 <= 41
+    assert all((of == of[k]).sum() == 1 for k in (400, 401, 700))
+    assert packing.classes(np.ones(7), 20).tolist() == list(range(7))
+
+
 def test_packed_documents(spark):
     docs = [(i, "the same three words " * 20) for i in range(300)] + [(1000, "long words " * 9000), (1001, None), (1002, ""), (1003, "a"), (1003, "a"), (None, "b c")]
     got = packing.pack_documents(spark.createDataFrame(docs, SCHEMA).withColumn("length", F.lit(3)).repartition(4)).collect()
