@@ -18,8 +18,11 @@ from keyfig.llm.common import stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that read like one of the languages; texts without letters or unlike all go."""
-    found, name = langid.predict(docs, langid.fit(docs))
+    """Documents that read like one of the languages; texts without letters or unlike all go.
+
+    Model and limits come from all labelled documents.
+    """
+    found, name = langid.predict(docs, langid.fit(docs, sample_docs=None))
     return found.where(langid.fits(F.col(f"`{name}`"), langid.limits(docs))).drop(name)
 
 

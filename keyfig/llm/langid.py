@@ -14,8 +14,8 @@ these are symbols of their own there and the other bytes share one, to which the
 the byte among them is added, so that code lengths of different groups compare.  A run of
 non-letters counts as one.
 
-The model is fitted on a bounded sample: about ``SAMPLE_DOCS`` whole documents per language,
-chosen by a hash of the id.  Every language has a model; they are fitted, and from more than
+The model is fitted on all labelled rows, or on a bounded sample of about ``sample_docs`` whole
+documents per language, chosen by a hash of the id.  Limits come from all labelled rows.  Every language has a model; they are fitted, and from more than
 ``MAX_LANGUAGES`` on scored, in blocks of that many, and a row's blocks are put together by its best
 code length and the sum of its weights.  Prediction reads every whole text.
 
@@ -31,9 +31,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from keyfig.llm.common import annotate, fresh, stored, text_bytes
+from keyfig.llm.common import annotate, fresh, steps, stored, text_bytes
 
 SYMBOLS, ORDER = 48, 3
 SAMPLE_DOCS = 2000
@@ -42,8 +42,12 @@ SCALE, LIMIT = 256, 65535
 UNKNOWN = "und"
 #: How sharply the score tells the best language from the others, per bit and symbol.
 SHARPNESS = 12.0
-#: Languages that are fitted and broadcast at a time; the sparse statistics take about 1 MB each.
-MAX_LANGUAGES = 64
+#: Languages that are fitted and broadcast at a time, and the strings seen of those broadcast.
+MAX_LANGUAGES, MAX_STRINGS = 64, 8_000_000
+#: Strings that a task counts before it passes its counts on.
+COUNTED = 2_000_000
+#: Bins a unit in which values are counted to find a quantile.
+BINS = 1024
 #: Least share in a language's bytes of one that its group must have as a symbol.
 FREQUENT = 1e-4
 #: The quantile of a language's held-out texts, and how many times its excess a text may have.
@@ -188,10 +192,11 @@ class Model:
         return out
 
     def blocks(self) -> list[Model]:
-        """Models of ``MAX_LANGUAGES`` languages at most, or of one group that has more."""
+        """Models of ``MAX_LANGUAGES`` languages and ``MAX_STRINGS`` strings at most, or of one group that has more."""
         out: list[list] = []
         for columns, group in self.groups:
-            if not out or sum(len(c) for c, _ in out[-1]) + len(columns) > MAX_LANGUAGES:
+            some = [*out[-1], (columns, group)] if out else []
+            if not out or sum(len(c) for c, _ in some) > MAX_LANGUAGES or sum(len(x.code) for _, g in some for x in g.statistics) > MAX_STRINGS:
                 out.append([])
             out[-1].append((columns, group))
         made = []
@@ -270,22 +275,26 @@ def _shared(symbol: np.ndarray, frequency: np.ndarray) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str | Column = "doc_id",
-        sample_docs: int = SAMPLE_DOCS) -> Model:
-    """A model from a bounded sample of labelled rows (rows without text or language are none).
+        sample_docs: int | None = SAMPLE_DOCS) -> Model:
+    """A model from labelled rows (rows without text or language are none).
 
-    ``key`` decides, by its hash, which rows are in the sample.
+    All of them if ``sample_docs`` is None, else about so many a language; ``key`` decides, by its
+    hash, which rows are in that sample.
     """
     key = F.col(f"`{key}`") if isinstance(key, str) else key
     rows = labelled.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), key.alias("key")).where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     blocks = [languages[a:a + MAX_LANGUAGES] for a in range(0, len(languages), MAX_LANGUAGES)]
-    if len(blocks) > 1:  # the sample alone is read for each block
+    if len(blocks) > 1 and sample_docs is not None:  # the sample alone is read for each block
         rows = stored(_sample(rows, sizes, sample_docs), "language_sample")
     return Model.joined([_fit(_sample(rows, {x: sizes[x] for x in some}, sample_docs), some) for some in blocks])
 
 
-def _sample(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFrame:
+def _sample(rows: DataFrame, sizes: dict[str, int], sample_docs: int | None) -> DataFrame:
+    """Rows of the languages: all, or by the key's hash about so many each."""
+    if sample_docs is None:
+        return rows.where(F.col("lang").isin(list(sizes)))
     share = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, sample_docs / n)))
     return rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20))
 
@@ -293,28 +302,39 @@ def _sample(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFra
 def _fit(sample: DataFrame, languages: list[str]) -> Model:
     """A model of the languages from the rows of a sample."""
     number = F.create_map(*(F.lit(x) for k, name in enumerate(languages) for x in (name, k)))
-    sent = sample.select(F.try_element_at(number, F.col("lang")).alias("lang"), "text")
+    sent = sample.select(F.try_element_at(number, F.col("lang")).cast("byte").alias("lang"), "text")
 
     def count(batches: Iterator[pa.RecordBatch], symbols: dict[int, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        sums: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def added(k: int) -> tuple[np.ndarray, np.ndarray]:
+            code, of = np.unique(np.concatenate([c for c, _ in sums[k]]), return_inverse=True)
+            return code, np.bincount(of, weights=np.concatenate([n for _, n in sums[k]]), minlength=len(code)).astype(np.int64)
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for k in list(sums):
+                code, n = added(k)
+                del sums[k]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), k), pa.int8()), pa.array(code, pa.int32()), pa.array(n, pa.int64())], names=["lang", "code", "n"])
+
         for batch in batches:
-            numbers = batch.column(0).to_numpy(zero_copy_only=False)
-            for k in np.unique(numbers).tolist():
-                some = batch.column(1).filter(pa.array(numbers == k))
-                data, offsets = folded(*text_bytes(some))
-                code, n = np.unique(data if symbols is None else codes(symbols[k][data], offsets), return_counts=True)
-                if k in sums:
-                    code, of = np.unique(np.concatenate([sums[k][0], code]), return_inverse=True)
-                    n = np.bincount(of, weights=np.concatenate([sums[k][1], n])).astype(np.int64)
-                sums[k] = code, n
-        for k, (code, n) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), k), pa.int32()), pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["lang", "code", "n"])
+            for a, b in steps(batch.column(1)):
+                numbers = batch.column(0).slice(a, b - a).to_numpy(zero_copy_only=False)
+                for k in np.unique(numbers).tolist():
+                    data, offsets = folded(*text_bytes(batch.column(1).slice(a, b - a).filter(pa.array(numbers == k))))
+                    sums.setdefault(k, []).append(np.unique(data if symbols is None else codes(symbols[k][data], offsets), return_counts=True))
+                if sum(len(c) for x in sums.values() for c, _ in x) > COUNTED:
+                    for k in sums:
+                        sums[k] = [added(k)]
+                    if sum(len(c) for x in sums.values() for c, _ in x) > COUNTED // 2:
+                        yield from passed_on()
+        yield from passed_on()
 
     def counted(symbols: dict[int, np.ndarray] | None) -> pa.Table:
-        found = sent.mapInArrow(lambda b: count(b, symbols), "lang int, code long, n long")
+        found = sent.mapInArrow(lambda b: count(b, symbols), "lang byte, code int, n long")
         return found.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
 
-    # bounded by 256 rows a language, and by the four-symbol strings of its sample
+    # bounded by 256 rows a language, and by the four-symbol strings there are
     by_byte = counted(None)
     frequency = np.zeros((len(languages), 256), np.int64)
     frequency[by_byte["lang"].to_numpy(), by_byte["code"].to_numpy()] = by_byte["n"].to_numpy()
@@ -329,7 +349,7 @@ def _fit(sample: DataFrame, languages: list[str]) -> Model:
         for k in members:
             some = np.flatnonzero(numbers == k)
             some = some[np.argsort(at[some])]
-            counts.append((at[some], n[some]))
+            counts.append((at[some].astype(np.int64), n[some]))
         models.append(Model([languages[k] for k in members], symbol, counts, _shared(symbol, frequency[members])))
     return Model.joined(models)
 
@@ -368,26 +388,44 @@ def _excess(bits: Column, symbols: Column, usual: Column) -> Column:
     return (bits / symbols - usual) * F.sqrt(symbols / (1 + symbols / STEADY))
 
 
-def limits(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> dict[str, tuple[float, float]]:
+def quantile(rows: DataFrame, value: Column, q: float, name: str) -> DataFrame:
+    """Per language, ``percentile`` of the rows' values, of which no task gets all.
+
+    Values are counted in bins; only those of the bins that the quantile lies in are ordered.
+    """
+    valued = rows.select("lang", value.alias("value"), F.floor(value * BINS).alias("bin"))
+    bins = valued.groupBy("lang", "bin").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("lang")
+    bins = bins.select("lang", "bin", "n", (F.sum("n").over(own.orderBy("bin")) - F.col("n")).alias("before"), ((F.sum("n").over(own) - 1) * F.lit(q)).alias("at"))
+    hit = bins.where((F.floor("at") < F.col("before") + F.col("n")) & (F.ceil("at") >= F.col("before"))).drop("n")
+    some = valued.join(F.broadcast(hit), ["lang", "bin"]).groupBy("lang", "bin", "before", "at", "value").agg(F.count("*").alias("n"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("lang", "bin").orderBy("value"))
+    ends = some.withColumn("upto", upto).groupBy("lang", "at").agg(
+        *(F.min(F.when(F.col("upto") > f("at"), F.col("value"))).alias(x) for x, f in (("low", F.floor), ("high", F.ceil))))
+    between = (F.ceil("at") - F.col("at")) * F.col("low") + (F.col("at") - F.floor("at")) * F.col("high")
+    return ends.select("lang", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias(name))
+
+
+def limits(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, tuple[float, float]]:
     """Per language: the usual bits a symbol of its texts, and the excess above it that is too much.
 
-    A model of one half of the labelled rows is held against a sample of the other half, so the
+    A model of one half of the labelled rows is held against the other half, all rows of both, so the
     limits do not depend on the other languages there are.  A language of which no text of the
     other half is recognised has no limit.
     """
     rows = labelled.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{key}`").alias("key")).where("text is not null and lang is not null")
     half = F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(2))
-    model, held = fit(rows.where(half == 0), key="key", sample_docs=sample_docs), rows.where(half == 1)
-    sizes = {r["lang"]: r["n"] for r in held.groupBy("lang").agg(F.count("*").alias("n")).collect() if r["lang"] in set(model.languages)}
-    if not sizes:
+    model, held = fit(rows.where(half == 0), key="key", sample_docs=None), rows.where(half == 1)
+    if not model.languages:
         return {}
-    found, name = predict(_sample(held, sizes, sample_docs), model, keep=["lang"])
+    found, name = predict(held, model, keep=["lang"])
     own = stored(found.where(F.col(f"`{name}`.lang") == F.col("lang")).where(F.col(f"`{name}`.score") > 0)
                  .select("lang", F.col(f"`{name}`.bits").alias("bits"), F.col(f"`{name}`.symbols").alias("symbols")), "held_out")
-    usual = own.groupBy("lang").agg(F.median(F.col("bits") / F.col("symbols")).alias("usual"))
-    above = own.join(F.broadcast(usual), "lang").groupBy("lang", "usual").agg(
-        F.percentile(_excess(F.col("bits"), F.col("symbols"), F.col("usual")), QUANTILE).alias("most"))
-    return {r["lang"]: (r["usual"], SLACK * r["most"]) for r in above.collect()}
+    usual = {r["lang"]: r["usual"] for r in quantile(own, F.col("bits") / F.col("symbols"), 0.5, "usual").collect()}
+    if not usual:
+        return {}
+    excess = _excess(F.col("bits"), F.col("symbols"), F.try_element_at(F.create_map(*(F.lit(x) for pair in usual.items() for x in pair)), F.col("lang")))
+    return {r["lang"]: (usual[r["lang"]], SLACK * r["most"]) for r in quantile(own, excess, QUANTILE, "most").collect()}
 
 
 def fits(found: Column, limits: dict[str, tuple[float, float]]) -> Column:

@@ -191,6 +191,41 @@ def test_what_the_pipeline_keeps_hangs_on_the_text_alone(spark, languages):
     assert kept == {r[0] for r in [*rows, *clean]}
 
 
+def test_the_pipelines_model_and_limits_come_from_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(langid, "COUNTED", 500)  # tasks pass their counts on several times
+    rnd = random.Random(6)
+    words = {x: ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 8))) for _ in range(300)] for x in "xy"}
+    rows = [(i, " ".join(rnd.choices(words["xy"[i % 2]], k=rnd.randint(1, 6))), "xy"[i % 2]) for i in range(10_000)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", lang string").repartition(4)
+    model = langid.fit(docs, sample_docs=None)
+    (_, group), = model.groups
+    for k, x in enumerate(model.languages):
+        data, offsets = langid.folded(*common.text_bytes(pa.array([t for _, t, y in rows if y == x])))
+        want = langid.Statistics(*np.unique(langid.codes(group.symbol[data], offsets), return_counts=True))
+        assert (group.statistics[k].code == want.code).all() and (group.statistics[k].seen == want.seen).all()
+    half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2))
+    held = docs.where(half == 1).collect()
+    found = langid.fit(docs.where(half == 0), sample_docs=None).predict(pa.array([r["text"] for r in held])).to_pylist()
+    limits = langid.limits(docs)
+    for x in "xy":
+        own = [p for r, p in zip(held, found, strict=True) if r["lang"] == p["lang"] == x]
+        assert len(own) > langid.SAMPLE_DOCS
+        bits, symbols = (np.array([p[c] for p in own], float) for c in ("bits", "symbols"))
+        usual = np.median(bits / symbols)
+        most = np.quantile((bits / symbols - usual) * np.sqrt(symbols / (1 + symbols / langid.STEADY)), langid.QUANTILE)
+        assert np.allclose(limits[x], (usual, langid.SLACK * most), rtol=1e-9)
+
+
+def test_quantiles_are_percentiles(spark):
+    rnd = random.Random(3)
+    rows = [(x, v) for x, n in (("a", 1), ("b", 2), ("c", 1000), ("d", 7)) for v in (rnd.choice([rnd.gauss(0, 5), 0.25]) for _ in range(n))]
+    df = spark.createDataFrame(rows, "lang string, v double").repartition(3)
+    for q in (0.0, 0.5, 0.999, 1.0):
+        want = {r[0]: r[1] for r in df.groupBy("lang").agg(F.percentile("v", q)).collect()}
+        assert {r[0]: r[1] for r in langid.quantile(df, F.col("v"), q, "v").collect()} == pytest.approx(want, rel=1e-12)
+    assert langid.quantile(df.limit(0), F.col("v"), 0.5, "v").count() == 0
+
+
 def test_language_edge_cases(spark):
     rows = [(1, "the cat sat on the mat and the dog", "en"), (2, "der Hund und die Katze sind auf der Matte", "de"), (3, None, "en"), (4, "gar nichts", None)] * 3
     train = spark.createDataFrame(rows, SCHEMA + ", lang string")
